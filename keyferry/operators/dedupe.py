@@ -20,8 +20,12 @@ def hashable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if not isinstance(f.dataType, bad)]
 
 
+def quoted(names: Sequence[str]) -> str:
+    return ", ".join(f"`{n}`" for n in names)
+
+
 def row_hash(df: DataFrame) -> Column:
-    return F.xxhash64(*[F.col(f"`{c}`") for c in hashable(df)])
+    return F.expr(f"xxhash64({quoted(hashable(df))})")
 
 
 def _keep_one(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -50,7 +54,7 @@ def distinct_keys(df: DataFrame, column: str) -> DataFrame:
 def collapse(
     df: DataFrame,
     group: Sequence[str],
-    order: Sequence[Column],
+    order: Sequence[str],
     rules: Mapping[str, str] | None = None,
     keep: Sequence[str] | None = None,
 ) -> DataFrame:
@@ -62,21 +66,27 @@ def collapse(
     others those in ``keep`` (all by default), so ordering columns need not be shuffled twice.
     """
     rules = rules or {}
-    seq = F.struct(*order, row_hash(df.drop(*group)))
     rest = [c for c in df.columns if c not in group and (keep is None or c in keep)]
+    seq = "_seq"
+    # The row hash makes the order total.
+    total = quoted([*order]) + ", " if order else ""
+    hashed = [c for c in hashable(df) if c not in group]
+    df = df.select("*", F.expr(f"struct({total}xxhash64({quoted(hashed)})) AS {seq}"))
     last = [c for c in rest if rules.get(c, "source") == "source"]
     first = [c for c in rest if rules.get(c) == "target"]
     pick = {
-        "least": lambda c: F.min(c),
-        "greatest": lambda c: F.max(c),
-        "coalesce_source": lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), seq)),
-        "coalesce_target": lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), seq)),
+        "least": "min(`{c}`)",
+        "greatest": "max(`{c}`)",
+        "coalesce_source": "max_by(`{c}`, CASE WHEN `{c}` IS NOT NULL THEN {seq} END)",
+        "coalesce_target": "min_by(`{c}`, CASE WHEN `{c}` IS NOT NULL THEN {seq} END)",
     }
-    aggs = [pick[rules[c]](c).alias(c) for c in rest if rules.get(c, "source") in pick]
+    aggs = [
+        F.expr(pick[rules[c]].format(c=c, seq=seq)).alias(c) for c in rest if rules.get(c, "source") in pick
+    ]
     if last:
-        aggs.append(F.max_by(F.struct(*last), seq).alias("_last"))
+        aggs.append(F.expr(f"max_by(struct({quoted(last)}), {seq})").alias("_last"))
     if first:
-        aggs.append(F.min_by(F.struct(*first), seq).alias("_first"))
+        aggs.append(F.expr(f"min_by(struct({quoted(first)}), {seq})").alias("_first"))
     out = df.groupBy(*group).agg(*aggs)
-    place = {c: F.col(f"_last.{c}") for c in last} | {c: F.col(f"_first.{c}") for c in first}
-    return out.select(*group, *[place.get(c, F.col(c)).alias(c) for c in rest])
+    place = {c: f"_last.`{c}`" for c in last} | {c: f"_first.`{c}`" for c in first}
+    return out.selectExpr(*[f"`{c}`" for c in group], *[f"{place.get(c, f'`{c}`')} AS `{c}`" for c in rest])

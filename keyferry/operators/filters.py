@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.clean import has_value
 from .dedupe import dedupe_first
-from .quality import reject_if
+from .quality import reject_first
 
 
 @dataclass(frozen=True)
@@ -45,8 +45,9 @@ def filter_by_parent(df: DataFrame, hops: Sequence[Hop], predicate: Column) -> D
 
 def require_all(df: DataFrame, columns: Sequence[str], falsy: bool = False) -> DataFrame:
     """Mark rows with a missing value: null or blank, and with ``falsy`` also 0 and false."""
+    checks, schema = [], df.schema
     for name in columns:
-        kind = df.schema[name].dataType
+        kind = schema[name].dataType
         if isinstance(kind, T.StringType):
             ok = F.col(name).isNotNull() & (F.col(name) != "") if falsy else has_value(F.col(name))
         elif falsy and isinstance(kind, T.NumericType):
@@ -55,8 +56,8 @@ def require_all(df: DataFrame, columns: Sequence[str], falsy: bool = False) -> D
             ok = F.col(name).isNotNull() & F.col(name)
         else:
             ok = F.col(name).isNotNull()
-        df = reject_if(df, ~ok, f"missing:{name}")
-    return df
+        checks.append((~ok, f"missing:{name}"))
+    return reject_first(df, checks)
 
 
 def in_scope(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:

@@ -15,19 +15,19 @@ from pyspark.sql import types as T
 
 from ..functions.clean import clean_str
 from ..specs import Lookup
-from .dedupe import row_hash
-from .quality import reject_if
+from .dedupe import hashable, quoted
+from .quality import reject_first
 
 
 def spread(df: DataFrame, key: str) -> Column:
     """The key, or a value that differs from row to row where the key is null."""
     kind = df.schema[key].dataType
-    h = row_hash(df)
+    h = f"xxhash64({quoted(hashable(df))})"
     if isinstance(kind, T.IntegerType):
-        h = F.pmod(h, F.lit(2**31 - 1))
+        h = f"pmod({h}, 2147483647)"
     elif not isinstance(kind, (T.LongType, T.StringType)):
         return F.col(key)
-    return F.coalesce(F.col(key), h.cast(kind))
+    return F.expr(f"coalesce(`{key}`, CAST({h} AS {kind.simpleString()}))")
 
 
 def key_map(
@@ -66,29 +66,31 @@ def lookup_key(
     """Add ``out``: the value of ``src`` in the map, null (or ``default``) without a match."""
     k, v = keys.columns
     right = keys.select(F.col(k).alias("_lk"), F.col(v).alias("_lv"))
-    left = df.withColumn("_ls", spread(df, src))
-    joined = left.join(right, (F.col("_ls") == F.col("_lk")) & F.col(src).isNotNull(), "left")
+    left = df.select("*", spread(df, src).alias("_ls"))
+    joined = left.join(right, F.expr(f"_ls = _lk AND `{src}` IS NOT NULL"), "left")
     value = F.col("_lv") if default is None else F.coalesce(F.col("_lv"), default)
-    return joined.withColumn(out, value).drop("_ls", "_lk", "_lv")
+    kept = [value.alias(out) if c == out else F.col(f"`{c}`") for c in df.columns]
+    return joined.select(*kept, *([] if out in df.columns else [value.alias(out)]))
+
+
+def _missing(lk: Lookup) -> tuple[Column, str]:
+    return F.col(lk.out).isNull(), lk.reason or f"missing:{lk.out}"
 
 
 def lookup_required(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     """Resolve several keys in turn; rows without a required match are marked, not dropped."""
     for lk in lookups:
         df = lookup_key(df, lk.keys, lk.src, lk.out, lk.default)
-    for lk in lookups:
-        if lk.required:
-            df = reject_if(df, F.col(lk.out).isNull(), lk.reason or f"missing:{lk.out}")
-    return df
+    checks = [_missing(lk) for lk in lookups if lk.required]
+    return reject_first(df, checks) if checks else df
 
 
 def lookup_chain(df: DataFrame, hops: Sequence[Lookup]) -> DataFrame:
-    """Follow one map after the other; each hop has its own reject reason."""
-    for hop in hops:
-        df = lookup_key(df, hop.keys, hop.src, hop.out, hop.default)
-        if hop.required:
-            df = reject_if(df, F.col(hop.out).isNull(), hop.reason or f"missing:{hop.out}")
-    return df
+    """Follow one map after the other, each from the column the hop before has added.
+
+    Every required hop has its own reject reason; the first hop without a match gives it.
+    """
+    return lookup_required(df, hops)
 
 
 def remap_cascade(child: DataFrame, remap: DataFrame, fk: str, out: str) -> DataFrame:

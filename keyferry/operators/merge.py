@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..specs import MergeSpec
-from .dedupe import collapse, row_hash
+from .dedupe import collapse, hashable, quoted
 from .lookup import lookup_key
 
 ACTION = "_action"
@@ -27,69 +27,56 @@ def _with_merge_key(df: DataFrame, key: Sequence[str], null_mark: int) -> DataFr
     null marks, so they never match.
     """
     if len(key) == 1:
-        k, kind = F.col(key[0]), df.schema[key[0]].dataType
+        k, kind = f"`{key[0]}`", df.schema[key[0]].dataType
     else:
-        k = F.coalesce(*[F.concat(F.lit(f"{i}:"), F.col(c).cast("string")) for i, c in enumerate(key)])
+        k = "coalesce(" + ", ".join(f"'{i}:' || `{c}`" for i, c in enumerate(key)) + ")"
         kind = T.StringType()
-    if isinstance(kind, (T.LongType, T.StringType)):
-        filler = row_hash(df).cast(kind)
-    elif isinstance(kind, T.IntegerType):
-        filler = F.pmod(row_hash(df), F.lit(2**31 - 1)).cast(kind)
-    else:
+    filler = f"xxhash64({quoted(hashable(df))})"
+    if isinstance(kind, T.IntegerType):
+        filler = f"pmod({filler}, 2147483647)"
+    elif not isinstance(kind, (T.LongType, T.StringType)):
         raise TypeError(f"merge keys are texts or whole numbers, not {kind.simpleString()}")
-    return df.withColumn("_k", F.coalesce(k, filler)).withColumn(
-        "_n", F.when(k.isNull(), null_mark).otherwise(1)
+    return df.selectExpr(
+        "*",
+        f"coalesce({k}, CAST({filler} AS {kind.simpleString()})) AS _k",
+        f"CASE WHEN {k} IS NULL THEN {null_mark} ELSE 1 END AS _n",
     )
 
 
 def match_source(source: DataFrame, spec: MergeSpec, keep: Sequence[str] | None = None) -> DataFrame:
     """Source with merge keys added and, unless it is unique, collapsed to one row per key."""
     src = _with_merge_key(source, spec.key, 0)
-    if spec.unique:
-        return src
-    return collapse(src, ["_k", "_n"], [F.col(c) for c in spec.order], spec.rules, keep)
+    return src if spec.unique else collapse(src, ["_k", "_n"], spec.order, spec.rules, keep)
 
 
-def _resolved(name: str, rule: str) -> Column:
-    s, t = F.col(f"s__{name}"), F.col(f"t__{name}")
-    return {
-        "source": s,
-        "target": t,
-        "least": F.least(t, s),
-        "greatest": F.greatest(t, s),
-        "coalesce_source": F.coalesce(s, t),
-        "coalesce_target": F.coalesce(t, s),
-    }[rule]
+RULES = {
+    "source": "s__{c}",
+    "target": "t__{c}",
+    "least": "least(t__{c}, s__{c})",
+    "greatest": "greatest(t__{c}, s__{c})",
+    "coalesce_source": "coalesce(s__{c}, t__{c})",
+    "coalesce_target": "coalesce(t__{c}, s__{c})",
+}
 
 
 def _merged(joined: DataFrame, target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
-    matched = F.col("_in_s") & F.col("_in_t")
+    update = "_in_s AND _in_t"
     if spec.changed:
-        differs = ~F.col(f"t__{spec.changed}").eqNullSafe(F.col(f"s__{spec.changed}"))
-        update = matched & differs
-    else:
-        update = matched
+        update += f" AND NOT (t__{spec.changed} <=> s__{spec.changed})"
     action = (
-        F.when(F.col("_in_t").isNull(), F.lit("inserted"))
-        .when(F.col("_in_s").isNull(), F.lit("kept"))
-        .when(update, F.lit("updated"))
-        .otherwise(F.lit("unchanged"))
+        f"CASE WHEN _in_t IS NULL THEN 'inserted' WHEN _in_s IS NULL THEN 'kept' "
+        f"WHEN {update} THEN 'updated' ELSE 'unchanged' END"
     )
-    joined = joined.withColumn(ACTION, action)
-    out = []
-    for name in target.columns:
-        t = F.col(f"t__{name}")
-        if name not in source.columns:
-            out.append(t.alias(name))
+    out, given = [], set(source.columns)
+    for c in target.columns:
+        if c not in given:
+            out.append(f"t__{c} AS `{c}`")
             continue
-        rule = spec.rules.get(name, "source")
-        value = (
-            F.when(F.col(ACTION) == "updated", _resolved(name, rule))
-            .when(F.col(ACTION) == "inserted", F.col(f"s__{name}"))
-            .otherwise(t)
+        rule = RULES[spec.rules.get(c, "source")].format(c=c)
+        out.append(
+            f"CASE {ACTION} WHEN 'updated' THEN {rule} WHEN 'inserted' THEN s__{c} ELSE t__{c} END AS `{c}`"
         )
-        out.append(value.alias(name))
-    return joined.select(*out, ACTION)
+    return joined.selectExpr("*", f"{action} AS {ACTION}").selectExpr(*out, ACTION)
 
 
 def merge_with_actions(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
@@ -97,14 +84,9 @@ def merge_with_actions(target: DataFrame, source: DataFrame, spec: MergeSpec) ->
     shared = [c for c in target.columns if c in source.columns]
     src = match_source(source, spec, shared)
     tgt = _with_merge_key(target, spec.key, 2)
-    s = src.select(
-        F.col("_k").alias("_sk"), F.col("_n").alias("_sn"), F.lit(True).alias("_in_s"),
-        *[F.col(c).alias(f"s__{c}") for c in shared],
-    )
-    t = tgt.select(
-        "_k", "_n", F.lit(True).alias("_in_t"), *[F.col(c).alias(f"t__{c}") for c in target.columns]
-    )
-    on = (F.col("_k") == F.col("_sk")) & (F.col("_n") == F.col("_sn"))
+    s = src.selectExpr("_k AS _sk", "_n AS _sn", "true AS _in_s", *[f"`{c}` AS `s__{c}`" for c in shared])
+    t = tgt.selectExpr("_k", "_n", "true AS _in_t", *[f"`{c}` AS `t__{c}`" for c in target.columns])
+    on = F.expr("_k = _sk AND _n = _sn")
     if not spec.delta:
         return _merged(t.join(s, on, "full_outer"), target, source, spec)
     # Small source: the left and semi joins can broadcast it, so the target is rewritten by a
@@ -112,9 +94,8 @@ def merge_with_actions(target: DataFrame, source: DataFrame, spec: MergeSpec) ->
     updated = t.join(s, on, "left")
     held = tgt.select("_k", "_n").join(s.select("_sk", "_sn"), on, "left_semi")
     added = s.join(held, on, "left_anti")
-    for f in t.columns:
-        added = added.withColumn(f, F.lit(None).cast(t.schema[f].dataType))
-    return _merged(updated.unionByName(added.select(updated.columns)), target, source, spec)
+    none = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in t.schema.fields]
+    return _merged(updated.union(added.selectExpr(*none, "*")), target, source, spec)
 
 
 def merge(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
@@ -127,12 +108,9 @@ def insert_only(
     """Add source rows whose key the target lacks; stored rows never change."""
     spec = MergeSpec(tuple(key), rules={c: "target" for c in source.columns if c not in key})
     src = _with_merge_key(source, spec.key, 0)
-    firsts = collapse(src, ["_k", "_n"], [F.col(c) for c in order], spec.rules)
-    held = _with_merge_key(target, spec.key, 2).select(
-        F.col("_k").alias("_tk"), F.col("_n").alias("_tn")
-    )
-    on = (F.col("_k") == F.col("_tk")) & (F.col("_n") == F.col("_tn"))
-    added = firsts.join(held, on, "left_anti")
+    firsts = collapse(src, ["_k", "_n"], order, spec.rules)
+    held = _with_merge_key(target, spec.key, 2).selectExpr("_k AS _tk", "_n AS _tn")
+    added = firsts.join(held, F.expr("_k = _tk AND _n = _tn"), "left_anti")
     fill = [
         (F.col(c) if c in source.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c)
         for c in target.columns
@@ -159,49 +137,42 @@ def guarded_merge(
     """
     k1, k2 = keys
     rules = {id: "target", k1: "coalesce_target", k2: "coalesce_source"} | dict(spec.rules)
-    order = [F.col(c) for c in spec.order]
 
     src = _with_merge_key(source, (k1,), 0)
     if not spec.unique:
-        src = collapse(src, ["_k", "_n"], order, {**rules, k1: "source"})
+        src = collapse(src, ["_k", "_n"], spec.order, {**rules, k1: "source"})
     src = src.drop("_k", "_n")
     cols = src.columns
 
-    src = lookup_key(src, target.select(k1, id).filter(F.col(k1).isNotNull()), k1, "_id1")
-    src = lookup_key(src, target.select(k2, id).filter(F.col(k2).isNotNull()), k2, "_id2")
-    clash = F.col("_id1").isNotNull() & F.col("_id2").isNotNull() & (F.col("_id1") != F.col("_id2"))
-    step = (
-        F.when(clash, 0)
-        .when(F.col("_id1").isNull() & F.col("_id2").isNotNull(), 1)
-        .when(F.col("_id1").isNotNull(), 2)
-        .otherwise(3)
-    )
-    src = src.withColumn("_step", step).withColumn("_hit", F.coalesce("_id1", "_id2"))
+    src = lookup_key(src, target.filter(f"`{k1}` IS NOT NULL").select(k1, id), k1, "_id1")
+    src = lookup_key(src, target.filter(f"`{k2}` IS NOT NULL").select(k2, id), k2, "_id2")
+    total = ", ".join(["_step", *[f"`{c}`" for c in spec.order], f"xxhash64({quoted(cols)})"])
+    src = src.selectExpr(
+        "*",
+        "CASE WHEN _id1 <> _id2 THEN 0 WHEN _id1 IS NULL AND _id2 IS NOT NULL THEN 1 "
+        "WHEN _id1 IS NOT NULL THEN 2 ELSE 3 END AS _step",
+        "coalesce(_id1, _id2) AS _hit",
+    ).selectExpr("*", f"struct({total}) AS _turn")
 
     # Who owns an alternative key the target does not hold yet: the first row moved to it, else
     # the first new record with it.
-    claims = src.filter((F.col("_step") >= 2) & F.col("_id2").isNull() & F.col(k2).isNotNull())
-    seq = F.struct("_step", *order, row_hash(src.select(cols)))
-    owners = claims.groupBy(k2).agg(F.min_by(F.coalesce("_hit", id), seq).alias("_owner"))
-    src = lookup_key(src, owners, k2, "_owner")
-    lost = (F.col("_step") == 2) & F.col("_owner").isNotNull() & (F.col("_owner") != F.col("_hit"))
-    refused = (F.col("_step") == 0) | lost
-    src = src.withColumn("_refused", refused).withColumn(
-        "_to", F.when(F.col("_step") == 3, F.coalesce("_owner", id)).otherwise(F.col("_hit"))
-    )
-
-    action = (
-        F.when(F.col("_refused"), F.lit("duplicate_conflict"))
-        .when((F.col("_step") == 3) & (F.col("_to") == F.col(id)), F.lit("inserted"))
-        .otherwise(F.lit("updated"))
+    claims = src.filter(f"_step >= 2 AND _id2 IS NULL AND `{k2}` IS NOT NULL")
+    owners = claims.groupBy(k2).agg(F.expr(f"min_by(coalesce(_hit, `{id}`), _turn)").alias("_owner"))
+    src = lookup_key(src, owners, k2, "_owner").selectExpr(
+        "*",
+        "_step = 0 OR (_step = 2 AND coalesce(_owner <> _hit, false)) AS _refused",
+        f"CASE WHEN _step = 3 THEN coalesce(_owner, `{id}`) ELSE _hit END AS _to",
     )
-    actions = src.select(
-        F.col(id).alias("source_id"), F.col(k1), F.col(k2),
-        F.when(~F.col("_refused"), F.col("_to")).alias("target_id"), action.alias("action"),
+    actions = src.selectExpr(
+        f"`{id}` AS source_id", f"`{k1}`", f"`{k2}`",
+        "CASE WHEN NOT _refused THEN _to END AS target_id",
+        f"CASE WHEN _refused THEN 'duplicate_conflict' WHEN _step = 3 AND _to = `{id}` THEN 'inserted' "
+        "ELSE 'updated' END AS action",
     )
 
-    writes = src.filter(~F.col("_refused")).select("_to", "_step", *cols)
-    folded = collapse(writes, ["_to"], [F.col("_step"), *order], rules)
-    ready = folded.drop(id, "_step").withColumnRenamed("_to", id)
+    writes = src.filter("NOT _refused").select("_to", "_step", *cols)
+    keep = [c for c in cols if c in target.columns and c != id]
+    folded = collapse(writes, ["_to"], ["_step", *spec.order], rules, keep)
+    ready = folded.withColumnRenamed("_to", id)
     final = MergeSpec((id,), rules=rules, unique=True, delta=spec.delta)
-    return merge(target, ready.select(cols), final), actions
+    return merge(target, ready, final), actions

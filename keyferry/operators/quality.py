@@ -12,16 +12,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..specs import TableSpec
-from .dedupe import collapse, row_hash
+from .dedupe import hashable, quoted
 
 REJECT = "_reject"
 
 
 def reject_if(df: DataFrame, condition: Column, reason: str) -> DataFrame:
-    mark = F.when(F.coalesce(condition, F.lit(False)), F.lit(reason))
+    return reject_first(df, [(condition, reason)])
+
+
+def reject_first(df: DataFrame, checks: Sequence[tuple[Column, str | Column]]) -> DataFrame:
+    """Mark rows with the reason of the first condition that holds; earlier marks stay."""
+    marks = [
+        F.when(condition, F.lit(reason) if isinstance(reason, str) else reason) for condition, reason in checks
+    ]
     if REJECT in df.columns:
-        mark = F.coalesce(F.col(REJECT), mark)
-    return df.withColumn(REJECT, mark)
+        marks.insert(0, F.col(REJECT))
+    return df.withColumn(REJECT, F.coalesce(*marks) if len(marks) > 1 else marks[0])
 
 
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -32,34 +39,34 @@ def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def cast_to_spec(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Cast to the declared types; a value that does not fit rejects its row as ``cast:<column>``."""
-    bad, out = [], []
-    kinds = {f.name: f.dataType for f in spec.schema.fields}
+    """Cast to the declared types; a value that does not fit rejects its row as ``cast:<column>``.
+
+    Columns that have their type already are passed through.
+    """
+    have = {f.name: f.dataType for f in df.schema.fields}
+    want = {f.name: f.dataType for f in spec.schema.fields}
+    marks, out = [], []
     for name in df.columns:
-        if name not in kinds:
-            out.append(F.col(name))
-            continue
-        value = F.col(name).try_cast(kinds[name])
-        bad.append(F.when(F.col(name).isNotNull() & value.isNull(), F.lit(f"cast:{name}")))
-        out.append(value.alias(name))
-    mark = F.coalesce(*bad) if bad else F.lit(None).cast("string")
-    if REJECT in df.columns:
-        mark = F.coalesce(F.col(REJECT), mark)
-        out = [c for c, n in zip(out, df.columns) if n != REJECT]
-    return df.select(*out, mark.alias(REJECT))
+        if name == REJECT:
+            marks.insert(0, name)
+        elif name not in want or have[name] == want[name]:
+            out.append(f"`{name}`")
+        else:
+            cast = f"try_cast(`{name}` AS {want[name].simpleString()})"
+            out.append(f"{cast} AS `{name}`")
+            marks.append(f"CASE WHEN `{name}` IS NOT NULL AND {cast} IS NULL THEN 'cast:{name}' END")
+    mark = f"coalesce({', '.join([*marks, 'CAST(NULL AS STRING)'])})"
+    return df.selectExpr(*out, f"{mark} AS {REJECT}")
 
 
 def violations(spec: TableSpec, columns: Sequence[str]) -> Column:
-    """Array of every not-null and domain violation of a row."""
-    checks = [F.when(F.col(c).isNull(), F.lit(f"required:{c}")) for c in spec.required if c in columns]
-    checks += [
-        F.when(~F.col(c).isin(*allowed), F.lit(f"domain:{c}"))
-        for c, allowed in spec.domains.items()
-        if c in columns
-    ]
-    if not checks:
-        return F.array().cast("array<string>")
-    return F.filter(F.array(*checks), lambda v: v.isNotNull())
+    """Comma-separated list of every not-null and domain violation of a row; null when clean."""
+    checks = [f"CASE WHEN `{c}` IS NULL THEN 'required:{c}' END" for c in spec.required if c in columns]
+    for c, allowed in spec.domains.items():
+        if c in columns:
+            values = ", ".join("'" + v.replace("'", "\\'") + "'" for v in allowed)
+            checks.append(f"CASE WHEN `{c}` NOT IN ({values}) THEN 'domain:{c}' END")
+    return F.expr(f"nullif(concat_ws(',', {', '.join(checks)}), '')" if checks else "CAST(NULL AS STRING)")
 
 
 def validate(
@@ -74,49 +81,47 @@ def validate(
     Required columns and domains are checked in the scan's own stage. Foreign keys are looked up
     in ``refs`` (table name to frame). Of rows that share a unique key the first by ``order`` stays.
     """
-    found = violations(spec, df.columns)
-    df = reject_if(df.withColumn("_v", found), F.size("_v") > 0, "")
-    df = df.withColumn(REJECT, F.when(F.col(REJECT) == "", F.array_join("_v", ",")).otherwise(F.col(REJECT))).drop("_v")
+    mark = violations(spec, df.columns)
+    df = df.withColumn(REJECT, F.coalesce(F.col(REJECT), mark) if REJECT in df.columns else mark)
     for fk in spec.foreign:
         if refs and fk.table in refs and fk.column in df.columns:
             df = fk_violations(df, refs[fk.table], fk.column, fk.ref)
-    if unique:
-        for key in spec.unique:
-            if set(key) <= set(df.columns):
-                df = unique_violations(df, key, order)
-    return df
+    keys = [key for key in spec.unique if unique and set(key) <= set(df.columns)]
+    return unique_violations(df, keys, order) if keys else df
 
 
 def fk_violations(df: DataFrame, ref: DataFrame, column: str, ref_column: str = "id") -> DataFrame:
     from .lookup import lookup_key
 
     keys = ref.select(F.col(ref_column).alias("_fk")).filter(F.col("_fk").isNotNull()).distinct()
-    hit = lookup_key(df, keys.withColumn("_hit", F.col("_fk")), column, "_found")
+    hit = lookup_key(df, keys.select("_fk", F.col("_fk").alias("_hit")), column, "_found")
     return reject_if(hit, F.col(column).isNotNull() & F.col("_found").isNull(), f"fk:{column}").drop("_found")
 
 
-def unique_violations(df: DataFrame, key: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """Mark all but the first row of each key; null keys never clash, rejected rows do not count.
+def unique_violations(df: DataFrame, keys: Sequence[Sequence[str]], order: Sequence[str] = ()) -> DataFrame:
+    """Mark all but the first row of each value of each key.
 
-    The first row is found with an aggregate that combines before its shuffle, then joined back.
+    Null keys never clash. Rows rejected before do not count; the keys are judged side by side.
+    The first row is found with an aggregate that combines before its shuffle, then joined back,
+    so a value shared by many rows is never gathered in one task.
     """
-    live = df.filter(F.col(REJECT).isNull()) if REJECT in df.columns else df
-    seq = F.struct(*[F.col(c) for c in order], row_hash(df.drop(REJECT)))
-    whole = F.lit(True)
-    for c in key:
-        whole = whole & F.col(c).isNotNull()
-    firsts = (
-        live.filter(whole)
-        .groupBy(*[F.col(c).alias(f"_u{i}") for i, c in enumerate(key)])
-        .agg(F.min(seq).alias("_first"), F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > 1)
-    )
-    on = F.lit(True)
-    for i, c in enumerate(key):
-        on = on & (F.col(c) == F.col(f"_u{i}"))
-    joined = df.withColumn("_seq", seq).join(firsts, on, "left")
-    out = reject_if(joined, F.col("_first").isNotNull() & (F.col("_seq") != F.col("_first")), "unique:" + "+".join(key))
-    return out.drop("_seq", "_first", "_n", *[f"_u{i}" for i in range(len(key))])
+    parts = [f"`{c}`" for c in order] + [f"xxhash64({quoted([c for c in hashable(df) if c != REJECT])})"]
+    out = df.select("*", F.expr(f"struct({', '.join(parts)}) AS _seq"))
+    live = out.filter(F.col(REJECT).isNull()) if REJECT in df.columns else out
+    checks = []
+    for n, key in enumerate(keys):
+        names = [f"_u{n}_{i}" for i in range(len(key))]
+        firsts = (
+            live.filter(" AND ".join(f"`{c}` IS NOT NULL" for c in key))
+            .groupBy(*[F.col(c).alias(u) for c, u in zip(key, names)])
+            .agg(F.min("_seq").alias(f"_first{n}"), F.count(F.lit(1)).alias(f"_n{n}"))
+            .filter(f"_n{n} > 1")
+        )
+        on = F.expr(" AND ".join(f"`{c}` = {u}" for c, u in zip(key, names)))
+        out = out.join(firsts, on, "left")
+        checks.append((F.expr(f"_first{n} IS NOT NULL AND _seq <> _first{n}"), "unique:" + "+".join(key)))
+    marked = reject_first(out, checks)
+    return marked.select(*[c for c in df.columns if c != REJECT], REJECT)
 
 
 def load_summary(df: DataFrame) -> DataFrame:
@@ -138,9 +143,3 @@ def reject_report(df: DataFrame, name: str, key: str, raw: Sequence[str]) -> Dat
         F.col(REJECT).alias("error_message"),
         F.to_json(F.struct(*raw)).alias("raw_row"),
     )
-
-
-__all__ = [
-    "REJECT", "cast_to_spec", "collapse", "fk_violations", "load_summary", "reject_if",
-    "reject_report", "split_rejects", "unique_violations", "validate", "violations",
-]

@@ -77,9 +77,7 @@ def resolve_within(
             .select("_row", F.coalesce("_far", "_next").alias("_next"), "_end")
         )
         step = cut_lineage(step)
-        settled = cut_lineage(
-            settled.unionByName(step.filter(F.col("_end").isNotNull()).select("_row", "_end"))
-        )
+        settled = settled.unionByName(step.filter(F.col("_end").isNotNull()).select("_row", "_end"))
         under_way = step.filter(F.col("_end").isNull()).select("_row", "_next")
     drop = ["_seq"] + [f"_t{i}" for i in range(len(keys))] + [f"_e{i}" for i in range(len(keys))]
     return lookup_key(df.drop(*drop), settled, own, out)

@@ -68,7 +68,7 @@ def assign_unique(
         tries = cut_lineage(lookup_key(tries, best, "_cand", "_best"))
         won = F.coalesce(F.col("_best") == F.col("_key"), F.lit(False))
         winners = tries.filter(won).select("_key", "_cand")
-        done = winners if done is None else cut_lineage(done.unionByName(winners))
+        done = winners if done is None else done.unionByName(winners)
         open_rows = tries.filter(~won).select("_key", "_base", "_seq")
         size += DIGITS
     if done is None:

@@ -127,9 +127,8 @@ def _(d):
        FROM {batch} GROUP BY 1""",
 )
 def _(d):
-    order = [F.col(c) for c in ORDER]
-    rows = O.collapse(d("batch"), ["alt"], order, {"created_at": "least"})
-    return rows.select("alt", "updated_at", "created_at", "price")
+    keep = ["updated_at", "created_at", "price"]
+    return O.collapse(d("batch"), ["alt"], ORDER, {"created_at": "least"}, keep)
 
 
 # Customers as stored members and as incoming records: same row by both keys, only by the case

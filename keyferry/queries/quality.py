@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import operators as O
-from ..specs import ForeignKey, Lookup, MergeSpec, TableSpec
+from ..specs import ForeignKey, Lookup, MergeSpec, TableSpec, columns
 from .base import query, source
 
 source(
@@ -22,7 +21,7 @@ source(
 )
 LINE = TableSpec(
     "line",
-    T.StructType.fromDDL(
+    columns(
         "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, qty int, order_ref bigint, "
         "status string, flag string, amount decimal(9,2)"
     ),
@@ -72,7 +71,7 @@ def _(d):
          THEN 'unique:order_ref+flag' END AS reason FROM {raw_lines}""",
 )
 def _(d):
-    rows = O.unique_violations(d("raw_lines"), ["order_ref", "flag"], ["l_partkey", "l_suppkey"])
+    rows = O.unique_violations(d("raw_lines"), [["order_ref", "flag"]], ["l_partkey", "l_suppkey"])
     return rows.select(*KEY, F.col(O.REJECT).alias("reason"))
 
 

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Runtime SQL settings the plans rely on. Adaptive execution turns a join into a broadcast only
 # after it has seen the real size of the built side, splits hot shuffle partitions, and may add a
@@ -25,7 +28,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and stage tables, as named by the cluster.
+    """Shared folder for checkpoints, as named by the cluster.
 
     Only a local test session without the setting gets a folder of its own.
     """
@@ -33,9 +36,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if named:
         return named
     if spark.sparkContext.master.startswith("local"):
-        own = tempfile.mkdtemp(prefix="keyferry-")
-        spark.conf.set("spark.checkpoint.dir", own)
-        return own
+        return tempfile.mkdtemp(prefix="keyferry-")
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
@@ -49,3 +50,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return one_row(spark, schema, [None] * len(schema)).limit(0)
+
+
+def one_row(spark: SparkSession, schema: T.StructType, values: Sequence) -> DataFrame:
+    """A single row built from literals, without a Python worker."""
+    return spark.range(1, numPartitions=1).select(
+        *[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(schema.fields, values)]
+    )

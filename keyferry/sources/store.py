@@ -12,29 +12,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..specs import TableSpec
+from ..session import empty_frame, one_row
+from ..specs import TableSpec, columns
 
-LOG_SCHEMA = "table_name string, version long, path string"
+LOG = "table_name string, version bigint, path string"
 
 
 class TableStore:
-    """Target tables under one root folder all executors share."""
+    """Target tables under one root folder all executors share; one writer at a time."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._versions: dict[str, tuple[int, str]] | None = None
 
-    def _log(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).json(f"{self.root}/_versions")
-        except AnalysisException as err:
-            if "PATH_NOT_FOUND" not in str(err):
-                raise
-            return self.spark.createDataFrame([], LOG_SCHEMA)
-
-    def _current(self, name: str):
-        newest = self._log().filter(F.col("table_name") == name).agg(F.max_by(F.struct("version", "path"), "version"))
-        return newest.first()[0]
+    def _current(self, name: str) -> tuple[int, str] | None:
+        """Newest published (version, path). The log, one row per commit, is read once."""
+        if self._versions is None:
+            log = self.read_appended("_versions", columns(LOG), "json")
+            newest = log.groupBy("table_name").agg(F.max_by(F.struct("version", "path"), "version").alias("v"))
+            self._versions = {r["table_name"]: (r["v"]["version"], r["v"]["path"]) for r in newest.collect()}
+        return self._versions.get(name)
 
     def exists(self, name: str) -> bool:
         return self._current(name) is not None
@@ -43,17 +41,18 @@ class TableStore:
         """Current version; an empty frame of the declared shape before the first commit."""
         current = self._current(spec.name)
         if current is None:
-            return self.spark.createDataFrame([], spec.schema)
-        return self.spark.read.schema(spec.schema).parquet(current["path"])
+            return empty_frame(self.spark, spec.schema)
+        return self.spark.read.schema(spec.schema).parquet(current[1])
 
     def commit(self, spec: TableSpec, df: DataFrame) -> DataFrame:
         """Write the next version, publish it, and return it."""
         current = self._current(spec.name)
-        version = 1 if current is None else current["version"] + 1
+        version = 1 if current is None else current[0] + 1
         path = f"{self.root}/{spec.name}/v={version}"
         df.select(spec.columns).write.mode("overwrite").parquet(path)
-        entry = self.spark.createDataFrame([(spec.name, version, path)], LOG_SCHEMA)
-        entry.coalesce(1).write.mode("append").json(f"{self.root}/_versions")
+        entry = one_row(self.spark, columns(LOG), (spec.name, version, path))
+        entry.write.mode("append").json(f"{self.root}/_versions")
+        self._versions[spec.name] = (version, path)
         return self.spark.read.schema(spec.schema).parquet(path)
 
     def stage(self, name: str, df: DataFrame) -> DataFrame:
@@ -70,10 +69,10 @@ class TableStore:
     def append(self, name: str, df: DataFrame) -> None:
         df.write.mode("append").parquet(f"{self.root}/{name}")
 
-    def read_appended(self, name: str, schema: T.StructType) -> DataFrame:
+    def read_appended(self, name: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+            return self.spark.read.schema(schema).format(fmt).load(f"{self.root}/{name}")
         except AnalysisException as err:
             if "PATH_NOT_FOUND" not in str(err):
                 raise
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -101,4 +101,27 @@ class Lookup:
     default: Column | None = None
 
 
-Columns = Sequence[str]
+KINDS = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "binary": T.BinaryType(),
+}
+
+
+def columns(text: str) -> T.StructType:
+    """Schema from "name type, name type"; unlike the DDL parser it needs no running session."""
+    out = T.StructType()
+    for part in text.split(", "):
+        name, kind = part.split()
+        if kind.startswith("decimal("):
+            precision, scale = kind[8:-1].split(",")
+            out = out.add(name, T.DecimalType(int(precision), int(scale)))
+        else:
+            out = out.add(name, KINDS[kind])
+    return out
