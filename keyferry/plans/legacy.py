@@ -75,9 +75,9 @@ def legacy_accounts(run: FrameRun):
         "user_role": "_role",
         "status": X.status_label(c("account_status")),
     }
-    rows = target_rows(people, USERS, run.cfg, mapping, c("_user"))
+    rows = target_rows(people, USERS, run.cfg, mapping, c("_user"), ("_user",))
     rules = {"created_at": "target", "from_sf": "target"}
-    users = run.load(USERS, rows, merge_spec(("id",), rows, USERS, mapping, rules))
+    users = run.load(USERS, rows, merge_spec(("id",), rows, USERS, mapping, rules, ("updated_at", "_user")))
 
     assigned = _legacy_roles(run, files, roles, people)
     kept, rejected = split_rejects(assigned)

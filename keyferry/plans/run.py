@@ -1,8 +1,8 @@
 """What a load works on: extracts in, target tables out, rejects and counts on the side.
 
-``FrameRun`` keeps everything lazy and in frames (tests, queries). ``StoreRun`` reads landed files
-and commits to a ``TableStore``; it writes each cleaned and resolved extract once and derives the
-merge, the rejects and the counts from the written copy.
+Each cleaned and resolved extract is written once; merge, rejects and counts derive from the
+written copy. ``FrameRun`` works on frames and leaves the merged tables lazy (tests, queries),
+``StoreRun`` reads landed files and commits to a ``TableStore``.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from ..operators.merge import guarded_merge, match_source, merge
 from ..operators.quality import (
     REJECT, cast_to_spec, reject_first, reject_report, split_rejects, unique_violations, validate,
 )
-from ..session import empty_frame
+from ..session import cut_lineage, empty_frame
 from ..sources.extracts import csv_bundle, scan_object
 from ..sources.store import TableStore
 from ..specs import MergeSpec, SourceSpec, TableSpec
@@ -107,7 +107,7 @@ def clashing(df: DataFrame, target: DataFrame, columns: list[str], spec: MergeSp
 
 @dataclass
 class FrameRun:
-    """Lazy run over frames: ``extracts`` and ``targets`` by name."""
+    """Run over frames: ``extracts`` and ``targets`` by name."""
 
     spark: SparkSession
     cfg: LoadConfig
@@ -133,7 +133,8 @@ class FrameRun:
         return rows.filter(F.col(key).isNotNull()).select(key, "id")
 
     def stage(self, name: str, df: DataFrame) -> DataFrame:
-        return df
+        """Compute an intermediate result once; what follows reads the written copy."""
+        return cut_lineage(df)
 
     def publish(self, table: TableSpec, df: DataFrame) -> DataFrame:
         self.targets[table.name] = df

@@ -11,6 +11,7 @@ from .run import FrameRun, merge_spec, target_rows
 from .tables import WETMILL_VISITS, WETMILLS, WV_SURVEY_QUESTION_RESPONSES, WV_SURVEY_RESPONSES
 
 c = F.col
+ORDER = ("updated_at", "_old")
 
 
 def _texts(*names: str) -> dict:
@@ -113,8 +114,8 @@ def wetmill_surveys(run: FrameRun):
         "registration_date": X.to_date_safe(c("registration_date")),
         "is_deleted": X.to_bool2(c("is_deleted")),
     }
-    rows = target_rows(mills, WETMILLS, run.cfg, mapping, c("_id"))
-    spec = merge_spec(("commcare_case_id", "id"), rows, WETMILLS, mapping, rules | keep)
+    rows = target_rows(mills, WETMILLS, run.cfg, mapping, c("_id"), ("_old",))
+    spec = merge_spec(("commcare_case_id", "id"), rows, WETMILLS, mapping, rules | keep, ORDER)
     remap = _remap(mills, run.load(WETMILLS, rows, spec), "commcare_case_id")
 
     visits = remap_cascade(files["wetmill_visits"].withColumn("_up", X.clean_str(c("wetmill_id"))), remap, "_up", "_parent")
@@ -126,8 +127,8 @@ def wetmill_surveys(run: FrameRun):
         "user_id": "_actual_user",
         "visit_date": X.to_date_safe(c("visit_date")),
     }
-    rows = target_rows(visits, WETMILL_VISITS, run.cfg, mapping, c("_id"))
-    spec = merge_spec(("submission_id", "id"), rows, WETMILL_VISITS, mapping, rules | keep)
+    rows = target_rows(visits, WETMILL_VISITS, run.cfg, mapping, c("_id"), ("_old",))
+    spec = merge_spec(("submission_id", "id"), rows, WETMILL_VISITS, mapping, rules | keep, ORDER)
     remap = _remap(visits, run.load(WETMILL_VISITS, rows, spec), "submission_id")
 
     answers = remap_cascade(files["survey_responses"].withColumn("_up", X.clean_str(c("form_visit_id"))), remap, "_up", "_parent")
@@ -137,8 +138,8 @@ def wetmill_surveys(run: FrameRun):
         "form_visit_id": "_parent",
         "completed_date": X.to_date_safe(c("completed_date")),
     }
-    rows = target_rows(answers, WV_SURVEY_RESPONSES, run.cfg, mapping, c("_id"))
-    spec = merge_spec(("submission_id", "id"), rows, WV_SURVEY_RESPONSES, mapping, keep)
+    rows = target_rows(answers, WV_SURVEY_RESPONSES, run.cfg, mapping, c("_id"), ("_old",))
+    spec = merge_spec(("submission_id", "id"), rows, WV_SURVEY_RESPONSES, mapping, keep, ORDER)
     remap = _remap(answers, run.load(WV_SURVEY_RESPONSES, rows, spec), "submission_id")
 
     items = remap_cascade(
@@ -153,6 +154,6 @@ def wetmill_surveys(run: FrameRun):
         "value_boolean": X.to_bool2(c("value_boolean"), keep_null=True),
         "value_date": X.to_ts_ntz(c("value_date")),
     }
-    rows = target_rows(items, WV_SURVEY_QUESTION_RESPONSES, run.cfg, mapping, c("_id"))
-    spec = merge_spec(("submission_id", "id"), rows, WV_SURVEY_QUESTION_RESPONSES, mapping, rules | keep)
+    rows = target_rows(items, WV_SURVEY_QUESTION_RESPONSES, run.cfg, mapping, c("_id"), ("_old",))
+    spec = merge_spec(("submission_id", "id"), rows, WV_SURVEY_QUESTION_RESPONSES, mapping, rules | keep, ORDER)
     return run.load(WV_SURVEY_QUESTION_RESPONSES, rows, spec)
