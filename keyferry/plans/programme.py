@@ -40,7 +40,7 @@ def locations(run: FrameRun):
     """Upsert, then link parents over the whole table.
 
     Records of the extract get the parent they name, or none; others keep theirs. The update time
-    moves only when the link really changes.
+    moves to now only when the link really changes, and never back.
     """
     src = run.extract("locations")
     mapping = stamps() | {
@@ -50,7 +50,8 @@ def locations(run: FrameRun):
     rows = target_rows(src, LOCATIONS, run.cfg, mapping, c("Id"))
     before = run.target("locations")
     stored = before.select("sf_id", "parent_location_id").filter(c("sf_id").isNotNull())
-    merged = run.load(LOCATIONS, rows, merge_spec(("sf_id",), rows, LOCATIONS, mapping))
+    rules = {"updated_at": "greatest"}
+    merged = run.load(LOCATIONS, rows, merge_spec(("sf_id",), rows, LOCATIONS, mapping, rules))
     named = dedupe_last(src, ["Id"], ["LastModifiedDate"]).select("Id", F.struct(c("Parent_Location__c").alias("ref")))
     linked = lookup_key(merged, named, "sf_id", "_named").withColumn("_ref", c("_named.ref"))
     linked = lookup_key(linked, merged.filter(c("sf_id").isNotNull()).select("sf_id", "id"), "_ref", "_parent")

@@ -20,7 +20,7 @@ from ..operators.quality import (
     REJECT, cast_to_spec, reject_first, reject_report, split_rejects, unique_violations, validate,
 )
 from ..session import cut_lineage, empty_frame
-from ..sources.extracts import csv_bundle, scan_object
+from ..sources.extracts import csv_bundle, scan_object, widen
 from ..sources.store import TableStore
 from ..specs import MergeSpec, SourceSpec, TableSpec
 from .extracts import SOURCES
@@ -219,7 +219,8 @@ class StoreRun(FrameRun):
 
     def extract(self, name: str, spec: SourceSpec | None = None) -> DataFrame:
         spec = spec or SOURCES[name]
-        return scan_object(self.spark, f"{self.landing}/{spec.name}", spec, self.fmt)
+        df = scan_object(self.spark, f"{self.landing}/{spec.name}", spec, self.fmt)
+        return widen(df, spec.fields[0])
 
     def files(self, names: Mapping[str, str]) -> dict[str, DataFrame]:
         return csv_bundle(self.spark, {n: f"{self.landing}/{f}" for n, f in names.items()})

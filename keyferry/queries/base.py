@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
+from ..sources.extracts import widen
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -26,13 +27,19 @@ SOURCES: dict[str, str] = {}
 class Data:
     """Driver tables and derived sources of one scale factor."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, wide: bool = False):
         self.spark = prepare(spark)
         self.dir = sf_dir.rstrip("/")
+        self._wide = wide
+
+    def wide(self) -> Data:
+        """The same data with small files spread over all cores, for CPU-bound loads."""
+        return Data(self.spark, self.dir, True)
 
     def __call__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+            df = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+            return widen(df, df.columns[0]) if self._wide and name in ("lineitem", "orders") else df
         text = SOURCES[name]
         return self.spark.sql(text, **{n: self(n) for n in _uses(text)})
 

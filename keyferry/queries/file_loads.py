@@ -190,11 +190,14 @@ MILLS = """
 
 
 def _surveys(d) -> FrameRun:
+    wide = d.wide()
     run = FrameRun(
         d.spark,
         LoadConfig("sys"),
-        {"wetmills": d("f_mills"), "wetmill_visits": d("f_visits"), "survey_responses": d("f_responses"),
-         "survey_question_responses": d("f_questions"), "legacy_users": d("f_users")},
+        {n: wide(f"f_{s}") for n, s in (
+            ("wetmills", "mills"), ("wetmill_visits", "visits"), ("survey_responses", "responses"),
+            ("survey_question_responses", "questions"), ("legacy_users", "users"),
+        )},
         {"users": _shaped(d("t_accounts"), TABLES["users"].schema), "wetmills": _shaped(d("t_mills"), TABLES["wetmills"].schema)},
     )
     STEPS["wetmills"].load(run)

@@ -29,10 +29,11 @@ def _shaped(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def run_load(d, step: str, extracts: dict[str, str], targets: dict[str, str], cfg: LoadConfig = CFG) -> FrameRun:
     """Run one load over named sources; targets hold stored rows or just key columns."""
+    wide = d.wide()
     run = FrameRun(
         d.spark,
         cfg,
-        {n: _shaped(d(s), SOURCES[n].schema()) for n, s in extracts.items()},
+        {n: _shaped(wide(s), SOURCES[n].schema()) for n, s in extracts.items()},
         {n: _shaped(d(s), TABLES[n].schema) for n, s in targets.items()},
     )
     STEPS[step].load(run)

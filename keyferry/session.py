@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,29 +28,35 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints, as named by the cluster.
+    """Shared folder for intermediate tables, as named by the cluster.
 
     Only a local test session without the setting gets a folder of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        return named
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="keyferry-")
+        return named.rstrip("/")
+    sc = spark.sparkContext
+    if sc.master.startswith("local"):
+        if sc.applicationId not in _local_dirs:
+            _local_dirs[sc.applicationId] = tempfile.mkdtemp(prefix="keyferry-")
+        return _local_dirs[sc.applicationId]
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the frame to the shared checkpoint folder and go on from there.
+    """Write the frame as a table to the shared checkpoint folder and go on from there.
 
-    Used between the rounds of the iterative operators: the plan stays small and a lost executor
-    costs one round at most.
+    Used for staged extracts and between the rounds of the iterative operators: plans stay small,
+    a lost executor costs no recomputation of what is written, and unlike a checkpointed RDD the
+    table has a known size, so later joins broadcast it exactly when it is small enough.
     """
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
-    return df.checkpoint(eager=True)
+    path = f"{checkpoint_dir(df.sparkSession)}/keyferry/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:

@@ -1,7 +1,7 @@
-from .extracts import count_rows, csv_bundle, read_csv_strings, require_inputs, resolve_column, scan_object
+from .extracts import count_rows, csv_bundle, read_csv_strings, require_inputs, resolve_column, scan_object, widen
 from .store import TableStore
 
 __all__ = [
     "TableStore", "count_rows", "csv_bundle", "read_csv_strings", "require_inputs", "resolve_column",
-    "scan_object",
+    "scan_object", "widen",
 ]

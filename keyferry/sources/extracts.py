@@ -40,6 +40,16 @@ def scan_object(
     return df if where is None else df.filter(where)
 
 
+def widen(df: DataFrame, key: str) -> DataFrame:
+    """Spread a plain scan that has fewer partitions than the cluster has cores.
+
+    A few small files would otherwise keep the cleaning and exploding of a whole extract on a few
+    cores. Large inputs have more partitions than cores and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def count_rows(df: DataFrame, name: str = "n_rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 

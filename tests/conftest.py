@@ -23,3 +23,13 @@ def spark():
 
     yield prepare(session)
     session.stop()
+
+
+@pytest.fixture(scope="session")
+def quick(spark):
+    """Tiny inputs: interpreting the plans is faster than compiling them."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    spark.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
+    yield spark
+    spark.conf.unset("spark.sql.codegen.wholeStage")
+    spark.conf.unset("spark.sql.codegen.factoryMode")
