@@ -157,11 +157,11 @@ source(
 source(
     "f_questions",
     """
-    SELECT 'q' || CAST(l_orderkey AS STRING) || '-' || CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS id,
+    SELECT 'q' || CAST(l_orderkey AS STRING) || '-' || CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(CAST(floor(l_extendedprice) AS BIGINT) AS STRING) AS id,
       's' || CAST(l_orderkey AS STRING) AS survey_response_id, 'sec' AS section_name, 'q' || CAST(l_linenumber AS STRING) AS question_name, 'number' AS field_type, 'None' AS value_text,
       CASE WHEN l_returnflag = 'A' THEN CAST(l_linenumber AS STRING) || '.5' END AS value_number, CASE WHEN l_returnflag = 'N' THEN 'T' WHEN l_returnflag = 'R' THEN 'no' END AS value_boolean,
       '' AS value_date, '' AS value_gps,
-      'qs' || CAST(l_orderkey AS STRING) || '-' || CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS submission_id,
+      'qs' || CAST(l_orderkey AS STRING) || '-' || CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(CAST(floor(l_extendedprice) AS BIGINT) AS STRING) AS submission_id,
       CAST(l_shipdate AS STRING) AS created_at, CAST(l_shipdate AS STRING) AS updated_at
     FROM {lineitem}
     """,
