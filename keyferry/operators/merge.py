@@ -128,8 +128,8 @@ def guarded_merge(
     target; the source brings the id a new row would get.
 
     The result is that of applying the records one after the other in this order: refused ones,
-    those matching by the alternative key only, those matching by the record key, new ones; within
-    each class by ``spec.order``. So
+    those that leave the alternative key of their row as it is, those that move their row to
+    another alternative key, new ones; within each class by ``spec.order``. So
       * a record that moves a target row to an alternative key owns that key from then on, further
         records claiming it for another row are refused, and new records with it update that row;
       * new records that share an alternative key become one row with the first one's id.
@@ -149,8 +149,8 @@ def guarded_merge(
     total = ", ".join(["_step", *[f"`{c}`" for c in spec.order], f"xxhash64({quoted(cols)})"])
     src = src.selectExpr(
         "*",
-        "CASE WHEN _id1 <> _id2 THEN 0 WHEN _id1 IS NULL AND _id2 IS NOT NULL THEN 1 "
-        "WHEN _id1 IS NOT NULL THEN 2 ELSE 3 END AS _step",
+        "CASE WHEN _id1 <> _id2 THEN 0 WHEN _id1 IS NULL AND _id2 IS NULL THEN 3 "
+        f"WHEN _id2 IS NULL AND `{k2}` IS NOT NULL THEN 2 ELSE 1 END AS _step",
         "coalesce(_id1, _id2) AS _hit",
     ).selectExpr("*", f"struct({total}) AS _turn")
 

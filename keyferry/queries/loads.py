@@ -409,8 +409,8 @@ FARMER_STEPS = f"""
                  CAST(trunc(CAST(Age__c AS DOUBLE)) AS INT) AS age, CASE WHEN Gender__c = 'f' THEN 'Female' ELSE 'Male' END AS gender,
                  Primary_Household_Member__c = 'Yes' AS prim
                FROM {{x_farmers}} x JOIN {{k_groups}} g ON Training_Group__c = g.sf_id JOIN {{k_households}} h ON Household__c = h.sf_id),
-    a AS (SELECT r.*, t1.id AS id1, t2.id AS id2, CASE WHEN t1.id <> t2.id THEN 0 WHEN t1.id IS NULL AND t2.id IS NOT NULL THEN 1
-              WHEN t1.id IS NOT NULL THEN 2 ELSE 3 END AS step
+    a AS (SELECT r.*, t1.id AS id1, t2.id AS id2, CASE WHEN t1.id <> t2.id THEN 0 WHEN t1.id IS NULL AND t2.id IS NULL THEN 3
+              WHEN t2.id IS NULL THEN 2 ELSE 1 END AS step
           FROM r LEFT JOIN {{t_farmers}} t1 ON r.Id = t1.sf_id LEFT JOIN {{t_farmers}} t2 ON r.cc = t2.commcare_case_id),
     o AS (SELECT cc, arg_min(coalesce(id1, nid), (step, LastModifiedDate, Id)) AS owner FROM a WHERE step >= 2 AND id2 IS NULL GROUP BY 1),
     b AS (SELECT a.*, step = 0 OR (step = 2 AND coalesce(owner <> id1, false)) AS refused, CASE WHEN step = 3 THEN owner ELSE coalesce(id1, id2) END AS dest

@@ -155,7 +155,7 @@ source(
 )
 GUARD = """
     WITH a AS (SELECT r.*, t1.id AS id1, t2.id AS id2,
-                 CASE WHEN t1.id <> t2.id THEN 0 WHEN t1.id IS NULL AND t2.id IS NOT NULL THEN 1 WHEN t1.id IS NOT NULL THEN 2 ELSE 3 END AS step
+                 CASE WHEN t1.id <> t2.id THEN 0 WHEN t1.id IS NULL AND t2.id IS NULL THEN 3 WHEN t2.id IS NULL AND r.case_id IS NOT NULL THEN 2 ELSE 1 END AS step
                FROM {records} r LEFT JOIN {members} t1 ON r.sf_id = t1.sf_id LEFT JOIN {members} t2 ON r.case_id = t2.case_id),
     o AS (SELECT case_id, arg_min(coalesce(id1, id), (step, seq)) AS owner FROM a WHERE step >= 2 AND id2 IS NULL GROUP BY 1),
     b AS (SELECT a.*, coalesce(id1, id2) AS hit, step = 0 OR (step = 2 AND coalesce(owner <> id1, false)) AS refused,

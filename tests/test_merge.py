@@ -64,9 +64,11 @@ def one_by_one(target, records):
         }
 
     def step(rec):
-        by_id = [r["id"] for r in snapshot if rec["sf_id"] is not None and r["sf_id"] == rec["sf_id"]]
         found = hits(snapshot, rec)
-        return 0 if len(found) > 1 else 3 if not found else 2 if by_id else 1
+        if len(found) != 1:
+            return 0 if found else 3
+        row = next(r for r in snapshot if r["id"] in found)
+        return 1 if rec["case_id"] in (None, row["case_id"]) else 2
 
     actions = {}
     for rec in sorted(records, key=lambda r: (step(r), r["seq"])):
@@ -112,3 +114,17 @@ def test_hot_key_is_combined_before_the_shuffle(spark):
     got = O.collapse(hot, ["k"], ["v"], {"u": "least"})
     assert "partial_max_by" in got._jdf.queryExecution().toString()
     assert [tuple(r) for r in got.select("k", "u", "v").collect()] == [("hot0", 0, 19999)]
+
+
+def test_repeated_guarded_merge_changes_nothing(quick):
+    t = quick.createDataFrame([], "id string, sf_id string, case_id string, name string")
+    s = quick.createDataFrame(
+        [("r1", "S1", "C1", "first", 1), ("r2", "S2", "C1", "second", 2), ("r3", "S3", None, "alone", 3)],
+        "id string, sf_id string, case_id string, name string, seq long",
+    )
+    spec = MergeSpec(("sf_id",), ("seq",))
+    once, _ = O.guarded_merge(t, s, ("sf_id", "case_id"), spec)
+    twice, actions = O.guarded_merge(once, s, ("sf_id", "case_id"), spec)
+    cols = ("id", "sf_id", "case_id", "name")
+    assert rows(once, *cols) == [("r1", "S1", "C1", "second"), ("r3", "S3", None, "alone")] == rows(twice, *cols)
+    assert {r["action"] for r in actions.collect()} == {"updated"}
