@@ -28,23 +28,28 @@ def row_hash(df: DataFrame) -> Column:
     return F.expr(f"xxhash64({quoted(hashable(df))})")
 
 
-def _keep_one(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    # The row hash makes the order total, so the winner does not depend on partitioning.
-    w = Window.partitionBy(*key).orderBy(*order, row_hash(df))
+def _keep_one(df: DataFrame, key: Sequence[str], order: Sequence[Column], total: bool) -> DataFrame:
+    # The row hash makes the order total, so the winner does not depend on partitioning. It needs
+    # every column; where the given order is total already, unused columns stay unread.
+    w = Window.partitionBy(*key).orderBy(*order, *([] if total else [row_hash(df)]))
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def dedupe_latest(df: DataFrame, key: Sequence[str], stamp: str, seq: Sequence[str] = ()) -> DataFrame:
-    """Newest row per key; of rows with the same stamp the first by ``seq`` stays."""
-    return _keep_one(df, key, [F.col(stamp).desc_nulls_last(), *[F.col(c).asc() for c in seq]])
+def dedupe_latest(df: DataFrame, key: Sequence[str], stamp: str, seq: Sequence[str] = (), total: bool = False) -> DataFrame:
+    """Newest row per key; of rows with the same stamp the first by ``seq`` stays.
+
+    ``total`` says that the order columns tell any two rows of a key apart.
+    """
+    order = [F.col(stamp).desc_nulls_last(), *[F.col(c).asc() for c in seq]]
+    return _keep_one(df, key, order, total)
 
 
-def dedupe_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    return _keep_one(df, key, [F.col(c).asc() for c in order])
+def dedupe_first(df: DataFrame, key: Sequence[str], order: Sequence[str], total: bool = False) -> DataFrame:
+    return _keep_one(df, key, [F.col(c).asc() for c in order], total)
 
 
-def dedupe_last(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    return _keep_one(df, key, [F.col(c).desc() for c in order])
+def dedupe_last(df: DataFrame, key: Sequence[str], order: Sequence[str], total: bool = False) -> DataFrame:
+    return _keep_one(df, key, [F.col(c).desc() for c in order], total)
 
 
 def distinct_keys(df: DataFrame, column: str) -> DataFrame:
@@ -68,9 +73,9 @@ def collapse(
     rules = rules or {}
     rest = [c for c in df.columns if c not in group and (keep is None or c in keep)]
     seq = "_seq"
-    # The row hash makes the order total.
+    # The hash of the kept columns decides between rows of equal order.
     total = quoted([*order]) + ", " if order else ""
-    hashed = [c for c in hashable(df) if c not in group]
+    hashed = [c for c in hashable(df) if c in rest]
     df = df.select("*", F.expr(f"struct({total}xxhash64({quoted(hashed)})) AS {seq}"))
     last = [c for c in rest if rules.get(c, "source") == "source"]
     first = [c for c in rest if rules.get(c) == "target"]

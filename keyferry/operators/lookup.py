@@ -20,13 +20,18 @@ from .quality import reject_first
 
 
 def spread(df: DataFrame, key: str) -> Column:
-    """The key, or a value that differs from row to row where the key is null."""
+    """The key, or a value that differs from row to row where the key is null.
+
+    The filler is a hash of the first other column: by convention that identifies the record, and
+    no further column has to be read for it.
+    """
     kind = df.schema[key].dataType
-    h = f"xxhash64({quoted(hashable(df))})"
+    others = [c for c in hashable(df) if c != key][:1]
+    if not others or not isinstance(kind, (T.IntegerType, T.LongType, T.StringType)):
+        return F.col(f"`{key}`")
+    h = f"xxhash64({quoted(others)})"
     if isinstance(kind, T.IntegerType):
         h = f"pmod({h}, 2147483647)"
-    elif not isinstance(kind, (T.LongType, T.StringType)):
-        return F.col(key)
     return F.expr(f"coalesce(`{key}`, CAST({h} AS {kind.simpleString()}))")
 
 

@@ -20,17 +20,25 @@ from .lookup import lookup_key
 ACTION = "_action"
 
 
+def _key_expr(key: Sequence[str]) -> str:
+    if len(key) == 1:
+        return f"`{key[0]}`"
+    return "coalesce(" + ", ".join(f"'{i}:' || `{c}`" for i, c in enumerate(key)) + ")"
+
+
+def _held_keys(target: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Merge keys the target holds; reads no other column."""
+    return target.selectExpr(f"{_key_expr(key)} AS _k", "1 AS _n").filter("_k IS NOT NULL")
+
+
 def _with_merge_key(df: DataFrame, key: Sequence[str], null_mark: int) -> DataFrame:
     """Add ``_k`` (first non-null key) and ``_n`` (1, or ``null_mark`` when there is none).
 
     Rows without a key get their own hash as ``_k``, so they spread out, and sides use different
     null marks, so they never match.
     """
-    if len(key) == 1:
-        k, kind = f"`{key[0]}`", df.schema[key[0]].dataType
-    else:
-        k = "coalesce(" + ", ".join(f"'{i}:' || `{c}`" for i, c in enumerate(key)) + ")"
-        kind = T.StringType()
+    k = _key_expr(key)
+    kind = df.schema[key[0]].dataType if len(key) == 1 else T.StringType()
     filler = f"xxhash64({quoted(hashable(df))})"
     if isinstance(kind, T.IntegerType):
         filler = f"pmod({filler}, 2147483647)"
@@ -92,7 +100,7 @@ def merge_with_actions(target: DataFrame, source: DataFrame, spec: MergeSpec) ->
     # Small source: the left and semi joins can broadcast it, so the target is rewritten by a
     # map-only pass and only its keys are scanned a second time.
     updated = t.join(s, on, "left")
-    held = tgt.select("_k", "_n").join(s.select("_sk", "_sn"), on, "left_semi")
+    held = _held_keys(target, spec.key).join(s.select("_sk", "_sn"), on, "left_semi")
     added = s.join(held, on, "left_anti")
     none = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in t.schema.fields]
     return _merged(updated.union(added.selectExpr(*none, "*")), target, source, spec)
@@ -109,7 +117,7 @@ def insert_only(
     spec = MergeSpec(tuple(key), rules={c: "target" for c in source.columns if c not in key})
     src = _with_merge_key(source, spec.key, 0)
     firsts = collapse(src, ["_k", "_n"], order, spec.rules)
-    held = _with_merge_key(target, spec.key, 2).selectExpr("_k AS _tk", "_n AS _tn")
+    held = _held_keys(target, spec.key).selectExpr("_k AS _tk", "_n AS _tn")
     added = firsts.join(held, F.expr("_k = _tk AND _n = _tn"), "left_anti")
     fill = [
         (F.col(c) if c in source.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c)

@@ -105,6 +105,8 @@ def unique_violations(df: DataFrame, keys: Sequence[Sequence[str]], order: Seque
     The first row is found with an aggregate that combines before its shuffle, then joined back,
     so a value shared by many rows is never gathered in one task.
     """
+    from .lookup import spread
+
     parts = [f"`{c}`" for c in order] + [f"xxhash64({quoted([c for c in hashable(df) if c != REJECT])})"]
     out = df.select("*", F.expr(f"struct({', '.join(parts)}) AS _seq"))
     live = out.filter(F.col(REJECT).isNull()) if REJECT in df.columns else out
@@ -117,7 +119,9 @@ def unique_violations(df: DataFrame, keys: Sequence[Sequence[str]], order: Seque
             .agg(F.min("_seq").alias(f"_first{n}"), F.count(F.lit(1)).alias(f"_n{n}"))
             .filter(f"_n{n} > 1")
         )
-        on = F.expr(" AND ".join(f"`{c}` = {u}" for c, u in zip(key, names)))
+        on = F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in key))
+        for c, u in zip(key, names):
+            on = on & (spread(df, c) == F.col(u))
         out = out.join(firsts, on, "left")
         checks.append((F.expr(f"_first{n} IS NOT NULL AND _seq <> _first{n}"), "unique:" + "+".join(key)))
     marked = reject_first(out, checks)

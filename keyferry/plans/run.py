@@ -19,7 +19,7 @@ from ..operators.merge import guarded_merge, match_source, merge
 from ..operators.quality import (
     REJECT, cast_to_spec, reject_first, reject_report, split_rejects, unique_violations, validate,
 )
-from ..session import cut_lineage, empty_frame
+from ..session import cut_lineage, empty_frame, prepare
 from ..sources.extracts import csv_bundle, scan_object, widen
 from ..sources.store import TableStore
 from ..specs import MergeSpec, SourceSpec, TableSpec
@@ -34,6 +34,8 @@ class LoadConfig:
     ``project_ids``    limits households and farmers to groups of these projects; None means all.
     ``number_fields``  further participant fields that may hold the record number.
     ``reject_zero``    observations with a 0 coordinate are rejected, like missing ones.
+    ``delta``          extracts hold changed records only: tables are rewritten without a shuffle.
+    ``now``            time of the run, for update times that are not the source's.
     """
 
     system_user: str
@@ -41,6 +43,7 @@ class LoadConfig:
     project_ids: tuple[str, ...] | None = None
     number_fields: tuple[str, ...] = ()
     reject_zero: bool = True
+    delta: bool = False
     now: str = "1970-01-01 00:00:00"
 
 
@@ -116,6 +119,9 @@ class FrameRun:
     marked: dict[str, list[DataFrame]] = field(default_factory=dict)
     reports: dict[str, DataFrame] = field(default_factory=dict)
 
+    def __post_init__(self):
+        prepare(self.spark)
+
     def extract(self, name: str, spec: SourceSpec | None = None) -> DataFrame:
         return self.extracts[name]
 
@@ -159,6 +165,7 @@ class FrameRun:
         Rejected rows are kept aside. After the collapse, rows that clash on a further unique
         column, with each other or with the stored table, are rejected as well.
         """
+        spec = replace(spec, delta=self.cfg.delta)
         fits = validate(cast_to_spec(rows, table), table, unique=False)
         staged = self.stage(f"{table.name}_rows", fits)
         self.mark(table.name, staged)

@@ -111,7 +111,7 @@ source("stamped_events", "SELECT event_id, user_id, event_type, value, date_trun
        FROM {stamped_events}) WHERE rn = 1""",
 )
 def _(d):
-    rows = O.dedupe_latest(d("stamped_events"), ["user_id", "event_type"], "stamp", ["event_id"])
+    rows = O.dedupe_latest(d("stamped_events"), ["user_id", "event_type"], "stamp", ["event_id"], total=True)
     return rows.select("user_id", "event_id", "event_type", "value")
 
 
@@ -121,7 +121,7 @@ def _(d):
        ORDER BY l_shipdate, l_orderkey, l_suppkey) AS rn FROM lineitem) WHERE rn = 1""",
 )
 def _(d):
-    rows = O.dedupe_first(d("lineitem"), ["l_partkey"], ["l_shipdate", "l_orderkey", "l_suppkey"])
+    rows = O.dedupe_first(d("lineitem"), ["l_partkey"], ["l_shipdate", "l_orderkey", "l_suppkey"], total=True)
     return rows.select("l_partkey", "l_orderkey", "l_suppkey", "l_quantity")
 
 
@@ -131,7 +131,7 @@ def _(d):
        ORDER BY l_shipdate DESC, l_orderkey DESC, l_suppkey DESC) AS rn FROM lineitem) WHERE rn = 1""",
 )
 def _(d):
-    rows = O.dedupe_last(d("lineitem"), ["l_partkey"], ["l_shipdate", "l_orderkey", "l_suppkey"])
+    rows = O.dedupe_last(d("lineitem"), ["l_partkey"], ["l_shipdate", "l_orderkey", "l_suppkey"], total=True)
     return rows.select("l_partkey", "l_orderkey", "l_suppkey", "l_quantity")
 
 
@@ -141,7 +141,7 @@ def _(d):
        FROM documents) WHERE rn = 1""",
 )
 def _(d):
-    return O.dedupe_latest(d("documents"), ["lang"], "n_chars", ["doc_id"]).select("lang", "doc_id", "n_chars", "text")
+    return O.dedupe_latest(d("documents"), ["lang"], "n_chars", ["doc_id"], total=True).select("lang", "doc_id", "n_chars", "text")
 
 
 @query(

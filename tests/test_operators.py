@@ -100,3 +100,27 @@ def test_parent_path(quick):
     p = quick.createDataFrame([("p1", "Active"), ("p2", "Old")], "id string, status string")
     got = O.filter_by_parent(a, [O.Hop("g", g, "id"), O.Hop("p", p, "id")], F.col("status") == "Active")
     assert [r["i"] for r in got.collect()] == [1]
+
+
+def test_hot_key_is_split_over_tasks(spark):
+    """A third of the rows share one key: adaptive execution splits that partition."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000", "spark.sql.shuffle.partitions": "8",
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(60000, numPartitions=8).selectExpr(
+            "id", "uuid() AS pad", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN concat('k', id % 500) END AS k"
+        )
+        keys = spark.range(500).selectExpr("concat('k', id) AS k", "id AS v").union(spark.sql("SELECT 'hot', -1L"))
+        df = O.lookup_key(rows, keys, "k", "v")
+        assert df.filter("v = -1").count() == 20000
+        df.collect()
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
