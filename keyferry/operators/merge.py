@@ -7,7 +7,7 @@ that partitioning.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -127,7 +127,12 @@ def insert_only(
 
 
 def guarded_merge(
-    target: DataFrame, source: DataFrame, keys: tuple[str, str], spec: MergeSpec, id: str = "id"
+    target: DataFrame,
+    source: DataFrame,
+    keys: tuple[str, str],
+    spec: MergeSpec,
+    id: str = "id",
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Upsert on either of two keys, refused when a row hits more than one target row.
 
@@ -142,6 +147,7 @@ def guarded_merge(
         records claiming it for another row are refused, and new records with it update that row;
       * new records that share an alternative key become one row with the first one's id.
     Each step is an equi join on unique keys or an aggregate that combines before its shuffle.
+    The matched records are used several times; ``stage`` may write them once in between.
     """
     k1, k2 = keys
     rules = {id: "target", k1: "coalesce_target", k2: "coalesce_source"} | dict(spec.rules)
@@ -162,6 +168,9 @@ def guarded_merge(
         "coalesce(_id1, _id2) AS _hit",
     ).selectExpr("*", f"struct({total}) AS _turn")
 
+    if stage:
+        src = stage(src)
+
     # Who owns an alternative key the target does not hold yet: the first row moved to it, else
     # the first new record with it.
     claims = src.filter(f"_step >= 2 AND _id2 IS NULL AND `{k2}` IS NOT NULL")

@@ -172,7 +172,8 @@ class FrameRun:
         kept, _ = split_rejects(staged)
         target = self.target(table.name)
         if guard:
-            merged, actions = guarded_merge(target, kept, guard, spec)
+            staged = lambda df: self.stage(f"{table.name}_matched", df)
+            merged, actions = guarded_merge(target, kept, guard, spec, stage=staged)
             clash = actions.filter(F.col("action") == "duplicate_conflict")
             self.mark(table.name + ":late", clash.withColumn(REJECT, F.col("action")))
             self.report(table.name + "_actions", actions)
