@@ -7,7 +7,7 @@ from .lookup import (
 from .merge import guarded_merge, insert_only, match_source, merge, merge_with_actions
 from .quality import (
     REJECT, cast_to_spec, fk_violations, load_summary, reject_first, reject_if, reject_report,
-    split_rejects, unique_violations, validate,
+    report_sample, split_rejects, unique_violations, validate,
 )
 from .reshape import explode_groups, fan_out, multi_emit, project_map, sorted_projection, unpivot_fields
 from .resolve import resolve_entity, resolve_within
@@ -20,7 +20,7 @@ __all__ = [
     "filter_by_parent", "fk_violations", "guarded_merge", "in_scope", "insert_only", "key_map",
     "link_parent", "load_summary", "lookup_chain", "lookup_key", "lookup_required", "map_codes",
     "match_any_key", "match_source", "merge", "merge_with_actions", "multi_emit", "not_existing",
-    "project_map", "reject_first", "reject_if", "reject_report", "remap_cascade", "require_all", "resolve_entity",
+    "project_map", "reject_first", "reject_if", "reject_report", "remap_cascade", "report_sample", "require_all", "resolve_entity",
     "resolve_within", "route_rules", "sorted_projection", "split_rejects", "unique_violations",
     "unmapped", "unpivot_fields", "validate",
 ]

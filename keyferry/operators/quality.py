@@ -137,6 +137,11 @@ def load_summary(df: DataFrame) -> DataFrame:
     )
 
 
+def report_sample(df: DataFrame, order: Sequence[str], n: int = 20) -> DataFrame:
+    """First ``n`` rows of a report in the given order; each task keeps its own first ``n``."""
+    return df.orderBy(*order).limit(n)
+
+
 def reject_report(df: DataFrame, name: str, key: str, raw: Sequence[str]) -> DataFrame:
     """One report row per rejected row: object, key, kind, message and the raw row as JSON."""
     bad = df.filter(F.col(REJECT).isNotNull())

@@ -131,6 +131,32 @@ def _(d):
     return O.collapse(d("batch"), ["alt"], ORDER, {"created_at": "least"}, keep)
 
 
+source(
+    "mail_target",
+    "SELECT c_custkey AS id, lower(c_name) || '@x.test' AS email, c_name AS first_name, 'stored' AS created_by FROM {customer}",
+)
+source(
+    "mail_source",
+    """
+    SELECT o_orderkey + 1000000 AS id, CASE WHEN o_orderstatus = 'P' THEN 'new' || CAST(o_custkey AS STRING) || '@x.test'
+      ELSE 'customer#' || lpad(CAST(o_custkey AS STRING), 9, '0') || '@x.test' END AS email, o_orderpriority AS first_name, 'loader' AS created_by
+    FROM {orders}
+    """,
+)
+
+
+@query(
+    "merge_on_email",
+    """WITH s AS (SELECT email, arg_max(first_name, id) AS first_name, min(id) AS id FROM {mail_source} GROUP BY 1)
+       SELECT coalesce(t.id, s.id) AS id, coalesce(t.email, s.email) AS email, coalesce(s.first_name, t.first_name) AS first_name,
+         coalesce(t.created_by, 'loader') AS created_by FROM {mail_target} t FULL JOIN s ON t.email = s.email""",
+)
+def _(d):
+    rows = d("mail_source").withColumn("seq", F.col("id"))
+    spec = MergeSpec(("email",), ("seq",), {"id": "target", "created_by": "target"})
+    return O.merge(d("mail_target"), rows, spec)
+
+
 # Customers as stored members and as incoming records: same row by both keys, only by the case
 # key, moved to a new case key, two different rows, or new (several per case key).
 source(

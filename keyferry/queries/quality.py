@@ -110,6 +110,17 @@ def _(d):
     return O.reject_report(rows, "line", "k", ["order_ref", "flag"])
 
 
+@query(
+    "report_sample",
+    """SELECT order_ref, l_partkey, l_suppkey FROM {raw_lines} WHERE order_ref NOT IN (SELECT o_orderkey FROM orders)
+       ORDER BY order_ref, l_partkey, l_suppkey LIMIT 20""",
+)
+def _(d):
+    rows = O.fk_violations(d("raw_lines"), d("orders"), "order_ref", "o_orderkey")
+    missing = rows.filter(F.col(O.REJECT).isNotNull()).select("order_ref", "l_partkey", "l_suppkey")
+    return O.report_sample(missing, ["order_ref", "l_partkey", "l_suppkey"])
+
+
 source(
     "step_accounts",
     "SELECT c_custkey AS code, CASE WHEN c_acctbal < 0 THEN 99 ELSE c_nationkey END AS nation_ref, c_name AS name FROM {customer}",

@@ -22,9 +22,21 @@ SETTINGS = {
 }
 
 
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the settings; on a cluster also let shuffles start with several partitions per core.
+
+    Adaptive execution merges what turns out small, so many initial partitions cost little, while
+    a fixed low number would make the merge of a large table spill. A number set by the user stays.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    sc = spark.sparkContext
+    if not sc.master.startswith("local") and spark.conf.get(INITIAL, None) is None:
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set(INITIAL, str(max(least, 5 * sc.defaultParallelism)))
     return spark
 
 
