@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SPACES = " \t\n\x0b\x0c\r"
@@ -28,3 +28,10 @@ def documents_of(docs: DataFrame, *cols: str) -> DataFrame:
 def held_out(doc_id: Column | str) -> Column:
     """Fold 0 of five by crc32 of the id's text; a null id is held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % 5 == 0, F.lit(True))
+
+
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Few rows to an Arrow batch, so that a batch of long texts stays small in a Python worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    return spark

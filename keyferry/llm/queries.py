@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import exact_dedup, sql
+from . import bpe, exact_dedup, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +36,11 @@ def query(name: str, oracle: str | None = None):
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.exact_classes(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+@query("op3_bpe_round_trip")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), path)
+    decoded = bpe.decode(encoded.withColumn("ids_sha256", F.sha2("ids", 256)), path, keep=("n_tokens", "ids_sha256"))
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
