@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import bpe, exact_dedup, language, sql, token_counts
+from . import bpe, exact_dedup, language, sql, token_counts, toxicity
+from .common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,3 +56,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = language.identify_held_out(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return out.withColumn("held_out", held_out("doc_id")).select("doc_id", "held_out", "score", "predicted")
