@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import bpe, exact_dedup, language, sql, token_counts, toxicity
+from . import bpe, exact_dedup, language, secrets, sql, token_counts, toxicity
 from .common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
     return out.withColumn("held_out", held_out("doc_id")).select("doc_id", "held_out", "score", "predicted")
+
+
+def _joined(spans):
+    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+
+
+@query("op6_secret_scan")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
+    count = {k: F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in secrets.BASE_KINDS}
+    return found.select("doc_id", *count.values(), F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
