@@ -65,6 +65,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("held_out", held_out("doc_id")).select("doc_id", "held_out", "score", "predicted")
 
 
+def _of_kind(kind: str):
+    return F.filter("spans", lambda s: s["kind"] == kind)
+
+
 def _joined(spans):
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
@@ -73,5 +77,5 @@ def _joined(spans):
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
-    count = {k: F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in secrets.BASE_KINDS}
-    return found.select("doc_id", *count.values(), F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
+    counts = [F.size(_of_kind(k)).cast("bigint").alias(f"n_{k}") for k in secrets.BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
