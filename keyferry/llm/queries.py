@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import bpe, exact_dedup, language, secrets, sql, token_counts, toxicity
+from . import bpe, exact_dedup, language, pii, secrets, sql, token_counts, toxicity
 from .common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
     counts = [F.size(_of_kind(k)).cast("bigint").alias(f"n_{k}") for k in secrets.BASE_KINDS]
     return found.select("doc_id", *counts, F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
+
+
+@query("op8_pii")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(table(spark, sf_dir, "documents"))
+    terms = F.transform("terms", lambda t: F.struct(F.lit(pii.TERM).alias("kind"), t["start"].alias("start"), t["end"].alias("end")))
+    base = F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    counts = [F.size(_of_kind(k)).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"), _joined(F.concat(base, terms)).alias("spans"))
