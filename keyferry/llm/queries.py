@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import bpe, exact_dedup, language, pii, secrets, sql, token_counts, toxicity
+from . import bpe, exact_dedup, language, ngram_join, pii, secrets, sql, token_counts, toxicity
 from .common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     counts = [F.size(_of_kind(k)).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"), _joined(F.concat(base, terms)).alias("spans"))
+
+
+@query("op7_ngram_join")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_classes(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
