@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import bpe, exact_dedup, language, ngram_join, pii, secrets, sql, token_counts, toxicity
+from . import bpe, exact_dedup, language, mixing, ngram_join, pii, secrets, sql, token_counts, toxicity
 from .common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+# The production mix: shares follow what is there, flattened, so that no source or language rules it.
+MIX_POWERS = {"source": 0.5, "lang": 0.5, "topic": 0.7}
+MIX_ROUNDS, MIX_BUDGET = 12, 0.5
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -93,3 +97,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_ngram_join")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_classes(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
+
+
+@query("op2_mixing", sql.mixing(MIX_POWERS, MIX_ROUNDS, MIX_BUDGET))
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(table(spark, sf_dir, "documents"), MIX_POWERS, rounds=MIX_ROUNDS, budget=MIX_BUDGET)
+    return out.withColumn("probability", F.round("probability", 6))

@@ -11,3 +11,50 @@ WITH n AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM w
 """
+
+
+def mixing(powers: dict[str, float], rounds: int, budget: float) -> str:
+    """Raking unrolled into one table expression for each round and dimension; the factor by sorted sums."""
+    of = lambda chars: "(" + " + ".join(f"length(t) - length(replace(t, '{c}', ''))" for c in chars) + ")"
+    parts = [
+        f"""d AS (
+  SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang,
+         CASE WHEN {of("|")} * 100 >= n THEN 'table' WHEN {of("$%&#*!")} * 100 >= n * 3 THEN 'marked'
+              WHEN {of("0123456789")} * 100 >= n THEN 'figures' ELSE 'prose' END AS topic,
+         len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+'))::BIGINT AS n_tokens
+  FROM (SELECT *, coalesce(text, '') AS t, greatest(length(coalesce(text, '')), 1) AS n FROM documents)
+)""",
+        "cells AS (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens FROM d GROUP BY ALL)",
+        "total AS (SELECT sum(tokens) AS total FROM cells)",
+        "w0 AS (SELECT *, tokens AS weight FROM cells)",
+    ]
+    for dim, power in powers.items():
+        parts.append(f"t_{dim} AS (SELECT {dim}, pow(sum(tokens), {power}) / sum(pow(sum(tokens), {power})) OVER () AS share FROM cells GROUP BY {dim})")
+    step = 0
+    for _ in range(rounds):
+        for dim in powers:
+            parts.append(
+                f"""w{step + 1} AS MATERIALIZED (
+  SELECT w.source, w.lang, w.topic, w.tokens,
+         CASE WHEN s.now > 0 THEN w.weight * (t.share * total / s.now) ELSE 0 END AS weight
+  FROM w{step} w JOIN (SELECT {dim}, sum(weight) AS now FROM w{step} GROUP BY {dim}) s USING ({dim}) JOIN t_{dim} t USING ({dim}), total)"""
+            )
+            step += 1
+    parts.append(
+        f"""r AS (
+  SELECT *, coalesce(sum(tokens) OVER up, 0) AS full_tokens, sum(weight) OVER down AS open_weight
+  FROM w{step} WHERE weight > 0
+  WINDOW up AS (ORDER BY weight / tokens DESC, source, lang, topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         down AS (ORDER BY weight / tokens DESC, source, lang, topic ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+)"""
+    )
+    factor = f"({budget} * total - full_tokens) / open_weight"
+    parts.append(f"f AS (SELECT arg_max({factor}, weight / tokens) FILTER (weight * {factor} < tokens) AS factor FROM r, total)")
+    return (
+        "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, source, lang, topic, n_tokens,
+       round(CASE WHEN n_tokens = 0 THEN 1 WHEN factor IS NULL THEN CAST(weight > 0 AS DOUBLE) ELSE least(1, factor * weight / tokens) END, 6)::DOUBLE AS probability,
+       n_tokens = 0 OR ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '(none)') || ':mix'), 1, 13))::BIGINT / {16**13}::DOUBLE
+         < CASE WHEN factor IS NULL THEN CAST(weight > 0 AS DOUBLE) ELSE least(1, factor * weight / tokens) END AS kept
+FROM d JOIN w{step} USING (source, lang, topic), f"""
+    )
