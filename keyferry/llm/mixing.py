@@ -59,7 +59,8 @@ def _targets(cells: DataFrame, dim: str, target: Mapping[str, float] | float) ->
         there = cells.select(dim).distinct().join(cells.sparkSession.range(1).select(F.inline(F.array(*rows))), dim)
     else:
         there = cells.groupBy(dim).agg(F.pow(F.sum("tokens").cast("double"), F.lit(float(target))).alias("power"))
-    return there.crossJoin(there.agg(F.sum("power").alias("all"))).select(dim, (F.col("power") / F.col("all")).alias("share"))
+    whole_power = there.agg(F.sum("power")).first()[0] or 1.0
+    return there.select(dim, (F.col("power") / F.lit(float(whole_power))).alias("share"))
 
 
 def rake(cells: DataFrame, targets: Mapping[str, Mapping[str, float] | float], rounds: int) -> DataFrame:

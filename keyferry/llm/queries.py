@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import bpe, exact_dedup, language, mixing, ngram_join, pii, secrets, sql, token_counts, toxicity
+from . import bpe, embedding_dups, exact_dedup, language, mixing, ngram_join, pii, secrets, sql, token_counts, toxicity
 from .common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"), MIX_POWERS, rounds=MIX_ROUNDS, budget=MIX_BUDGET)
     return out.withColumn("probability", F.round("probability", 6))
+
+
+@query("op5_embedding_near_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dups.near_duplicates(table(spark, sf_dir, "embeddings"))
