@@ -223,6 +223,15 @@ def pooled(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out / np.maximum(np.diff(offsets), 1)[:, None]
 
 
+def _labelled(net: Network, labels: list[str], texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Language and score of each text; None where there is no letter."""
+    data = np.frombuffer(b"".join(t or b"" for t in texts), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t or b"") for t in texts])]).astype(np.int64)
+    p = pooled(net, data, offsets)
+    best = np.where(np.diff(offsets) > 0, p.argmax(axis=1), len(labels))
+    return np.array([*labels, UNDETERMINED], dtype=object)[best], np.clip(p.max(axis=1), 0, 1)
+
+
 def identify(docs: DataFrame, model: tuple[Network, list[str]] | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, lang_pred and score, the pooled probability of that language, for every row."""
     spark = bounded_batches(docs.sparkSession)
@@ -234,23 +243,34 @@ def identify(docs: DataFrame, model: tuple[Network, list[str]] | None, id_col: s
     given = spark.sparkContext.broadcast(model)  # a few thousand weights
 
     def run(batches):
-        net, labels = given.value
-        names = np.array([*labels, UNDETERMINED], dtype=object)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            data = np.frombuffer(b"".join(t or b"" for t in texts), np.uint8)
-            offsets = np.concatenate([[0], np.cumsum([len(t or b"") for t in texts])]).astype(np.int64)
-            p = pooled(net, data, offsets)
-            best = np.where(np.diff(offsets) > 0, p.argmax(axis=1), len(labels))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names[best], pa.string()), pa.array(np.clip(p.max(axis=1), 0, 1), pa.float64())],
-                names=["id", "lang_pred", "score"],
-            )
+            found, score = _labelled(*given.value, batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string()), pa.array(score, pa.float64())], names=["id", "lang_pred", "score"])
 
     out = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, lang_pred string, score double")
     return out.withColumnRenamed("id", id_col)
 
 
+def keep_identified(docs: DataFrame, model: tuple[Network, list[str]] | None, text_col: str = "text", min_score: float = 0.0) -> DataFrame:
+    """The documents, all their columns, whose language is determined with at least ``min_score``.
+
+    Without a model nothing can be judged but whether there is a letter at all.
+    """
+    spark = bounded_batches(docs.sparkSession)
+    rows = docs.where(F.coalesce(_has_letter(F.col(text_col)), F.lit(False)))
+    if model is None:
+        return rows
+    given = spark.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            found, score = _labelled(*given.value, [t.encode() for t in batch.column(at).to_pylist()])
+            yield batch.filter(pa.array((found != UNDETERMINED) & (score >= min_score)))
+
+    return rows.mapInArrow(run, docs.schema)
+
+
 def identify_held_out(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> DataFrame:
     """Learn from four folds of the documents and label all of them; ``held_out`` marks the fifth fold."""
     model = fit(docs.where(~held_out(id_col)), text_col, label_col)

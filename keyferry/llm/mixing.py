@@ -18,7 +18,7 @@ has probability 0; further columns are ignored; an empty table gives an empty re
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -101,6 +101,23 @@ def calibrate(cells: DataFrame, budget: float) -> DataFrame:
     return cells.withColumn("probability", F.when(F.col("tokens") > 0, chance).otherwise(1.0))
 
 
+def _cell(docs: DataFrame, topic: Column | None, text_col: str, source_col: str, lang_col: str) -> dict[str, Column]:
+    """The columns of a document that decide its probability."""
+    value = lambda c: F.coalesce(c.cast("string"), F.lit(NONE))
+    return {
+        "source": value(F.col(source_col)),
+        "lang": value(F.col(lang_col)),
+        "topic": value(topic if topic is not None else form_of(text_col)),
+        "n_tokens": tokens(text_col),
+    }
+
+
+def _chances(rows: DataFrame, targets: Mapping[str, Mapping[str, float] | float], rounds: int, budget: float) -> DataFrame:
+    """(source, lang, topic, probability) of all cells."""
+    cells = cut_lineage(rows.groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("tokens")))
+    return cut_lineage(calibrate(rake(cells, targets, rounds), budget)).select("source", "lang", "topic", "probability")
+
+
 def mix(
     docs: DataFrame,
     targets: Mapping[str, Mapping[str, float] | float],
@@ -117,18 +134,32 @@ def mix(
 
     ``targets`` names ``source``, ``lang`` and ``topic``; ``topic`` is a column of the documents.
     """
-    value = lambda c: F.coalesce(c.cast("string"), F.lit(NONE))
-    rows = docs.select(
-        F.col(id_col).alias("id"),
-        value(F.col(source_col)).alias("source"),
-        value(F.col(lang_col)).alias("lang"),
-        value(topic if topic is not None else form_of(text_col)).alias("topic"),
-        tokens(text_col).alias("n_tokens"),
-    )
-    rows = cut_lineage(rows)  # the texts are read once
-    cells = cut_lineage(rows.groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("tokens")))
-    chances = cut_lineage(calibrate(rake(cells, targets, rounds), budget))
-    out = rows.join(chances.select("source", "lang", "topic", "probability"), ["source", "lang", "topic"])
+    cell = _cell(docs, topic, text_col, source_col, lang_col)
+    rows = cut_lineage(docs.select(F.col(id_col).alias("id"), *[c.alias(k) for k, c in cell.items()]))  # the texts are read once
+    out = rows.join(_chances(rows, targets, rounds, budget), ["source", "lang", "topic"])
     drawn = (F.col("n_tokens") == 0) | (draw("id", seed) < F.col("probability"))
     chance = F.when(F.col("n_tokens") == 0, 1.0).otherwise(F.col("probability"))
     return out.select(F.col("id").alias(id_col), "source", "lang", "topic", "n_tokens", chance.alias("probability"), drawn.alias("kept"))
+
+
+def sample(
+    docs: DataFrame,
+    targets: Mapping[str, Mapping[str, float] | float],
+    topic: Column | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    lang_col: str = "lang",
+    rounds: int = 12,
+    budget: float = 0.5,
+    seed: str = "mix",
+) -> DataFrame:
+    """The documents drawn, all their columns; they are those that ``mix`` marks kept."""
+    cell = _cell(docs, topic, text_col, source_col, lang_col)
+    rows = cut_lineage(docs.select(*[c.alias(k) for k, c in cell.items()]).groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("n_tokens")))
+    chances = _chances(rows, targets, rounds, budget)
+    chances = chances.select(*[F.col(c).alias(f"__{c}") for c in chances.columns])  # a row per cell
+    keyed = docs.select("*", *[c.alias(f"__own_{k}") for k, c in cell.items()])
+    match = (F.col("__own_source") == F.col("__source")) & (F.col("__own_lang") == F.col("__lang")) & (F.col("__own_topic") == F.col("__topic"))
+    drawn = (F.col("__own_n_tokens") == 0) | (draw(id_col, seed) < F.col("__probability"))
+    return keyed.join(chances, match).where(drawn).select(*docs.columns)

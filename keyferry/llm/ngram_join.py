@@ -265,3 +265,16 @@ def _across(rest: DataFrame, num: int, den: int) -> DataFrame:
     right = rest.select("gram", F.col("n").alias("n_2"), F.col("at").alias("at_2"), F.col("sig").alias("y"), F.col("root").alias("r_2"))
     met = cell_pairs.join(left, ["gram", "n_1", "at_1"]).join(right, ["gram", "n_2", "at_2"]).where("r_1 <> r_2")
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The documents, all their columns, of which each class keeps the one with the smallest id.
+
+    Rows are told apart by id and text, so that null or repeated ids stay with their own text; rows
+    that are equal in both count as one and are all kept or all dropped.
+    """
+    name = F.coalesce(F.lpad((F.col(id_col).cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")).cast("string"), 20, "0"), F.lit("null"))
+    keyed = docs.withColumn("__row", F.concat_ws(":", name, F.sha2(whole(text_col).cast("binary"), 256)))
+    classes = similar_classes(keyed, "__row", text_col, words, num, den)
+    first = classes.where("__row = component_id").select(F.col("__row").alias("__first")).distinct()
+    return keyed.join(first, F.col("__row") == F.col("__first"), "left_semi").select(*docs.columns)
