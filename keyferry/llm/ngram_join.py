@@ -35,9 +35,9 @@ from ..session import cut_lineage
 from .common import bounded_batches, whole
 from .components import components
 
-BATCH_BYTES = 8 << 20
-RANGE_BYTES = 32 << 20
-SHORT_BITS = 48  # of a hash, as far as frequencies go: two n-grams that agree in them share a count
+BATCH_BYTES = 4 << 20
+RANGE_BYTES = 8 << 20
+SHORT_BITS = 46  # of a hash, as far as frequencies go: two n-grams that agree in them share a count
 
 
 def grams_of(text: bytes, words: int) -> np.ndarray:
@@ -274,7 +274,9 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     that are equal in both count as one and are all kept or all dropped.
     """
     name = F.coalesce(F.lpad((F.col(id_col).cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")).cast("string"), 20, "0"), F.lit("null"))
-    keyed = docs.withColumn("__row", F.concat_ws(":", name, F.sha2(whole(text_col).cast("binary"), 256)))
-    classes = similar_classes(keyed, "__row", text_col, words, num, den)
-    first = classes.where("__row = component_id").select(F.col("__row").alias("__first")).distinct()
-    return keyed.join(first, F.col("__row") == F.col("__first"), "left_semi").select(*docs.columns)
+    name = F.concat_ws(":", name, F.sha2(whole(text_col).cast("binary"), 256))
+    # the row travels as one column: no name of its own can clash
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), name.alias("name"), F.col(text_col).alias("text"))
+    classes = similar_classes(keyed, "name", "text", words, num, den)
+    first = classes.where("name = component_id").select("name").distinct()
+    return keyed.join(first, "name", "left_semi").select("row.*")
