@@ -22,8 +22,8 @@ def stable_id(*cols: Column) -> Column:
     return F.when(F.coalesce(*[c.cast("string") for c in cols]).isNotNull(), F.concat_ws("-", *parts))
 
 
-def hash_key(prefix: str, c: Column, n: int) -> Column:
-    """``prefix`` + first ``n`` hex digits of the sha1 of the text."""
+def hash_key(prefix: str, c: Column, n: int = 40) -> Column:
+    """``prefix`` + first ``n`` hex digits of the sha1 of the text; keys that must be unique take all 40."""
     return F.concat(F.lit(prefix), F.sha1(c.cast("string")).substr(1, n))
 
 
@@ -33,7 +33,7 @@ def prefixed_key(prefix: str, raw: Column, external: Column | None = None) -> Co
     if external is not None:
         choices.append(F.concat(F.lit(f"{prefix}-sf-"), clean_str(external)))
     choices.append(F.concat(F.lit(f"{prefix}-"), clean_str(raw)))
-    choices.append(hash_key(f"{prefix}-", F.coalesce(raw.cast("string"), F.lit("")), 16))
+    choices.append(hash_key(f"{prefix}-", F.coalesce(raw.cast("string"), F.lit(""))))
     return F.coalesce(*choices)
 
 

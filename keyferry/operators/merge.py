@@ -51,10 +51,19 @@ def _with_merge_key(df: DataFrame, key: Sequence[str], null_mark: int) -> DataFr
     )
 
 
+def _split_keyless(source: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows with a merge key, and rows that have none: a null never conflicts, so each of those is new."""
+    none = " AND ".join(f"`{c}` IS NULL" for c in key)
+    return source.filter(f"NOT ({none})"), source.filter(none)
+
+
 def match_source(source: DataFrame, spec: MergeSpec, keep: Sequence[str] | None = None) -> DataFrame:
-    """Source with merge keys added and, unless it is unique, collapsed to one row per key."""
-    src = _with_merge_key(source, spec.key, 0)
-    return src if spec.unique else collapse(src, ["_k", "_n"], spec.order, spec.rules, keep)
+    """Source, unless it is unique, collapsed to one row per key; rows without a key all stay."""
+    if spec.unique:
+        return source
+    keyed, loose = _split_keyless(source, spec.key)
+    folded = collapse(_with_merge_key(keyed, spec.key, 0), ["_k", "_n"], spec.order, spec.rules, keep).drop("_k", "_n")
+    return folded.unionByName(loose.select(*folded.columns))
 
 
 RULES = {
@@ -90,20 +99,27 @@ def _merged(joined: DataFrame, target: DataFrame, source: DataFrame, spec: Merge
 def merge_with_actions(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
     """Merged table plus ``_action``: inserted, updated, unchanged (condition not met), kept."""
     shared = [c for c in target.columns if c in source.columns]
-    src = match_source(source, spec, shared)
+    keyed, loose = _split_keyless(source, spec.key)
+    src = _with_merge_key(keyed, spec.key, 0)
+    if not spec.unique:
+        src = collapse(src, ["_k", "_n"], spec.order, spec.rules, shared)
     tgt = _with_merge_key(target, spec.key, 2)
     s = src.selectExpr("_k AS _sk", "_n AS _sn", "true AS _in_s", *[f"`{c}` AS `s__{c}`" for c in shared])
     t = tgt.selectExpr("_k", "_n", "true AS _in_t", *[f"`{c}` AS `t__{c}`" for c in target.columns])
     on = F.expr("_k = _sk AND _n = _sn")
+    none = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in t.schema.fields]
+    # rows without a key take part in no join
+    key_type = s.schema["_sk"].dataType.simpleString()
+    new = loose.selectExpr(f"CAST(NULL AS {key_type}) AS _sk", "0 AS _sn", "true AS _in_s", *[f"`{c}` AS `s__{c}`" for c in shared])
+    new = new.selectExpr(*none, "*")
     if not spec.delta:
-        return _merged(t.join(s, on, "full_outer"), target, source, spec)
+        return _merged(t.join(s, on, "full_outer").union(new), target, source, spec)
     # Small source: the left and semi joins can broadcast it, so the target is rewritten by a
     # map-only pass and only its keys are scanned a second time.
     updated = t.join(s, on, "left")
     held = _held_keys(target, spec.key).join(s.select("_sk", "_sn"), on, "left_semi")
     added = s.join(held, on, "left_anti")
-    none = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in t.schema.fields]
-    return _merged(updated.union(added.selectExpr(*none, "*")), target, source, spec)
+    return _merged(updated.union(added.selectExpr(*none, "*")).union(new), target, source, spec)
 
 
 def merge(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
@@ -113,9 +129,10 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
 def insert_only(
     target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequence[str] = ()
 ) -> DataFrame:
-    """Add source rows whose key the target lacks; stored rows never change."""
+    """Add source rows whose key the target lacks, and all without a key; stored rows never change."""
     spec = MergeSpec(tuple(key), rules={c: "target" for c in source.columns if c not in key})
-    src = _with_merge_key(source, spec.key, 0)
+    keyed, loose = _split_keyless(source, spec.key)
+    src = _with_merge_key(keyed, spec.key, 0)
     firsts = collapse(src, ["_k", "_n"], order, spec.rules)
     held = _held_keys(target, spec.key).selectExpr("_k AS _tk", "_n AS _tn")
     added = firsts.join(held, F.expr("_k = _tk AND _n = _tn"), "left_anti")
@@ -123,7 +140,7 @@ def insert_only(
         (F.col(c) if c in source.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c)
         for c in target.columns
     ]
-    return target.unionByName(added.select(*fill))
+    return target.unionByName(added.select(*fill)).unionByName(loose.select(*fill))
 
 
 def guarded_merge(
@@ -152,10 +169,7 @@ def guarded_merge(
     k1, k2 = keys
     rules = {id: "target", k1: "coalesce_target", k2: "coalesce_source"} | dict(spec.rules)
 
-    src = _with_merge_key(source, (k1,), 0)
-    if not spec.unique:
-        src = collapse(src, ["_k", "_n"], spec.order, {**rules, k1: "source"})
-    src = src.drop("_k", "_n")
+    src = match_source(source, MergeSpec((k1,), spec.order, {**rules, k1: "source"}, unique=spec.unique))
     cols = src.columns
 
     src = lookup_key(src, target.filter(f"`{k1}` IS NOT NULL").select(k1, id), k1, "_id1")

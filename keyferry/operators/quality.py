@@ -102,12 +102,15 @@ def unique_violations(df: DataFrame, keys: Sequence[Sequence[str]], order: Seque
     """Mark all but the first row of each value of each key.
 
     Null keys never clash. Rows rejected before do not count; the keys are judged side by side.
+    Exact copies are counted first, so that one row stands for them; all but one come back as rejects.
     The first row is found with an aggregate that combines before its shuffle, then joined back,
     so a value shared by many rows is never gathered in one task.
     """
     from .lookup import spread
 
-    parts = [f"`{c}`" for c in order] + [f"xxhash64({quoted([c for c in hashable(df) if c != REJECT])})"]
+    given = df
+    df = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    parts = [f"`{c}`" for c in order] + [f"xxhash64({quoted([c for c in hashable(given) if c != REJECT])})"]
     out = df.select("*", F.expr(f"struct({', '.join(parts)}) AS _seq"))
     live = out.filter(F.col(REJECT).isNull()) if REJECT in df.columns else out
     checks = []
@@ -123,9 +126,10 @@ def unique_violations(df: DataFrame, keys: Sequence[Sequence[str]], order: Seque
         for c, u in zip(key, names):
             on = on & (spread(df, c) == F.col(u))
         out = out.join(firsts, on, "left")
-        checks.append((F.expr(f"_first{n} IS NOT NULL AND _seq <> _first{n}"), "unique:" + "+".join(key)))
-    marked = reject_first(out, checks)
-    return marked.select(*[c for c in df.columns if c != REJECT], REJECT)
+        again = F.expr("_copy > 1 AND " + " AND ".join(f"`{c}` IS NOT NULL" for c in key))
+        checks.append((F.expr(f"_first{n} IS NOT NULL AND _seq <> _first{n}") | again, "unique:" + "+".join(key)))
+    marked = reject_first(out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies"))), checks)
+    return marked.select(*[c for c in given.columns if c != REJECT], REJECT)
 
 
 def load_summary(df: DataFrame) -> DataFrame:

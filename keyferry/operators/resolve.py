@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .dedupe import dedupe_first
 from .lookup import lookup_key
 
 
@@ -37,20 +38,25 @@ def resolve_within(
     the first key with either decides. A row that leads to an earlier row takes over what that
     row resolves to; a row that leads nowhere is its own entity.
 
+    Of rows that repeat an id the first in order counts; all of them get what it resolves to. A row
+    without an id resolves to nothing.
+
     The pointers form a forest (each leads to an earlier row). Their ends are found by pointer
     doubling, so a chain of n rows takes log2(n) rounds, and only rows that are still under way
     take part. Between rounds the open pointers are written to the checkpoint folder.
     """
-    seq = F.struct(*[F.col(c) for c in order], F.col(own))
-    df = df.withColumn("_seq", seq)
-    for i, (col, hits) in enumerate(keys):
-        df = lookup_key(df, hits, col, f"_t{i}")
-        firsts = (
-            df.filter(F.col(col).isNotNull())
-            .groupBy(F.col(col).alias("_value"))
-            .agg(F.min_by(F.struct(F.col(own).alias("row"), "_seq"), "_seq").alias("_first"))
+    seq = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], F.col(own).alias("own"))
+    values = [F.col(col).alias(f"_v{i}") for i, (col, _) in enumerate(keys)]
+    rows = df.filter(F.col(own).isNotNull()).select(F.col(own).alias("_row"), seq.alias("_seq"), *values)
+    base = cut_lineage(dedupe_first(rows, ["_row"], ["_seq"]))
+    nodes = base
+    for i, (_, hits) in enumerate(keys):
+        # found over the written rows alone, so the aggregates carry none of the joins before them
+        firsts = base.filter(f"_v{i} IS NOT NULL").groupBy(F.col(f"_v{i}").alias("_value")).agg(
+            F.min_by(F.struct(F.col("_row").alias("row"), "_seq"), "_seq").alias("_first")
         )
-        df = lookup_key(df, firsts, col, f"_e{i}")
+        nodes = lookup_key(nodes, hits, f"_v{i}", f"_t{i}")
+        nodes = lookup_key(nodes, firsts, f"_v{i}", f"_e{i}")
     target, pointer = F.lit(None), F.lit(None)
     for i in reversed(range(len(keys))):
         t, e = F.col(f"_t{i}"), F.col(f"_e{i}")
@@ -59,9 +65,9 @@ def resolve_within(
         pointer = F.when(t.isNotNull(), F.lit(None)).when(earlier, e["row"]).otherwise(pointer)
     kind = df.schema[own].dataType
     # A row is settled when it has no pointer: it is a target entity or its own.
-    nodes = df.select(
-        F.col(own).alias("_row"),
-        F.coalesce(target.cast(kind), F.when(pointer.isNull(), F.col(own))).alias("_end"),
+    nodes = nodes.select(
+        "_row",
+        F.coalesce(target.cast(kind), F.when(pointer.isNull(), F.col("_row"))).alias("_end"),
         pointer.cast(kind).alias("_next"),
     )
     nodes = cut_lineage(nodes)
@@ -79,5 +85,4 @@ def resolve_within(
         step = cut_lineage(step)
         settled = settled.unionByName(step.filter(F.col("_end").isNotNull()).select("_row", "_end"))
         under_way = step.filter(F.col("_end").isNull()).select("_row", "_next")
-    drop = ["_seq"] + [f"_t{i}" for i in range(len(keys))] + [f"_e{i}" for i in range(len(keys))]
-    return lookup_key(df.drop(*drop), settled, own, out)
+    return lookup_key(df, settled, own, out)

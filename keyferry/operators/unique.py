@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .dedupe import dedupe_first
 from .lookup import lookup_key
 
 DIGITS = 8  # hex digits the suffix grows by per round
+SHA1_DIGITS = 40
 
 
 def _dashed(base: Column, tag: Column) -> Column:
@@ -37,11 +39,15 @@ def assign_unique(
 
     ``taken`` holds (name, owner key); a name the row itself owned before counts as free, so a
     second run changes nothing. Rows that lose a name try again with more digits of the hash of
-    their key. Keys are unique and so is the full hash, hence the rounds end; with 8 digits the
-    second round already settles nearly all rows, however many share one base.
+    their key; with 8 digits the second round already settles nearly all rows, however many share
+    one base. Rows of one key share its name, made from the first of them in order. A row without a
+    name or without a key gets none. If the full hash does not tell two rows apart (a suffixed name
+    that is taken by somebody else), the run ends with an error.
     """
-    seq = F.struct(*[F.col(c) for c in order], F.col(key))
-    open_rows = cut_lineage(df.select(F.col(key).alias("_key"), F.col(base).alias("_base"), seq.alias("_seq")))
+    seq = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], F.col(key).alias("key"))
+    named = df.filter(F.col(key).isNotNull() & F.col(base).isNotNull())
+    rows = named.select(F.col(key).alias("_key"), F.col(base).alias("_base"), seq.alias("_seq"))
+    open_rows = cut_lineage(dedupe_first(rows, ["_key"], ["_seq", "_base"]))
     if taken is not None:
         name, owner = taken.columns
         held = taken.select(F.col(name).alias("_name"), F.col(owner).alias("_owner"))
@@ -50,6 +56,8 @@ def assign_unique(
     done: DataFrame | None = None
     size = 0
     while not open_rows.isEmpty():
+        if size > SHA1_DIGITS:
+            raise ValueError(f"{out}: names are still taken after all digits of the suffix")
         tag = F.sha1(F.col("_key").cast("string")).substr(1, size)
         cand = F.col("_base") if size == 0 else suffixed(F.col("_base"), tag)
         tries = open_rows.withColumn("_cand", cand)
@@ -72,5 +80,5 @@ def assign_unique(
         open_rows = tries.filter(~won).select("_key", "_base", "_seq")
         size += DIGITS
     if done is None:
-        return df.withColumn(out, F.col(base))
+        return df.withColumn(out, F.lit(None).cast("string"))
     return lookup_key(df, done, key, out)

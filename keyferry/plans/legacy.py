@@ -97,7 +97,7 @@ def legacy_accounts(run: FrameRun):
         "tns_id": X.prefixed_key("legacy-pr", c("_pr")),
         "role": "role",
         "status": F.lit("Active"),
-        "commcare_case_id": X.hash_key("LEGACY-PR-", c("_pr"), 20),
+        "commcare_case_id": X.hash_key("LEGACY-PR-", c("_pr")),
         "send_to_commcare_status": F.lit("Pending"),
         "created_at": X.to_ts_utc(c("createdAt")),
         "updated_at": "_updated",

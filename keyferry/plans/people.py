@@ -38,7 +38,7 @@ def users(run: FrameRun):
         "last_name": "LastName",
         "email": "_user_mail",
         "username": "_user_name",
-        "tns_id": X.first_truthy(c("TNS_Id__c"), X.hash_key("", c("Id"), 20)),
+        "tns_id": X.first_truthy(c("TNS_Id__c"), X.hash_key("", c("Id"))),
         "phone_number": "Phone",
         "job_title": "Role_In_Hierarchy__c",
         "user_role": "Role_In_Hierarchy__c",
@@ -126,12 +126,12 @@ def farmers(run: FrameRun):
             Lookup("Household__c", run.ids("households"), "household_id", required=True),
         ],
     )
-    unknown, number = F.lit("Unknown"), [c("TNS_Id__c"), *[c(f) for f in extra], X.hash_key("", c("Id"), 20)]
+    unknown, number = F.lit("Unknown"), [c("TNS_Id__c"), *[c(f) for f in extra], X.hash_key("", c("Id"))]
     mapping = stamps() | {
         "farmer_group_id": "farmer_group_id",
         "household_id": "household_id",
         "tns_id": X.first_truthy(*number),
-        "commcare_case_id": X.first_truthy(c("CommCare_Case_Id__c"), X.hash_key("CC-", c("Id"), 12)),
+        "commcare_case_id": X.first_truthy(c("CommCare_Case_Id__c"), X.hash_key("CC-", c("Id"))),
         "first_name": X.first_truthy(c("Name"), unknown),
         "middle_name": "Middle_Name__c",
         "last_name": X.first_truthy(c("Last_Name__c"), unknown),

@@ -107,8 +107,8 @@ def farmer_groups(run: FrameRun):
         "project_id": "project_id",
         "responsible_staff_id": "responsible_staff_id",
         "location_id": "location_id",
-        "tns_id": X.first_truthy(c("TNS_Id__c"), X.hash_key("", c("Id"), 20)),
-        "commcare_case_id": X.first_truthy(c("CommCare_Case_Id__c"), X.hash_key("CC-", c("Id"), 12)),
+        "tns_id": X.first_truthy(c("TNS_Id__c"), X.hash_key("", c("Id"))),
+        "commcare_case_id": X.first_truthy(c("CommCare_Case_Id__c"), X.hash_key("CC-", c("Id"))),
         "ffg_name": X.first_truthy(c("Name"), F.concat(F.lit("FG-"), c("Id"))),
         "send_to_commcare": X.truthy(c("Create_In_CommCare__c")),
         "send_to_commcare_status": X.first_truthy(c("Sent_to_OpenFn_Status__c"), F.lit("Pending")),

@@ -36,6 +36,8 @@ class LoadConfig:
     ``reject_zero``    observations with a 0 coordinate are rejected, like missing ones.
     ``delta``          extracts hold changed records only: tables are rewritten without a shuffle.
     ``now``            time of the run, for update times that are not the source's.
+    ``csv_line_breaks``  CSV fields may hold line breaks. Each file is then read by one task; without it
+                       large files are split among tasks.
     """
 
     system_user: str
@@ -45,6 +47,7 @@ class LoadConfig:
     reject_zero: bool = True
     delta: bool = False
     now: str = "1970-01-01 00:00:00"
+    csv_line_breaks: bool = True
 
 
 def target_rows(
@@ -149,6 +152,15 @@ class FrameRun:
     def report(self, name: str, df: DataFrame) -> None:
         self.reports[name] = df
 
+    def begin(self) -> None:
+        """A step begins: what it publishes becomes visible when it has finished, all tables at once."""
+
+    def finish(self) -> None:
+        """The step has ended well."""
+
+    def abandon(self) -> None:
+        """The step has failed: nothing of it becomes visible."""
+
     def mark(self, name: str, df: DataFrame) -> None:
         self.marked.setdefault(name, []).append(df)
 
@@ -178,9 +190,11 @@ class FrameRun:
             self.mark(table.name + ":late", clash.withColumn(REJECT, F.col("action")))
             self.report(table.name + "_actions", actions)
             return self.publish(table, merged)
-        others = [k[0] for k in table.unique if k[0] not in spec.key and k[0] in kept.columns] if check_unique else []
+        # a key of several columns keeps none of them unique by itself
+        merged_by = spec.key if len(spec.key) == 1 else ()
+        others = [k[0] for k in table.unique if k[0] not in merged_by and k[0] in kept.columns] if check_unique else []
         if others:
-            single = match_source(kept, spec, [c for c in kept.columns if c in table.columns]).drop("_k", "_n")
+            single = match_source(kept, spec, [c for c in kept.columns if c in table.columns])
             single = self.stage(f"{table.name}_single", clashing(single, target, others, spec))
             kept, late = split_rejects(single)
             self.mark(table.name + ":late", late)
@@ -231,7 +245,7 @@ class StoreRun(FrameRun):
         return widen(df, spec.fields[0])
 
     def files(self, names: Mapping[str, str]) -> dict[str, DataFrame]:
-        return csv_bundle(self.spark, {n: f"{self.landing}/{f}" for n, f in names.items()})
+        return csv_bundle(self.spark, {n: f"{self.landing}/{f}" for n, f in names.items()}, self.cfg.csv_line_breaks)
 
     def target(self, name: str) -> DataFrame:
         return self.store.read(TABLES[name])
@@ -242,5 +256,14 @@ class StoreRun(FrameRun):
     def publish(self, table: TableSpec, df: DataFrame) -> DataFrame:
         return self.store.commit(table, df)
 
+    def begin(self) -> None:
+        self.store.begin()
+
+    def finish(self) -> None:
+        self.store.publish()
+
+    def abandon(self) -> None:
+        self.store.abandon()
+
     def report(self, name: str, df: DataFrame) -> None:
         self.store.write_json(name, df)

@@ -58,9 +58,10 @@ def ordered(names: Sequence[str]) -> list[str]:
 def run_step(audit: Audit, run_id: str, name: str, run: FrameRun) -> dict:
     """One audited step; a failure is recorded with 0 rows and raised again."""
     task = audit.start_task(run_id, name)
+    before = run.marked
+    run.marked = {}
     try:
-        before = dict(run.marked)
-        run.marked = {}
+        run.begin()
         STEPS[name].load(run)
         counts = (
             run.summary()
@@ -70,12 +71,15 @@ def run_step(audit: Audit, run_id: str, name: str, run: FrameRun) -> dict:
         )
         if isinstance(run, StoreRun):
             run.report(f"{name}_rejects", run.rejects())
-        run.marked = before
+        run.finish()
         audit.finish_task(task, counts["rows_in"], counts["rows_loaded"])
         return counts
     except Exception as err:
+        run.abandon()
         audit.finish_task(task, 0, 0, "FAILED", str(err))
         raise
+    finally:
+        run.marked = before
 
 
 def run_steps(audit: Audit, run: FrameRun, names: Sequence[str] | None = None, operator: str = "") -> dict[str, dict]:

@@ -333,7 +333,7 @@ def _(d):
     "prefixed_key",
     f"""SELECT event_id, coalesce('u-sf-' || ({CLEAN.format('raw')}),
           'u-' || CASE WHEN event_type <> 'error' THEN event_type END,
-          'u-' || left(sha1(CASE WHEN event_type = 'error' THEN 'null' ELSE event_type END), 16)) AS k
+          'u-' || sha1(CASE WHEN event_type = 'error' THEN 'null' ELSE event_type END)) AS k
         FROM {{raw_tokens}}""",
 )
 def _(d):

@@ -109,7 +109,7 @@ ROLE_ROWS = (
 @query(
     "load_legacy_project_roles",
     ROLE_ROWS
-    + """ SELECT pr_id AS id, staff_id, jid AS project_id, new_role AS role, 'LEGACY-PR-' || left(sha1(pr_id), 20) AS commcare_case_id, 'legacy-pr-' || pr_id AS tns_id,
+    + """ SELECT pr_id AS id, staff_id, jid AS project_id, new_role AS role, 'LEGACY-PR-' || sha1(pr_id) AS commcare_case_id, 'legacy-pr-' || pr_id AS tns_id,
          'Pending' AS send_to_commcare_status FROM n WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM {t_staff_roles} h WHERE h.staff_id = n.staff_id AND h.project_id = jid AND h.role = new_role)
        UNION ALL SELECT id, staff_id, project_id, role, NULL, NULL, NULL FROM {t_staff_roles}""",
 )

@@ -290,3 +290,24 @@ def _(d):
 def _(d):
     rows = O.map_codes(d("orders"), "o_orderpriority", CODES, "role")
     return O.unmapped(rows, ["o_orderstatus", "o_orderpriority"], "role")
+
+
+# Several orders share an id here, some have none: the first of an id counts, and all of them get its entity.
+source(
+    "repeated_records",
+    """SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN CAST(floor(o_orderkey / 5) AS BIGINT) END AS rid,
+         CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END AS account FROM {orders}""",
+)
+
+
+@query(
+    "in_run_visibility_repeated_ids",
+    """WITH n AS (SELECT rid, o_orderkey AS k, account FROM {repeated_records} WHERE rid IS NOT NULL QUALIFY row_number() OVER (PARTITION BY rid ORDER BY o_orderkey) = 1),
+       f AS (SELECT account, arg_min(rid, k) AS rid1, min(k) AS k1 FROM n WHERE account IS NOT NULL GROUP BY 1),
+       e AS (SELECT n.rid, CASE WHEN k1 < k THEN rid1 ELSE n.rid END AS entity FROM n LEFT JOIN f ON n.account = f.account)
+       SELECT o_orderkey, entity FROM {repeated_records} r LEFT JOIN e ON r.rid = e.rid""",
+)
+def _(d):
+    none = d("customer").select("c_custkey", F.col("c_custkey").alias("id")).where("c_custkey IS NULL")
+    rows = O.resolve_within(d("repeated_records"), "rid", [("account", none)], ["o_orderkey"], "entity")
+    return rows.select("o_orderkey", "entity")

@@ -104,7 +104,7 @@ source(
         SELECT {uid("users", "Id")} AS id, Id AS sf_id, FirstName AS first_name, IsDeleted AS is_deleted,
           CASE WHEN rn = 1 AND NOT held THEN base ELSE base || '-' || left(sha1(Id), 8) END AS username,
           CASE WHEN rm = 1 THEN mail ELSE split_part(mail, '@', 1) || '.' || left(sha1(Id), 8) || '@' || split_part(mail, '@', 2) END AS email,
-          coalesce(nullif(TNS_Id__c, ''), left(sha1(Id), 20)) AS tns_id, TIMESTAMP '2024-01-01' AS created_at FROM x
+          coalesce(nullif(TNS_Id__c, ''), sha1(Id)) AS tns_id, TIMESTAMP '2024-01-01' AS created_at FROM x
         UNION ALL SELECT id, sf_id, NULL, NULL, username, email, tns_id, NULL FROM {{t_users}}""",
 )
 def _(d):
@@ -290,12 +290,12 @@ source(
 
 @query(
     "load_farmer_groups",
-    f"""WITH a AS (SELECT x.*, u.id AS uid, j.id AS jid, l.id AS lid, coalesce(nullif(CommCare_Case_Id__c, ''), 'CC-' || left(sha1(x.Id), 12)) AS cc
+    f"""WITH a AS (SELECT x.*, u.id AS uid, j.id AS jid, l.id AS lid, coalesce(nullif(CommCare_Case_Id__c, ''), 'CC-' || sha1(x.Id)) AS cc
             FROM {{x_groups}} x JOIN {{k_users}} u ON Responsible_Staff__c = u.sf_id JOIN {{k_projects}} j ON Project__c = j.sf_id
             LEFT JOIN {{k_locations}} l ON Location__c = l.sf_id WHERE Sent_to_OpenFn_Status__c <> 'Stuck'),
         b AS (SELECT *, row_number() OVER (PARTITION BY cc ORDER BY Id) AS rn FROM a)
         SELECT {uid("farmer_groups", "Id")} AS id, jid AS project_id, uid AS responsible_staff_id, lid AS location_id,
-          coalesce(TNS_Id__c, left(sha1(Id), 20)) AS tns_id, cc AS commcare_case_id, coalesce(nullif(Name, ''), 'FG-' || Id) AS ffg_name,
+          coalesce(TNS_Id__c, sha1(Id)) AS tns_id, cc AS commcare_case_id, coalesce(nullif(Name, ''), 'FG-' || Id) AS ffg_name,
           FV_AA_Current_Sampling_Round__c::INT AS fv_aa_sampling_round FROM b WHERE rn = 1""",
 )
 def _(d):
@@ -405,7 +405,7 @@ source(
     """,
 )
 FARMER_STEPS = f"""
-    WITH r AS (SELECT x.*, h.id AS hid, coalesce(nullif(CommCare_Case_Id__c, ''), 'CC-' || left(sha1(x.Id), 12)) AS cc, {uid("farmers", "x.Id")} AS nid,
+    WITH r AS (SELECT x.*, h.id AS hid, coalesce(nullif(CommCare_Case_Id__c, ''), 'CC-' || sha1(x.Id)) AS cc, {uid("farmers", "x.Id")} AS nid,
                  CAST(trunc(CAST(Age__c AS DOUBLE)) AS INT) AS age, CASE WHEN Gender__c = 'f' THEN 'Female' ELSE 'Male' END AS gender,
                  Primary_Household_Member__c = 'Yes' AS prim
                FROM {{x_farmers}} x JOIN {{k_groups}} g ON Training_Group__c = g.sf_id JOIN {{k_households}} h ON Household__c = h.sf_id),
@@ -467,16 +467,42 @@ source(
     f"""WITH a AS (SELECT x.*, f.id AS fid, s.id AS sid, coalesce('0:' || Submission_ID__c, '1:' || x.Id) AS k FROM {{x_attendances}} x
             JOIN {{k_farmers}} f ON Participant__c = f.sf_id JOIN {{k_sessions}} s ON Training_Session__c = s.sf_id),
         b AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY LastModifiedDate DESC, Id DESC) AS rn,
-                first_value(Id) OVER (PARTITION BY k ORDER BY LastModifiedDate, Id) AS first_id, min(CreatedDate) OVER (PARTITION BY k) AS low FROM a)
+                first_value(Id) OVER (PARTITION BY k ORDER BY LastModifiedDate, Id) AS first_id, min(CreatedDate) OVER (PARTITION BY k) AS low FROM a),
+        u AS (SELECT * FROM b WHERE rn = 1 QUALIFY row_number() OVER (PARTITION BY Id ORDER BY LastModifiedDate, Submission_ID__c NULLS FIRST) = 1)
         SELECT {uid("attendances", "first_id")} AS id, Id AS sf_id, fid AS farmer_id, sid AS training_session_id, Submission_ID__c AS submission_id,
           CAST(Date__c AS DATE) AS date_attended, CASE WHEN Status__c = 'Yes ' THEN 'Present' WHEN Status__c = 'no' THEN 'Absent'
-            WHEN CAST(Attended__c AS INT) > 0 THEN 'Present' ELSE 'Absent' END AS status, low::TIMESTAMP AS created_at FROM b WHERE rn = 1""",
+            WHEN CAST(Attended__c AS INT) > 0 THEN 'Present' ELSE 'Absent' END AS status, low::TIMESTAMP AS created_at FROM u""",
 )
 def _(d):
     run = run_load(d, "attendances", {"attendances": "x_attendances"}, {"farmers": "k_farmers", "training_sessions": "k_sessions"})
     return out(run.target("attendances"), "id", "sf_id", "farmer_id", "training_session_id", "submission_id", "date_attended", "status", "created_at")
 
 
+# The same records are stored under another submission id: the stored rows stay, the record id is theirs.
+source(
+    "t_attendances",
+    """SELECT 'st-' || Id AS id, Id AS sf_id, 'old-' || Id AS submission_id, 'f0' AS farmer_id, 's0' AS training_session_id, 'Present' AS status
+       FROM {x_attendances} WHERE Attended__c = '0'""",
+)
+
+
+@query(
+    "load_attendances_changed_submission",
+    f"""WITH a AS (SELECT x.*, f.id AS fid, s.id AS sid, coalesce('0:' || Submission_ID__c, '1:' || x.Id) AS k FROM {{x_attendances}} x
+            JOIN {{k_farmers}} f ON Participant__c = f.sf_id JOIN {{k_sessions}} s ON Training_Session__c = s.sf_id),
+        b AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY LastModifiedDate DESC, Id DESC) AS rn,
+                first_value(Id) OVER (PARTITION BY k ORDER BY LastModifiedDate, Id) AS first_id FROM a),
+        u AS (SELECT * FROM b WHERE rn = 1 QUALIFY row_number() OVER (PARTITION BY Id ORDER BY LastModifiedDate, Submission_ID__c NULLS FIRST) = 1)
+        SELECT {uid("attendances", "first_id")} AS id, Id AS sf_id, fid AS farmer_id, sid AS training_session_id, Submission_ID__c AS submission_id
+        FROM u WHERE Id NOT IN (SELECT sf_id FROM {{t_attendances}})
+        UNION ALL SELECT id, sf_id, farmer_id, training_session_id, submission_id FROM {{t_attendances}}""",
+)
+def _(d):
+    targets = {"farmers": "k_farmers", "training_sessions": "k_sessions", "attendances": "t_attendances"}
+    run = run_load(d, "attendances", {"attendances": "x_attendances"}, targets)
+    return out(run.target("attendances"), "id", "sf_id", "farmer_id", "training_session_id", "submission_id")
+
+
 # --- observations and results -----------------------------------------------------------------
 source(
     "x_observations",

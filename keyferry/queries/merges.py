@@ -219,3 +219,35 @@ def _(d):
 )
 def _(d):
     return _guarded(d)[1]
+
+
+# A third of the lines has no key, and many of those are equal in every column: each is a row of its own.
+source(
+    "keyless_batch",
+    """SELECT CASE WHEN l_orderkey % 3 <> 0 THEN CAST(l_orderkey AS INT) END AS code, CAST(l_quantity AS DOUBLE) AS price, l_returnflag AS note
+       FROM {lineitem} UNION ALL SELECT CASE WHEN l_orderkey % 3 <> 0 THEN CAST(l_orderkey AS INT) END, CAST(l_quantity AS DOUBLE), l_returnflag
+       FROM {lineitem} WHERE l_linenumber = 1""",
+)
+source("keyless_stored", "SELECT CAST(o_orderkey AS INT) AS code, o_totalprice AS price, o_orderstatus AS note FROM {orders} WHERE o_orderkey % 2 = 0")
+
+
+@query(
+    "merge_null_int_keys",
+    """WITH s AS (SELECT * FROM {keyless_batch} WHERE code IS NOT NULL QUALIFY row_number() OVER (PARTITION BY code ORDER BY price DESC, note DESC) = 1)
+       SELECT coalesce(s.code, t.code) AS code, CASE WHEN s.code IS NULL THEN t.price ELSE s.price END AS price,
+         CASE WHEN s.code IS NULL THEN t.note ELSE s.note END AS note FROM {keyless_stored} t FULL JOIN s ON t.code = s.code
+       UNION ALL SELECT code, price, note FROM {keyless_batch} WHERE code IS NULL""",
+)
+def _(d):
+    return O.merge(d("keyless_stored"), d("keyless_batch"), MergeSpec(("code",), ("price", "note")))
+
+
+@query(
+    "insert_only_null_keys",
+    """SELECT code, price, note FROM {keyless_stored} UNION ALL
+       (SELECT code, price, note FROM {keyless_batch} WHERE code NOT IN (SELECT code FROM {keyless_stored})
+        QUALIFY row_number() OVER (PARTITION BY code ORDER BY price, note) = 1)
+       UNION ALL SELECT code, price, note FROM {keyless_batch} WHERE code IS NULL""",
+)
+def _(d):
+    return O.insert_only(d("keyless_stored"), d("keyless_batch"), ("code",), ("price", "note"))

@@ -160,3 +160,20 @@ def _loaded(rows, key):
     ids = kept.select(key, F.col(key).alias("id"))
     merged = O.merge(ids.limit(0), ids, MergeSpec((key,)))
     return O.key_map(merged, key, "id", unique=True)
+
+
+# Lines cut down to three columns: most values of the key are shared, and most rows have exact copies.
+source(
+    "copied_lines",
+    "SELECT CASE WHEN l_linenumber < 7 THEN l_orderkey % 500 END AS ref, l_returnflag AS flag, CAST(l_quantity AS DOUBLE) AS qty FROM {lineitem}",
+)
+
+
+@query(
+    "unique_violations_exact_copies",
+    """SELECT ref, flag, qty, CASE WHEN ref IS NOT NULL AND row_number() OVER (PARTITION BY ref, flag ORDER BY qty) > 1 THEN 'unique:ref+flag' END AS reason
+       FROM {copied_lines}""",
+)
+def _(d):
+    rows = O.unique_violations(d("copied_lines"), [["ref", "flag"]], ["qty"])
+    return rows.select("ref", "flag", "qty", F.col(O.REJECT).alias("reason"))

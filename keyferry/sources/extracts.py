@@ -75,9 +75,9 @@ def read_csv_strings(
     return reader.csv(path)
 
 
-def csv_bundle(spark: SparkSession, files: Mapping[str, str]) -> dict[str, DataFrame]:
+def csv_bundle(spark: SparkSession, files: Mapping[str, str], line_breaks: bool = True) -> dict[str, DataFrame]:
     require_inputs(spark, files.values())
-    return {name: read_csv_strings(spark, path) for name, path in files.items()}
+    return {name: read_csv_strings(spark, path, line_breaks=line_breaks) for name, path in files.items()}
 
 
 def resolve_column(df: DataFrame, candidates: Sequence[str], label: str) -> str:

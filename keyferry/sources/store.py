@@ -2,11 +2,14 @@
 
 A table is never read and overwritten in one plan. The publish step appends one row to a log
 table, so readers see either the old or the new version, and a load that dies half-way leaves only
-an unpublished folder that the next attempt overwrites.
+an unpublished folder that the next attempt overwrites. The commits of one step are published together.
 """
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +28,9 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self._versions: dict[str, tuple[int, str]] | None = None
+        self._before: dict[str, tuple[int, str]] = {}
+        self._pending: dict[str, tuple[int, str]] | None = None  # commits of the step under way
+        self._run = uuid.uuid4().hex
 
     def _current(self, name: str) -> tuple[int, str] | None:
         """Newest published (version, path). The log, one row per commit, is read once."""
@@ -44,21 +50,43 @@ class TableStore:
             return empty_frame(self.spark, spec.schema)
         return self.spark.read.schema(spec.schema).parquet(current[1])
 
+    def begin(self) -> None:
+        """From now on commits are seen by this store only, until ``publish``."""
+        self._current("")
+        self._before, self._pending = dict(self._versions), {}
+        self._run = uuid.uuid4().hex
+
+    def publish(self) -> None:
+        """Publish all commits since ``begin`` with one log file: readers see all tables change or none."""
+        if self._pending:
+            rows = [one_row(self.spark, columns(LOG), (n, v, p)) for n, (v, p) in self._pending.items()]
+            log = reduce(DataFrame.unionAll, rows)
+            log.coalesce(1).write.mode("append").json(f"{self.root}/_versions")
+        self._pending = None
+
+    def abandon(self) -> None:
+        """Forget the commits since ``begin``; their folders stay unpublished and are written anew."""
+        if self._pending is not None:
+            self._versions, self._pending = self._before, None
+
     def commit(self, spec: TableSpec, df: DataFrame) -> DataFrame:
-        """Write the next version, publish it, and return it."""
+        """Write the next version and return it; it is published at once, or with the others of a step."""
         current = self._current(spec.name)
         version = 1 if current is None else current[0] + 1
         path = f"{self.root}/{spec.name}/v={version}"
         df.select(spec.columns).write.mode("overwrite").parquet(path)
-        entry = one_row(self.spark, columns(LOG), (spec.name, version, path))
-        entry.write.mode("append").json(f"{self.root}/_versions")
         self._versions[spec.name] = (version, path)
+        if self._pending is None:
+            entry = one_row(self.spark, columns(LOG), (spec.name, version, path))
+            entry.write.mode("append").json(f"{self.root}/_versions")
+        else:
+            self._pending[spec.name] = (version, path)
         return self.spark.read.schema(spec.schema).parquet(path)
 
     def stage(self, name: str, df: DataFrame) -> DataFrame:
-        """Write an intermediate result once and go on from the written copy."""
-        path = f"{self.root}/_stage/{name}"
-        df.write.mode("overwrite").parquet(path)
+        """Write an intermediate result once and go on from the written copy; no run shares its folder."""
+        path = f"{self.root}/_stage/{self._run}/{uuid.uuid4().hex}-{name}"
+        df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def write_json(self, name: str, df: DataFrame) -> str:
