@@ -7,8 +7,9 @@
 3. In each shard every node gets the nearest nodes that robust pruning leaves: one is dropped if a nearer
    kept one is closer to it, by the factor ``ALPHA``, than the node itself. Nodes that can't be reached
    from the shard's medoid get an edge from their nearest reached node.
-4. The adjacency lists of all shards are united per node. A shard searches with its nodes and the
-   vectors of their neighbours in other shards, so that links across the cut are found.
+4. The adjacency lists of all shards are united per node: a shard searches its own graph, and from each
+   node also goes to the neighbours it has in other shards, as far as they are near enough to lie on a
+   way to a link; so links across the cut are found.
 5. Each node is searched for at home: greedily from the medoid with a beam, then the range is expanded
    through every node found within ``SLACK`` of the threshold, until nothing new comes up.
 6. Links are verified by the cosine in double precision. Links between nodes at home in one shard are
@@ -36,6 +37,7 @@ from .common import bounded_batches
 from .components import components
 
 SHARD, SHARD_MAX = 1000, 2000  # nodes aimed at and accepted
+OVERLAP = 1  # further shards of each node, those of the next nearest centroids
 SHARDS_A_LEVEL, CENTROIDS_A_SHARD, SAMPLE_A_CENTROID = 1024, 16, 100  # bound what a level fits and broadcasts
 DEGREE, CANDIDATES, ALPHA = 24, 64, 1.2
 SLACK = 0.02
@@ -47,7 +49,7 @@ def _nodes(rows: DataFrame) -> DataFrame:
     """(key, shard, vec, n): one row for equal vectors of a label; the shard begins as label and length."""
     text = F.concat_ws(",", F.col("vec").cast("array<string>"))
     shard = F.concat_ws(":", F.col("label").cast("string"), F.size("vec").cast("string"))
-    keyed = rows.where("valid").select("id", "vec", shard.alias("shard"), F.sha2(F.concat_ws("|", shard, text).cast("binary"), 256).alias("key"))
+    keyed = rows.where("valid").select("id", "vec", shard.alias("shard"), F.md5(F.concat_ws("|", shard, text).cast("binary")).alias("key"))
     return keyed
 
 
@@ -118,9 +120,9 @@ def _sharded(nodes: DataFrame) -> DataFrame:
                         rows.append(r)
                         names.append(f"{s}/{order[i, 0]}")
                         homes.append(bool(home[r]))
-                        if home[r] and close.shape[1] > 1:  # the overlap
+                        for c in order[i, 1 : 1 + OVERLAP].tolist() if home[r] else ():
                             rows.append(r)
-                            names.append(f"{s}/{order[i, 1]}")
+                            names.append(f"{s}/{c}")
                             homes.append(False)
                 kept = batch.take(pa.array(rows, pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array(names), *kept.columns[1:4], pa.array(homes)], names=batch.schema.names)
@@ -179,25 +181,37 @@ def build(x: np.ndarray) -> tuple[list[list[int]], int]:
         stack.append(int(left[0]))
 
 
-def _built(table: pa.Table) -> pa.Table:
-    keys = table["key"].to_pylist()
-    lists, medoid = build(_unit(_matrix(table["vec"])))
-    return pa.table(
-        {
-            "shard": table["shard"],
-            "key": pa.array(keys),
-            "next": pa.array([[keys[k] for k in near] for near in lists], pa.list_(pa.string())),
-            "medoid": pa.array([k == medoid for k in range(len(keys))]),
-        }
-    )
+def _built(threshold: float):
+    """Lists as places among the shard's nodes in order of their keys; near ones also by key."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("key")
+        keys, x = table["key"].to_pylist(), _unit(_matrix(table["vec"]))
+        lists, medoid = build(x)
+        near = [[keys[k] for k in near if x[k] @ x[i] >= threshold - 2 * SLACK] for i, near in enumerate(lists)]
+        return pa.table(
+            {
+                "shard": table["shard"],
+                "key": pa.array(keys),
+                "next": pa.array(lists, pa.list_(pa.int32())),
+                "near": pa.array(near, pa.list_(pa.string())),
+                "medoid": pa.array([k == medoid for k in range(len(keys))]),
+            }
+        )
+
+    return run
 
 
 def search(q: int, x: np.ndarray, lists: list[np.ndarray], start: int, threshold: float, beam: int) -> np.ndarray:
-    """Nodes found within the threshold of node ``q``: greedy with a beam, then expanding the range."""
-    seen = {start: float(x[start] @ x[q])}
-    heap = [(-seen[start], start)]
+    """Nodes found within the threshold of node ``q``: greedy with a beam, then expanding the range.
+
+    The search for a node of the graph ends at the node itself; its own list is followed in any case.
+    """
+    seen = {start: float(x[start] @ x[q]), q: 1.0}
+    heap = [(-c, k) for k, c in seen.items()]
+    heapq.heapify(heap)
     best = [seen[start]]  # the beam, smallest first
-    wide, range_ = threshold - SLACK, []
+    wide = threshold - SLACK
     while heap:
         close, at = heapq.heappop(heap)
         if len(best) >= beam and -close < best[0] and -close < wide:
@@ -212,25 +226,23 @@ def search(q: int, x: np.ndarray, lists: list[np.ndarray], start: int, threshold
                 heapq.heappush(best, c)
                 if len(best) > beam:
                     heapq.heappop(best)
-    range_ = [k for k, c in seen.items() if c >= threshold and k != q]
-    return np.array(range_, dtype=np.int64)
+    return np.array([k for k, c in seen.items() if c >= threshold and k != q], dtype=np.int64)
 
 
 def _searched(threshold: float, beam: int):
     """Of a shard's home nodes: the rows they link with at home, a spanning forest, and links to others."""
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.take(np.lexsort((np.array(table["key"].to_pylist()),)))
+        table = table.sort_by([("member", "descending"), ("key", "ascending")])  # members first: their lists are places
         keys, home = table["key"].to_pylist(), table["home"].to_numpy(zero_copy_only=False)
         x = _unit(_matrix(table["vec"]))
         n = table["n"].to_numpy()
         place = {k: i for i, k in enumerate(keys)}
         lists: list[set[int]] = [set() for _ in keys]
-        for i, near in enumerate(table["next"].to_pylist()):
-            for k in near or ():
-                if k in place:
-                    lists[i].add(place[k])
-                    lists[place[k]].add(i)
+        for i, (inside, near) in enumerate(zip(table["next"].to_pylist(), table["near"].to_pylist())):
+            for k in [*(inside or ()), *(place[k] for k in near or () if k in place)]:
+                lists[i].add(k)
+                lists[k].add(i)
         arrays = [np.array(sorted(s), dtype=np.int64) for s in lists]
         medoids = np.nonzero(table["medoid"].to_numpy(zero_copy_only=False))[0]
         found = set()
@@ -271,15 +283,17 @@ def _searched(threshold: float, beam: int):
     return run
 
 
-def _graph(members: DataFrame) -> DataFrame:
-    """Rows that each shard searches with: its nodes with the united lists, and their neighbours elsewhere."""
-    built = cut_lineage(members.select("shard", "key", "vec").groupBy("shard").applyInArrow(_built, "shard string, key string, next array<string>, medoid boolean"))
-    united = built.select("key", F.explode("next").alias("next")).distinct().groupBy("key").agg(F.collect_list("next").alias("next"))
-    own = members.join(built.select("shard", "key", "medoid"), ["shard", "key"]).join(united, "key", "left")
-    own = cut_lineage(own.select("shard", "key", "vec", "n", "home", "medoid", "next"))
-    beyond = own.select("shard", F.explode("next").alias("key")).distinct().join(own.select("shard", "key"), ["shard", "key"], "left_anti")
-    other = beyond.join(own.where("home").select("key", "vec", "n", "next"), "key")
-    other = other.select("shard", "key", "vec", "n", F.lit(False).alias("home"), F.lit(False).alias("medoid"), "next")
+def _graph(members: DataFrame, threshold: float) -> DataFrame:
+    """Rows that each shard searches with: its nodes with their lists, and near neighbours elsewhere."""
+    schema = "shard string, key string, next array<int>, near array<string>, medoid boolean"
+    built = cut_lineage(members.select("shard", "key", "vec").groupBy("shard").applyInArrow(_built(threshold), schema))
+    united = built.select("key", F.explode("near").alias("near")).distinct().groupBy("key").agg(F.collect_list("near").alias("near"))
+    own = members.join(built.drop("near"), ["shard", "key"]).join(united, "key", "left")
+    own = cut_lineage(own.select("shard", "key", "vec", "n", "home", "medoid", F.lit(True).alias("member"), "next", "near"))
+    beyond = own.select("shard", F.explode("near").alias("key")).distinct().join(own.select("shard", "key"), ["shard", "key"], "left_anti")
+    other = beyond.join(own.where("home").select("key", "vec", "n", "near"), "key")
+    no, none = F.lit(False), F.array().cast("array<int>")
+    other = other.select("shard", "key", "vec", "n", no.alias("home"), no.alias("medoid"), no.alias("member"), none.alias("next"), "near")
     return cut_lineage(own.unionByName(other))
 
 
@@ -336,7 +350,7 @@ def near_duplicates(
     keyed = cut_lineage(_nodes(rows))
     nodes = keyed.groupBy("key").agg(F.any_value("shard").alias("shard"), F.any_value("vec").alias("vec"), F.count(F.lit(1)).alias("n"), F.min("id").alias("low"))
     nodes = cut_lineage(nodes)
-    graph = _graph(_sharded(nodes.select("shard", "key", "vec", "n")))
+    graph = _graph(_sharded(nodes.select("shard", "key", "vec", "n")), threshold)
     beam = BEAM
     while True:
         counts, links = _links(graph, nodes, threshold, beam)
