@@ -83,8 +83,8 @@ def join_nonempty(sep: str, *cols: Column) -> Column:
 
     A value of blanks only counts as present and contributes an empty piece.
     """
-    parts = F.filter(F.array(*[F.when(c != "", strip(c)) for c in cols]), lambda p: p.isNotNull())
-    return F.when(F.size(parts) > 0, F.array_join(parts, sep))
+    parts = [F.when(c != "", strip(c)) for c in cols]
+    return F.when(F.coalesce(*parts).isNotNull(), F.concat_ws(sep, *parts))
 
 
 def map_tokens(c: Column, groups: Mapping[str, Sequence[str]], default: str | None = None) -> Column:

@@ -1,4 +1,8 @@
-"""Projection maps and wide-to-long reshaping; all narrow, one pass over the source each."""
+"""Projection maps and wide-to-long reshaping; all narrow, one pass over the source each.
+
+Cells are exploded first and filtered as rows then: both steps run in generated code, which functions
+over array elements do not.
+"""
 
 from __future__ import annotations
 
@@ -37,11 +41,8 @@ def explode_groups(
     ``groups`` maps a group name to its fields. Header keys are ``<id>:<group>`` and
     ``<alt>:<group>``.
     """
-    present = [
-        F.struct(F.lit(name).alias("g"), _any_value(fields).alias("has")) for name, fields in groups.items()
-    ]
-    found = F.transform(F.filter(F.array(*present), lambda p: p["has"]), lambda p: p["g"])
-    rows = df.select(id, alt, *carry, F.explode(found).alias(out))
+    present = [F.when(_any_value(fields), F.lit(name)) for name, fields in groups.items()]
+    rows = df.select(id, alt, *carry, F.explode(F.array(*present)).alias(out)).filter(F.col(out).isNotNull())
     return rows.select(
         composite_key(sep, F.col(id), F.col(out)).alias("header_id"),
         composite_key(sep, F.col(alt), F.col(out)).alias("header_alt_id"),
@@ -83,8 +84,7 @@ def unpivot_fields(
         for group, fields in groups.items()
         for f in fields
     ]
-    filled = F.filter(F.array(*cells), lambda c: has_value(c["v"]))
-    rows = df.select(id, alt, *carry, F.explode(filled).alias("_c"))
+    rows = df.select(id, alt, *carry, F.explode(F.array(*cells)).alias("_c")).filter(has_value(F.col("_c.v")))
     c = F.col("_c")
     return rows.select(
         composite_key(sep, F.col(id), c["g"]).alias("header_id"),
@@ -115,7 +115,7 @@ def fan_out(
         )
         for col, suffix, always in parts
     ]
-    rows = df.select(id, *carry, F.explode(F.filter(F.array(*cells), lambda c: c["on"])).alias("_c"))
+    rows = df.select(id, *carry, F.explode(F.array(*cells)).alias("_c")).filter("_c.on")
     return rows.select(id, *carry, F.col("_c.k").alias(key), F.col("_c.v").alias(value))
 
 
@@ -131,5 +131,5 @@ def multi_emit(
         F.struct(F.lit(k).alias("k"), v.cast("string").alias("v"), F.coalesce(on, F.lit(False)).alias("on"))
         for k, v, on in emits
     ]
-    rows = df.select(*carry, F.explode(F.filter(F.array(*cells), lambda c: c["on"])).alias("_c"))
+    rows = df.select(*carry, F.explode(F.array(*cells)).alias("_c")).filter("_c.on")
     return rows.select(*carry, F.col("_c.k").alias(kind), F.col("_c.v").alias(value))

@@ -45,7 +45,8 @@ def users(run: FrameRun):
         "status": "contact_status__c",
         "commcare_mobile_worker_id": F.lit(None).cast("string"),
     }
-    return _upsert(run, USERS, src, mapping, {"created_at": "target"})
+    # the account files clear the record id of users they update
+    return _upsert(run, USERS, src, mapping, {"created_at": "target"}, check_id=True)
 
 
 def project_staff_roles(run: FrameRun):

@@ -25,9 +25,9 @@ def stamps(updated: str = "LastModifiedDate") -> dict:
     }
 
 
-def _upsert(run: FrameRun, table, df, mapping, rules=None, key=("sf_id",), order=("updated_at",), carry=()):
+def _upsert(run: FrameRun, table, df, mapping, rules=None, key=("sf_id",), order=("updated_at",), carry=(), check_id=False):
     rows = target_rows(df, table, run.cfg, mapping, c("Id"), carry)
-    return run.load(table, rows, merge_spec(key, rows, table, mapping, rules, order))
+    return run.load(table, rows, merge_spec(key, rows, table, mapping, rules, order), check_id=check_id)
 
 
 def programs(run: FrameRun):

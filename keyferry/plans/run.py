@@ -20,7 +20,7 @@ from ..operators.quality import (
     REJECT, cast_to_spec, reject_first, reject_report, split_rejects, unique_violations, validate,
 )
 from ..session import cut_lineage, empty_frame, prepare
-from ..sources.extracts import csv_bundle, scan_object, widen
+from ..sources.extracts import csv_bundle, scan_marked, widen
 from ..sources.store import TableStore
 from ..specs import MergeSpec, SourceSpec, TableSpec
 from .extracts import SOURCES
@@ -171,9 +171,13 @@ class FrameRun:
         spec: MergeSpec,
         guard: tuple[str, str] | None = None,
         check_unique: bool = True,
+        check_id: bool = False,
     ) -> DataFrame:
         """Cast, check, collapse and merge marked rows; returns the new table content.
 
+        ``check_id`` is for tables whose stored merge keys another load may clear: a new row must not
+        come in under the id of a stored one.
+
         Rejected rows are kept aside. After the collapse, rows that clash on a further unique
         column, with each other or with the stored table, are rejected as well.
         """
@@ -193,6 +197,7 @@ class FrameRun:
         # a key of several columns keeps none of them unique by itself
         merged_by = spec.key if len(spec.key) == 1 else ()
         others = [k[0] for k in table.unique if k[0] not in merged_by and k[0] in kept.columns] if check_unique else []
+        others += ["id"] if check_id else []
         if others:
             single = match_source(kept, spec, [c for c in kept.columns if c in table.columns])
             single = self.stage(f"{table.name}_single", clashing(single, target, others, spec))
@@ -240,8 +245,11 @@ class StoreRun(FrameRun):
     fmt: str = "json"
 
     def extract(self, name: str, spec: SourceSpec | None = None) -> DataFrame:
+        """What can't be read as a record is counted and reported with the rejects of the step."""
         spec = spec or SOURCES[name]
-        df = scan_object(self.spark, f"{self.landing}/{spec.name}", spec, self.fmt)
+        df, bad = scan_marked(self.spark, f"{self.landing}/{spec.name}", spec, self.fmt)
+        bad = bad.select(F.lit(None).cast("string").alias("id"), "raw", F.col("reason").alias(REJECT))
+        self.mark(f"{name}:landed", self.stage(f"{name}_damaged", bad))
         return widen(df, spec.fields[0])
 
     def files(self, names: Mapping[str, str]) -> dict[str, DataFrame]:

@@ -221,7 +221,8 @@ def fv_best_practices(run: FrameRun):
     Headers are merged first; answers and images then resolve their header in the merged table.
     The sheets apply newest first, so of two sheets for one key the older one has the last word.
     """
-    src = run.extract("fv_best_practices")
+    # read and cleaned once; the three outputs take their columns from the written copy
+    src = run.stage("fv_best_practices_sheets", run.extract("fv_best_practices"))
     carry = ["Farm_Visit__c", "IsDeleted", "CreatedDate", "LastModifiedDate"]
     ids = ("Id", "FV_Submission_ID__c")
     shared = {k: v for k, v in stamps().items() if k != "sf_id"}

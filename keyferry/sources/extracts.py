@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 from ..specs import SourceSpec
 
 
+DAMAGED = "_damaged"
+
+
 def require_inputs(spark: SparkSession, paths: Iterable[str]) -> None:
     """Fail with every missing path before any plan is built."""
     missing = []
@@ -34,10 +37,29 @@ def scan_object(
     The schema is given, so nothing is inferred and unlisted fields (transport metadata) are never
     read. On Parquet both the field list and the filters reach the scan.
     """
-    df = spark.read.schema(spec.schema()).format(fmt).load(path)
-    if spec.active_flag:
-        df = df.filter(~F.col(spec.active_flag))
-    return df if where is None else df.filter(where)
+    kept, _ = scan_marked(spark, path, spec, fmt)
+    return kept if where is None else kept.filter(where)
+
+
+def scan_marked(spark: SparkSession, path: str, spec: SourceSpec, fmt: str = "json") -> tuple[DataFrame, DataFrame]:
+    """Records of an object that are not deleted, and what can't be read as one: (raw, reason).
+
+    A line is ``malformed`` if it is no record or a field doesn't have its declared type; a record
+    without the deletion flag is ``missing:<flag>``, for nobody can tell whether it still counts.
+    """
+    schema = spec.schema()
+    if fmt == "json":
+        reader = spark.read.schema(T.StructType([*schema.fields, T.StructField(DAMAGED, T.StringType())]))
+        df = reader.option("columnNameOfCorruptRecord", DAMAGED).format(fmt).load(path)
+    else:
+        df = spark.read.schema(schema).format(fmt).load(path).withColumn(DAMAGED, F.lit(None).cast("string"))
+    whole = F.col(DAMAGED).isNull()
+    flag = F.col(spec.active_flag) if spec.active_flag else F.lit(False)
+    raw = F.coalesce(F.col(DAMAGED), F.to_json(F.struct(*schema.names)))
+    bad = df.filter(~whole | flag.isNull()).select(
+        raw.alias("raw"), F.when(~whole, F.lit("malformed")).otherwise(F.lit(f"missing:{spec.active_flag}")).alias("reason")
+    )
+    return df.filter(whole & ~flag).select(*schema.names), bad
 
 
 def widen(df: DataFrame, key: str) -> DataFrame:
