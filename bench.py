@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -30,12 +31,14 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     from keyferry.queries import QUERIES
 
-    names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
+    loads = [n for n in QUERIES if n.startswith("load_") and n not in HEADLINE]
+    names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE + loads)).split(",")
     QUERIES["fk_lookup"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}
     for name in names:

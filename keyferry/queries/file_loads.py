@@ -257,3 +257,22 @@ def _(d):
 )
 def _(d):
     return _surveys(d).summary()
+
+
+# Which mill a visit leads to depends on the order of two mills of one case, so that column is not compared.
+@query(
+    "load_wetmill_visits",
+    """SELECT v.id, v.submission_id, form_name, 'sys' AS user_id, CAST(visit_date AS DATE) AS visit_date, v.created_at::TIMESTAMP AS created_at
+       FROM {f_visits} v JOIN {f_mills} m ON wetmill_id = m.id""",
+)
+def _(d):
+    return out(_surveys(d).target("wetmill_visits"), "id", "submission_id", "form_name", "user_id", "visit_date", "created_at")
+
+
+@query(
+    "load_survey_responses",
+    """SELECT r.id, form_visit_id, survey_type, general_feedback, r.submission_id, r.created_at::TIMESTAMP AS created_at
+       FROM {f_responses} r JOIN {f_visits} v ON form_visit_id = v.id JOIN {f_mills} m ON wetmill_id = m.id""",
+)
+def _(d):
+    return out(_surveys(d).target("wv_survey_responses"), "id", "form_visit_id", "survey_type", "general_feedback", "submission_id", "created_at")
