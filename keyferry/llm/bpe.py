@@ -32,7 +32,7 @@ from tokenizers import Regex
 from tokenizers.normalizers import NFC, Lowercase, Sequence
 from tokenizers.pre_tokenizers import Split
 
-from .common import bounded_batches, whole
+from .common import bounded_batches, give_back, whole
 
 # Fixed values of the vocabulary's file format: contractions, the end mark and Unicode white space.
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
@@ -42,8 +42,8 @@ WHITE = re.compile(f"[{WHITE_CLASS}]+")
 PYTHON_ONLY_SPACE = re.compile("[\x1c-\x1f]")
 
 END = ""  # stands for the end mark: one character that no byte maps to
-CACHED_WORDS = 300_000
-DECODED_AT_ONCE = 1 << 20
+CACHED_WORDS = 150_000
+DECODED_AT_ONCE = 1 << 17
 
 
 def byte_characters() -> list[str]:
@@ -98,7 +98,7 @@ def unknown_to_python() -> re.Pattern:
 class PairTable:
     """Whether merging in rank order keeps two neighbouring tokens apart, answered once per pair."""
 
-    LIMIT = 1_000_000
+    LIMIT = 250_000
 
     def __init__(self, rank: dict[tuple[int, int], int], made: dict[int, tuple[int, int, int]]):
         self.rank, self.made, self.known = rank, made, {}
@@ -130,7 +130,32 @@ class PairTable:
                 return True
 
 
-class Vocabulary:
+class Decoder:
+    """Token strings, each with the blank that parts it from the next, in one table with offsets."""
+
+    def __init__(self, content: bytes):
+        spec = json.loads(content)
+        ids = {**spec["model"]["vocab"], **{t["content"]: t["id"] for t in spec["added_tokens"]}}
+        texts = [b""] * (max(ids.values()) + 1)
+        for t, i in ids.items():
+            texts[i] = t.encode() + b" "
+        self.sizes = np.array([len(t) for t in texts], dtype=np.int64)
+        self.offsets = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
+        self.bytes = np.frombuffer(b"".join(texts), dtype=np.uint8)
+
+    def _part(self, ids: np.ndarray) -> bytes:
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        places = np.repeat(self.offsets[ids] - (ends - sizes), sizes)
+        places += np.arange(len(places))
+        return self.bytes[places].tobytes()
+
+    def text(self, ids: np.ndarray) -> bytes:
+        parts = [self._part(ids[k : k + DECODED_AT_ONCE]) for k in range(0, len(ids), DECODED_AT_ONCE)]
+        return b"".join(parts)[:-1]
+
+
+class Encoder:
     """Tables of one vocabulary file."""
 
     def __init__(self, content: bytes):
@@ -158,7 +183,6 @@ class Vocabulary:
         self.near, self.far = (p.findall for p in piece_patterns())
         self.unknown, self.normal = unknown_to_python(), Sequence([NFC(), Lowercase()])
         self.shown = dict(enumerate(byte_characters()))
-        self._decoding({**vocab, **self.specials})
         self.pieces = Recent(self._piece_ids)
         self.words = Recent(self._word_ids)
 
@@ -187,15 +211,6 @@ class Vocabulary:
             self._products = {m[0]: i for i, m in self.pairs.made.items()}
         return self._products[n]
 
-    def _decoding(self, ids: dict[str, int]) -> None:
-        """Token strings, each with the blank that parts it from the next, in one table with offsets."""
-        texts = [b""] * (max(ids.values()) + 1)
-        for t, i in ids.items():
-            texts[i] = t.encode() + b" "
-        self.sizes = np.array([len(t) for t in texts], dtype=np.int64)
-        self.offsets = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
-        self.bytes = np.frombuffer(b"".join(texts), dtype=np.uint8)
-
     def encode_piece(self, piece: str) -> list[int]:
         """Token ids of one word piece, by backtracking."""
         text = piece.encode().decode("latin-1").translate(self.shown) + END
@@ -228,6 +243,13 @@ class Vocabulary:
                 token = shorter[token]
         return out[1:]
 
+    def forget(self) -> None:
+        """Drop what a task has gathered; the tables of the vocabulary stay for the next one."""
+        for known in (self.words, self.pieces):
+            known.clear()
+            known.older = {}
+        self.pairs.known.clear()
+
     def _piece_ids(self, piece: str) -> bytes:
         return np.array(self.encode_piece(piece), dtype="<u4").tobytes()
 
@@ -259,15 +281,6 @@ class Vocabulary:
             return [u for u in WHITE.split(text) if u]
         return text.split()
 
-    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes of the tokens in a row, and how many bytes each takes."""
-        sizes = self.sizes[ids]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        places = np.repeat(self.offsets[ids] - (ends - sizes), sizes)
-        places += np.arange(total)
-        return self.bytes[places], sizes
-
 
 class Recent(dict):
     """Computes what it doesn't hold; keeps the last one to two ``limit`` entries."""
@@ -287,16 +300,24 @@ class Recent(dict):
         return got
 
 
-_loaded: dict[str, Vocabulary] = {}
+@functools.lru_cache(maxsize=1)
+def _encoder(key: str, content: bytes) -> Encoder:
+    return Encoder(content)
+
+
+@functools.lru_cache(maxsize=1)
+def _decoder(key: str, content: bytes) -> Decoder:
+    return Decoder(content)
+
+
+def encoder(content: bytes) -> Encoder:
+    """Built once per Python worker."""
+    return _encoder(hashlib.sha256(content).hexdigest(), content)
 
 
-def vocabulary(content: bytes) -> Vocabulary:
+def decoder(content: bytes) -> Decoder:
     """Built once per Python worker."""
-    key = hashlib.sha256(content).hexdigest()
-    if key not in _loaded:
-        _loaded.clear()
-        _loaded[key] = Vocabulary(content)
-    return _loaded[key]
+    return _decoder(hashlib.sha256(content).hexdigest(), content)
 
 
 def _content(spark, path: str):
@@ -310,10 +331,12 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     content = _content(spark, path)
 
     def run(batches):
-        v = vocabulary(content.value)
+        v = encoder(content.value)
         for batch in batches:
             packed = [v.encode(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["id", "ids"])
+        v.forget()
+        give_back()
 
     rows = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text"))
     out = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids binary")
@@ -326,17 +349,12 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     content = _content(spark, path)
 
     def run(batches):
-        v = vocabulary(content.value)
+        v = decoder(content.value)
         for batch in batches:
-            texts = [_text(v, np.frombuffer(b or b"", dtype="<u4")) for b in batch.column(0).to_pylist()]
+            texts = [v.text(np.frombuffer(b or b"", dtype="<u4")) for b in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(texts, pa.string())], names=[*batch.schema.names[1:], "decoded"])
 
     rows = encoded.select(F.col(ids_col).alias("__ids"), F.col(id_col).alias("__id"), *[F.col(c).alias(f"__{n}") for n, c in enumerate(keep)])
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
     out = rows.mapInArrow(run, f"{schema}, decoded string")
     return out.select(F.col("__id").alias(id_col), *[F.col(f"__{n}").alias(c) for n, c in enumerate(keep)], "decoded")
-
-
-def _text(v: Vocabulary, ids: np.ndarray) -> bytes:
-    parts = [v.decode(ids[k : k + DECODED_AT_ONCE])[0].tobytes() for k in range(0, len(ids), DECODED_AT_ONCE)]
-    return b"".join(parts)[:-1]

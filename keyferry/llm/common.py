@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,3 +40,11 @@ def bounded_batches(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     return spark
+
+
+def give_back() -> None:
+    """Return freed memory to the system: an idle Python worker is kept for further stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)

@@ -99,14 +99,16 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     winners = (
         exact_classes(docs, id_col, text_col, salts)
         .where("kept")
-        .select(F.col("digest").alias("__digest"), F.col(id_col).alias("__id"), F.col("n_code_points").alias("__cp"))
+        .select(F.col("digest").alias("keep_digest"), F.col(id_col).alias("keep_id"), F.col("n_code_points").alias("keep_cp"))
         .distinct()
     )
+    # the row travels as one column: no name of its own can clash
     keyed = docs.select(
-        "*",
-        sha256_hex(squeezed(whole(text_col))).alias("__own"),
-        F.length(whole(text_col)).alias("__own_cp"),
+        F.struct(*docs.columns).alias("row"),
+        sha256_hex(squeezed(whole(text_col))).alias("digest"),
+        F.length(whole(text_col)).alias("cp"),
+        F.col(id_col).alias("id"),
     )
-    match = (F.col("__own") == F.col("__digest")) & (F.col("__own_cp") == F.col("__cp")) & F.col(id_col).eqNullSafe(F.col("__id"))
+    match = (F.col("digest") == F.col("keep_digest")) & (F.col("cp") == F.col("keep_cp")) & F.col("id").eqNullSafe(F.col("keep_id"))
     # repetitions of the winning row meet here; one stays
-    return keyed.join(winners, match).dropDuplicates(["__own", "__own_cp", id_col]).select(*docs.columns)
+    return keyed.join(winners, match).dropDuplicates(["digest", "cp", "id"]).select("row.*")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, held_out
+from .common import bounded_batches, give_back, held_out
 
 UNDETERMINED = "und"
 WINDOW = 128
@@ -193,7 +193,9 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", pe
     if not windows:
         return None
     labels = sorted(set(names))
-    return train(windows, np.array([labels.index(x) for x in names]), len(labels)), labels
+    net = train(windows, np.array([labels.index(x) for x in names]), len(labels))
+    give_back()
+    return net, labels
 
 
 def _has_letter(text: Column) -> Column:
@@ -246,6 +248,7 @@ def identify(docs: DataFrame, model: tuple[Network, list[str]] | None, id_col: s
         for batch in batches:
             found, score = _labelled(*given.value, batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string()), pa.array(score, pa.float64())], names=["id", "lang_pred", "score"])
+        give_back()
 
     out = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, lang_pred string, score double")
     return out.withColumnRenamed("id", id_col)
@@ -267,6 +270,7 @@ def keep_identified(docs: DataFrame, model: tuple[Network, list[str]] | None, te
         for batch in batches:
             found, score = _labelled(*given.value, [t.encode() for t in batch.column(at).to_pylist()])
             yield batch.filter(pa.array((found != UNDETERMINED) & (score >= min_score)))
+        give_back()
 
     return rows.mapInArrow(run, docs.schema)
 

@@ -158,8 +158,7 @@ def sample(
     cell = _cell(docs, topic, text_col, source_col, lang_col)
     rows = cut_lineage(docs.select(*[c.alias(k) for k, c in cell.items()]).groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("n_tokens")))
     chances = _chances(rows, targets, rounds, budget)
-    chances = chances.select(*[F.col(c).alias(f"__{c}") for c in chances.columns])  # a row per cell
-    keyed = docs.select("*", *[c.alias(f"__own_{k}") for k, c in cell.items()])
-    match = (F.col("__own_source") == F.col("__source")) & (F.col("__own_lang") == F.col("__lang")) & (F.col("__own_topic") == F.col("__topic"))
-    drawn = (F.col("__own_n_tokens") == 0) | (draw(id_col, seed) < F.col("__probability"))
-    return keyed.join(chances, match).where(drawn).select(*docs.columns)
+    # the row travels as one column: no name of its own can clash
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), *[c.alias(k) for k, c in cell.items()])
+    drawn = (F.col("n_tokens") == 0) | (draw("id", seed) < F.col("probability"))
+    return keyed.join(chances, ["source", "lang", "topic"]).where(drawn).select("row.*")

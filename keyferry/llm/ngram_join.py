@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import bounded_batches, whole
+from .common import bounded_batches, give_back, whole
 from .components import components
 
 BATCH_BYTES = 4 << 20
@@ -93,6 +93,8 @@ def _sent(words: int, ranges: int):
         where = (every >> np.uint64(16)).astype(np.int64) * ranges >> (SHORT_BITS - 16)
         cuts = np.searchsorted(where, np.arange(ranges + 1))
         rows = [(int(p), cuts[p], cuts[p + 1]) for p in np.unique(where)]
+        del sets
+        give_back()
         return pa.table(
             {
                 "part": pa.array([p for p, _, _ in rows], pa.int64()),
@@ -121,6 +123,8 @@ def _answered(table: pa.Table) -> pa.Table:
             grams.append(_pack(part[common]))
             numbers.append(own[common].tobytes())
     part = [table["part"][0].as_py()] * len(batches)
+    del every, place, held, parts, counts
+    give_back()
     return pa.table({"part": pa.array(part, pa.int64()), "batch": pa.array(batches, pa.int64()), "grams": pa.array(grams, pa.binary()), "counts": pa.array(numbers, pa.binary())})
 
 
@@ -153,6 +157,8 @@ def _ordered(words: int, num: int, den: int, id_type: pa.DataType):
                     shared = s[df > 1].tobytes()
             for k, v in zip(out, (sig, n, own, grams, places, shared)):
                 out[k].append(v)
+        del known, counts, keys, held
+        give_back()
         kinds = {"sig": pa.binary(), "n": pa.int64(), "own": pa.int64(), "grams": pa.list_(pa.int64()), "places": pa.list_(pa.int64()), "shared": pa.binary()}
         return pa.table({"id": docs["id"].cast(id_type), **{k: pa.array(v, kinds[k]) for k, v in out.items()}})
 
@@ -194,6 +200,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
                 keep.append(overlaps(a, b, int(needed(n_a + n_b, num, den))))
             kept = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays(kept.columns[:2], names=["a", "b"])
+        give_back()
 
     content = sets.where("shared IS NOT NULL").groupBy("sig").agg(F.any_value("n").alias("n"), F.any_value("shared").alias("shared"))
     left = content.select(F.col("sig").alias("a"), F.col("n").alias("n_a"), F.col("shared").alias("s_a"))
