@@ -14,8 +14,11 @@
    through every node found within ``SLACK`` of the threshold, until nothing new comes up.
 6. Links are verified by the cosine in double precision. Links between nodes at home in one shard are
    counted there and leave it as a spanning forest, other links as pairs.
-7. A bounded number of nodes is audited against brute force over all rows; with less than ``LEAST_RECALL``
-   of their links found, the search is repeated with a wider beam.
+7. A bounded number of nodes, drawn by hash and those with the most links found, is audited against brute
+   force over all rows; with less than ``LEAST_RECALL`` of the links of either found, the search is repeated
+   with a wider beam.
+8. Where that does not help, for a beam can't reach what no list of a shard holds, every two shards whose
+   balls (centroid and radius) are near enough for a link are compared in full: the links are then exact.
 
 Defined cases: a null label, a null, empty or zero vector, or one with a null or non-finite component
 links with nothing and is its own component; vectors of different lengths never link; repeated rows
@@ -26,6 +29,7 @@ are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
+import logging
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +47,7 @@ DEGREE, CANDIDATES, ALPHA = 24, 64, 1.2
 SLACK = 0.02
 BEAM = 24
 AUDITED, LEAST_RECALL = 200, 0.95
+log = logging.getLogger(__name__)
 
 
 def _nodes(rows: DataFrame) -> DataFrame:
@@ -300,16 +305,116 @@ def _graph(members: DataFrame, threshold: float) -> DataFrame:
 def _links(graph: DataFrame, nodes: DataFrame, threshold: float, beam: int) -> tuple[DataFrame, DataFrame]:
     """(key, n_links) of nodes that link with others, and links (a, b) that connect all that link."""
     out = cut_lineage(graph.groupBy("shard").applyInArrow(_searched(threshold, beam), "kind string, a string, b string, n bigint"))
-    pairs = out.where("kind = 'pair'").select("a", "b").distinct()
+    # two shards that find the same pair may name it in either order
+    pairs = out.where("kind = 'pair'").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     ends = pairs.select(F.col("a").alias("key"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("key"), F.col("a").alias("other")))
     across = ends.join(nodes.select(F.col("key").alias("other"), "n"), "other").select("key", "n")
     counts = out.where("kind = 'node'").select(F.col("a").alias("key"), "n").unionByName(across)
     return counts.groupBy("key").agg(F.sum("n").alias("n_links")), out.where("kind <> 'node'").select("a", "b")
 
 
+def _ball(table: pa.Table) -> pa.Table:
+    """Centre of a shard's home nodes and the greatest angle between it and one of them."""
+    x = _unit(_matrix(table["vec"]))
+    center = x.sum(axis=0)
+    norm = np.linalg.norm(center)
+    center = center / norm if norm > 0 else x[0]
+    radius = float(np.arccos(np.clip(x @ center, -1, 1)).max())
+    return pa.table({"shard": table["shard"].slice(0, 1), "center": pa.array([center.tolist()], pa.list_(pa.float64())), "radius": [radius]})
+
+
+def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Links (row, column) that connect what the matrix connects."""
+    out = []
+    rows, columns = linked.any(axis=1), np.ones(linked.shape[1], bool)
+    while rows.any():
+        front = np.array([int(np.argmax(rows))])
+        rows[front] = False
+        while len(front):
+            new = np.nonzero(linked[front].any(axis=0) & columns)[0]
+            if not len(new):
+                break
+            columns[new] = False
+            out += zip(front[linked[np.ix_(front, new)].argmax(axis=0)].tolist(), new.tolist())
+            front = np.nonzero(linked[:, new].any(axis=1) & rows)[0]
+            rows[front] = False
+            out += zip(front.tolist(), new[linked[np.ix_(front, new)].argmax(axis=1)].tolist())
+    return out
+
+
+def _compared(threshold: float):
+    """Of two shards, or of one with itself: the rows that nodes link with, and a spanning forest."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("side", "ascending"), ("key", "ascending")])
+        keys, n, side = table["key"].to_pylist(), table["n"].to_numpy(), table["side"].to_numpy()
+        x = _unit(_matrix(table["vec"]))
+        first = int((side == 0).sum())
+        low = first if first < len(x) else 0  # where the columns begin: a shard with itself has one side
+        count, parent, kept = np.zeros(len(x), np.int64), list(range(len(x))), []
+
+        def root(v: int) -> int:
+            while parent[v] != v:
+                parent[v] = parent[parent[v]]
+                v = parent[v]
+            return v
+
+        for at in range(0, first, 512):
+            rows = np.arange(at, min(at + 512, first))
+            linked = x[rows] @ x[low:].T >= threshold
+            if not low:
+                linked[np.arange(len(rows)), rows] = False
+            count[rows] += linked @ n[low:]
+            if low:
+                count[low:] += linked.T @ n[rows]
+            for i, j in _forest(linked):
+                a, b = at + i, low + j
+                r, s = root(a), root(b)
+                if r != s:
+                    parent[max(r, s)] = min(r, s)
+                    kept.append((keys[a], keys[b]))
+        some = np.nonzero(count)[0].tolist()
+        return pa.table(
+            {
+                "kind": pa.array(["node"] * len(some) + ["edge"] * len(kept), pa.string()),
+                "a": pa.array([keys[i] for i in some] + [a for a, _ in kept], pa.string()),
+                "b": pa.array([None] * len(some) + [b for _, b in kept], pa.string()),
+                "n": pa.array([int(count[i]) for i in some] + [0] * len(kept), pa.int64()),
+            }
+        )
+
+    return run
+
+
+def _exact_links(members: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """As ``_links``, but exact: all pairs of shards are compared, except those too far apart for any link."""
+    home = members.where("home").select("shard", "key", "vec", "n")
+    balls = home.groupBy("shard").applyInArrow(_ball, "shard string, center array<double>, radius double")
+    # the cut adds /k to a shard's name, which begins as label and length
+    balls = cut_lineage(balls.withColumn("of", F.regexp_replace("shard", "(/[0-9]+)+$", "")))
+    one, two = (balls.select("of", *[F.col(c).alias(f"{c}{k}") for c in ("shard", "center", "radius")]) for k in (1, 2))
+    cosine = F.aggregate(F.zip_with("center1", "center2", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+    reach = F.col("radius1") + F.col("radius2") + F.lit(float(np.arccos(np.clip(threshold, -1, 1))) + 1e-6)
+    pairs = one.join(two, "of").where(F.col("shard1") <= F.col("shard2")).where(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))) <= reach)
+    pairs = cut_lineage(pairs.select("shard1", "shard2"))
+    left = home.join(pairs, home["shard"] == pairs["shard1"]).select("shard1", "shard2", "key", "vec", "n", F.lit(0).alias("side"))
+    right = home.join(pairs.where("shard1 < shard2"), F.col("shard") == F.col("shard2")).select("shard1", "shard2", "key", "vec", "n", F.lit(1).alias("side"))
+    out = left.unionByName(right).groupBy("shard1", "shard2").applyInArrow(_compared(threshold), "kind string, a string, b string, n bigint")
+    out = cut_lineage(out)
+    counts = out.where("kind = 'node'").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("n_links"))
+    return counts, out.where("kind = 'edge'").select("a", "b")
+
+
 def audit(nodes: DataFrame, counts: DataFrame, threshold: float) -> float:
-    """Share of the links of a bounded number of nodes, drawn by hash, that were found."""
-    drawn = nodes.orderBy(F.xxhash64("key"), "key").limit(AUDITED).select("key", "shard", "vec").toArrow()
+    """Share of the links found of nodes drawn by hash, or of those with the most links, whichever is less."""
+    by_hash = nodes.orderBy(F.xxhash64("key"), "key").limit(AUDITED)
+    densest = nodes.join(counts.orderBy(F.desc("n_links"), "key").limit(AUDITED).select("key"), "key")
+    return min(_recall(nodes, drawn, counts, threshold) for drawn in (by_hash, densest))
+
+
+def _recall(nodes: DataFrame, drawn: DataFrame, counts: DataFrame, threshold: float) -> float:
+    """Share of the links of a bounded number of nodes that were found."""
+    drawn = drawn.select("key", "shard", "vec").toArrow()
     if not drawn.num_rows:
         return 1.0
     keys, shards, vectors = (drawn[c].to_pylist() for c in ("key", "shard", "vec"))
@@ -350,13 +455,19 @@ def near_duplicates(
     keyed = cut_lineage(_nodes(rows))
     nodes = keyed.groupBy("key").agg(F.any_value("shard").alias("shard"), F.any_value("vec").alias("vec"), F.count(F.lit(1)).alias("n"), F.min("id").alias("low"))
     nodes = cut_lineage(nodes)
-    graph = _graph(_sharded(nodes.select("shard", "key", "vec", "n")), threshold)
-    beam = BEAM
+    members = _sharded(nodes.select("shard", "key", "vec", "n"))
+    graph = _graph(members, threshold)
+    beam, before = BEAM, -1.0
     while True:
         counts, links = _links(graph, nodes, threshold, beam)
-        if audit(nodes, counts, threshold) >= LEAST_RECALL or beam > 16 * BEAM:
+        recall = audit(nodes, counts, threshold)
+        log.info("beam %d: %.4f of the audited links found", beam, recall)
+        if recall >= LEAST_RECALL:
+            break
+        if recall < before + 0.01:  # what is missing is beyond the beam
+            counts, links = _exact_links(members, threshold)
             break
-        beam *= 4
+        beam, before = beam * 4, recall
     groups = components(links, "a", "b").withColumnRenamed("node", "key")
     named = nodes.select("key", "n", "low").join(groups, "key", "left").withColumn("root", F.coalesce("root", "key"))
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))

@@ -161,6 +161,20 @@ def test_links_of_vectors(spark, monkeypatch):
     assert np.mean([got[i][1:] == want[i][1:] for i in want]) >= 0.97
 
 
+def test_links_of_a_dense_group_of_several_shards(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dups, "SHARD", 60)
+    monkeypatch.setattr(embedding_dups, "SHARD_MAX", 120)
+    rng = np.random.default_rng(6)
+    center = rng.normal(size=16)
+    rows = [(i, (center + rng.normal(scale=0.02, size=16)).astype(np.float32).tolist(), "a/1") for i in range(600)]
+    rows += [(600 + i, rng.normal(size=16).astype(np.float32).tolist(), "a/1") for i in range(100)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string").repartition(5)
+    want = {i: (n, c) for i, n, c in brute_vectors(rows)}
+    assert min(want[i][0] for i in range(600)) > 4 * embedding_dups.SHARD_MAX
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dups.near_duplicates(df).collect()}
+    assert got == want
+
+
 def test_vectors_of_edge_cases(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], None), (4, None, 1), (5, [], 1), (6, [0.0, 0.0], 1), (7, [nan, 1.0], 1)]
