@@ -5,10 +5,12 @@ reports a span of its own kind only where the decoded bytes have the structure o
 
 * ``jwt``: three base64url parts; the first decodes to a JSON object with ``alg``, the second to a JSON object;
 * ``pem``: a block between BEGIN and END lines of a private key whose body parses as nested DER lengths;
+  line ends may be written as escapes; with headers that name a cipher, the body is whole blocks of it;
 * ``der``: a bare base64 run that parses as such a key: a sequence that fills its bytes, begins with a
-  small version number and holds at least one more element of consistent length;
+  small version number and holds at least one more element of consistent length, or that names a
+  password-based cipher and holds what it encrypted;
 * ``sshkey``: a base64 run of length-prefixed strings that begins with a key type and ends exactly;
-* ``hexkey``: a hex run that decodes to a DER key.
+* ``hexkey``: a hex run, of either case, that decodes to a DER key.
 
 All spans are code points, end exclusive. Base spans are found leftmost and non-overlapping per kind
 and are never changed by the confirmation.
@@ -40,8 +42,19 @@ BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "jwt", "pem", "der", "sshkey", "hexkey")
 
 SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
-PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
-BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/=])[A-Za-z0-9+/]{40,}={0,2}(?![A-Za-z0-9+/=])")
+# no character fits two parts side by side and nothing is given back, so a block is read once
+PEM = re.compile(
+    r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----(?:\s|\\+[nrt])*+"
+    r"((?:[A-Za-z][A-Za-z0-9-]*: [^\r\n\\]*(?:\r?\n|(?:\\+r)?\\+n)[\x20\t]*)*+)"
+    r"((?:[A-Za-z0-9+/=\s]|\\+[nrt/])++)-----END \1-----"
+)
+ESCAPED = re.compile(r"\\+[nrt]|[\\\s]")
+CIPHER = re.compile(r"DEK-Info: [A-Z0-9-]+,([0-9A-Fa-f]{16,32})\b")
+# an escaped line end before a run is none of its characters
+BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/])(?:(?<=\\)[nrt])?([A-Za-z0-9+/]{40,}={0,2})(?![A-Za-z0-9+/=])")
+HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{14,}")
+# PKCS#5 and PKCS#12 password-based encryption
+PASSWORD_BASED = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
 SSH_TYPES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-nistp256", b"ecdsa-sha2-nistp384", b"ecdsa-sha2-nistp521")
 SSH_MAGIC = b"openssh-key-v1\0"
 
@@ -112,6 +125,31 @@ def _nested(data: bytes, at: int, end: int) -> bool:
     return True
 
 
+def is_encrypted_der(data: bytes) -> bool:
+    """A sequence over all bytes of a password-based cipher with its parameters, and the octets it encrypted."""
+    outer = _element(data, 0, len(data))
+    if outer is None or outer[0] != 0x30 or outer[2] != len(data):
+        return False
+    cipher = _element(data, outer[1], outer[2])
+    if cipher is None or cipher[0] != 0x30 or not _nested(data, cipher[1], cipher[2]):
+        return False
+    name = _element(data, cipher[1], cipher[2])
+    octets = _element(data, cipher[2], outer[2])
+    if name is None or name[0] != 0x06 or not data[name[1] : name[2]].startswith(PASSWORD_BASED):
+        return False
+    return octets is not None and octets[0] == 0x04 and octets[2] == outer[2] and octets[2] > octets[1]
+
+
+def is_key(data: bytes) -> bool:
+    return is_key_der(data) or is_encrypted_der(data)
+
+
+def _is_encrypted_body(headers: str, body: bytes) -> bool:
+    """Headers that name a cipher and its start value, and whole blocks of that size."""
+    cipher = CIPHER.search(headers)
+    return "Proc-Type: 4,ENCRYPTED" in headers and cipher is not None and len(body) > 0 and len(body) % (len(cipher[1]) // 2) == 0
+
+
 def is_ssh_key(data: bytes) -> bool:
     """Length-prefixed strings to the very end, the first one a key type; or the private container."""
     if data.startswith(SSH_MAGIC):
@@ -153,19 +191,19 @@ def confirmed_spans(text: str, hex_runs: list[tuple[int, int]]) -> list[tuple[in
                 out.append((m.start(), m.end(), "jwt"))
     if "PRIVATE KEY-----" in text:
         for m in PEM.finditer(text):
-            body = decoded("".join(m[2].split()))
-            if body is not None and (is_key_der(body) or is_ssh_key(body)):
+            body = decoded(ESCAPED.sub("", m[3]))
+            if body is not None and (is_key(body) or is_ssh_key(body) or _is_encrypted_body(m[2], body)):
                 out.append((m.start(), m.end(), "pem"))
     for m in BASE64_RUN.finditer(text):
         # a DER sequence or a key type's length come first: 0x30, or three zero bytes, or the container's name
-        if m[0].startswith(("M", "AAAA", "b3BlbnNzaC1rZXktdjE")):
-            body = decoded(m[0])
+        if m[1].startswith(("M", "AAAA", "b3BlbnNzaC1rZXktdjE")):
+            body = decoded(m[1])
             if body is not None:
-                kind = "der" if is_key_der(body) else "sshkey" if is_ssh_key(body) else None
+                kind = "der" if is_key(body) else "sshkey" if is_ssh_key(body) else None
                 if kind:
-                    out.append((m.start(), m.end(), kind))
-    for start, end in hex_runs:
-        if (end - start) % 2 == 0 and text.startswith("30", start) and is_key_der(bytes.fromhex(text[start:end])):
+                    out.append((m.start(1), m.end(1), kind))
+    for start, end in sorted({*hex_runs, *(m.span() for m in HEX_RUN.finditer(text))}):
+        if (end - start) % 2 == 0 and text.startswith("30", start) and is_key(bytes.fromhex(text[start:end])):
             out.append((start, end, "hexkey"))
     return out
 

@@ -77,6 +77,34 @@ def test_structures_are_confirmed():
     assert text[a:b] == JWT
 
 
+ENCRYPTED = element(0x30, element(0x30, element(6, bytes.fromhex("2a864886f70d01050d")) + element(0x30, b"")) + element(4, bytes(range(64))))
+
+
+def test_keys_are_confirmed_wherever_they_are_written():
+    run, ssh = base64.b64encode(KEY).decode(), base64.b64encode(SSH).decode()
+    for text, kind, secret in ((f"private_key={run} y", "der", run), (f"k={ssh}", "sshkey", ssh), (f'"a\\n{run}\\n"', "der", run), (f"x={KEY.hex()}", "hexkey", KEY.hex())):
+        found = [(text[a:b], k) for a, b, k in secrets.find(text) if k not in secrets.BASE_KINDS]
+        assert found == [(secret, kind)]
+    assert kinds(f"h {KEY.hex().upper()} y") == ["hexkey"] and kinds(f"h {KEY.hex().title()} y") == ["hexkey"]
+    assert kinds("=" + "M" + "AbCd" * 30) == [] and kinds("30" * 40 + "AB" * 8) == []
+
+
+def test_written_forms_of_pem_blocks():
+    def block(data, name="RSA PRIVATE KEY", headers="", end="\n"):
+        run = base64.b64encode(data).decode()
+        return end.join([f"-----BEGIN {name}-----", *([headers.replace("\n", end), ""] if headers else []), *(run[i : i + 64] for i in range(0, len(run), 64)), f"-----END {name}-----"])
+
+    sealed = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,000102030405060708090A0B0C0D0E0F"
+    for end in ("\n", "\r\n", "\\n", "\\r\\n"):
+        forms = block(KEY, end=end), block(bytes(range(160)), headers=sealed, end=end), block(ENCRYPTED, "ENCRYPTED PRIVATE KEY", end=end)
+        for text in forms:
+            assert [text[a:b] for a, b, k in secrets.find(text) if k == "pem"] == [text]
+    assert "pem" not in kinds(block(bytes(range(150)), headers=sealed))  # not whole blocks
+    assert "pem" not in kinds(block(bytes(range(160)))) and "pem" not in kinds(block(ENCRYPTED[:-1]))
+    digest = element(0x30, element(0x30, element(6, bytes.fromhex("608648016503040201")) + element(5, b"")) + element(4, bytes(32)))
+    assert kinds(base64.b64encode(digest).decode()) == []
+
+
 def test_what_only_looks_encoded_is_left_alone():
     run = base64.b64encode(KEY).decode()
     assert kinds(f"x {run[:-8]} y") == []  # cut short: lengths no longer fit
