@@ -4,7 +4,7 @@ Texts are cut into windows of ``WINDOW`` bytes that cover them whole. One recurr
 and one backward over each window; at every byte both states give probabilities of the languages, and
 a document's probabilities are the mean over all its bytes. Training is backpropagation through time
 with Adam over a bounded sample of labelled windows (``per_language`` of each language, drawn by hash
-from all labelled rows); it runs on the driver, for its input and its parameters are of fixed size.
+from all different labelled texts, so that copies take no other text's place); it runs on the driver, for its input and its parameters are of fixed size.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0, and so is every text if
 no row could be learned from; texts of any length are read whole; equal texts get equal results;
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, give_back, held_out
@@ -161,7 +161,8 @@ def train(windows: list[bytes], labels: np.ndarray, n_out: int, steps: int = 160
 def _sample(labelled: DataFrame, text: Column, label: Column, per_language: int, pieces: int) -> tuple[list[bytes], list[str]]:
     """Up to ``per_language`` windows of each language, ``pieces`` from places spread over each drawn text."""
     rows = labelled.select(label.alias("label"), text.alias("text"))
-    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
+    different = rows.select("label", F.xxhash64("text").alias("text")).distinct()
+    counts = {r["label"]: r["n"] for r in different.groupBy("label").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not counts:
@@ -173,16 +174,11 @@ def _sample(labelled: DataFrame, text: Column, label: Column, per_language: int,
         F.substring("text", F.pmod(F.xxhash64("text", F.lit(k)), F.greatest(F.length("text") - WINDOW, F.lit(1))).cast("int") + 1, F.lit(WINDOW))
         for k in range(pieces)
     ]
-    # as many as a drawn set has on average, in hash order: the bound holds whatever was drawn
-    windows = drawn.select("label", F.explode(F.array(*cuts)).alias("window")).distinct()
-    got = windows.orderBy(F.xxhash64("window", "label")).limit(2 * per_language * len(counts)).collect()
-    taken: dict[str, int] = {}
-    out, labels = [], []
-    for r in got:
-        if taken.get(r["label"], 0) < per_language:
-            taken[r["label"]] = taken.get(r["label"], 0) + 1
-            out.append(r["window"].encode()[:WINDOW])
-            labels.append(r["label"])
+    # the bound holds whatever was drawn, and for each language by itself
+    windows = drawn.select("label", F.explode(F.array(*cuts)).alias("window")).distinct().withColumn("order", F.xxhash64("window", "label"))
+    nth = F.row_number().over(Window.partitionBy("label").orderBy("order", "window"))
+    got = windows.withColumn("nth", nth).where(F.col("nth") <= per_language).orderBy("order", "window").select("label", "window").collect()
+    out, labels = [r["window"].encode()[:WINDOW] for r in got], [r["label"] for r in got]
     return out, labels
 
 

@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -78,6 +79,16 @@ def test_languages_are_told_on_held_out_texts(spark):
     assert kept.columns == docs.columns and kept.count() == 600
 
 
+def test_copies_do_not_shrink_what_is_learned_from(spark):
+    one = F.when(F.col("id") < 29980, F.lit("one and the same")).otherwise(F.concat(F.lit("other "), F.col("id").cast("string")))
+    rows = spark.range(30000).select(one.alias("text"), F.lit("en").alias("lang"))
+    rows = rows.unionByName(spark.range(20000).select(F.concat(F.lit("text "), (F.col("id") % 200).cast("string")).alias("text"), F.lit("de").alias("lang")))
+    rows = rows.unionByName(spark.range(9000).select(F.concat(F.lit("viel "), F.col("id").cast("string")).alias("text"), F.lit("xx").alias("lang")))
+    windows, labels = language._sample(rows, F.col("text"), F.col("lang"), 400, 1)
+    assert len(windows) == len(set(zip(windows, labels)))
+    assert Counter(labels) == {"en": 21, "de": 200, "xx": 400}
+
+
 def test_language_of_edge_cases(edge, none):
     model = language.fit(edge)
     out = language.identify(edge, model).collect()
