@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import bpe, embedding_dups, exact_dedup, language, mixing, ngram_join, pii, secrets, sql, token_counts, toxicity
+from . import bpe, collocations, embedding_dups, exact_dedup, language, mixing, ngram_join, pii, secrets, sql, token_counts, toxicity
 from .common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_embedding_near_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dups.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op11_phrase_collocations", sql.COLLOCATIONS)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))

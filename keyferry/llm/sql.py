@@ -12,6 +12,32 @@ WITH n AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM w
 """
 
+COLLOCATIONS = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p
+), g AS MATERIALIZED (
+  SELECT lang, size, array_to_string(words[i:i + size - 1], ' ') AS phrase, count(*) AS a
+  FROM w, range(1, 5) AS s(size), range(1, len(words) + 1) AS t(i) WHERE i + size - 1 <= len(words) GROUP BY ALL
+), n AS (SELECT lang, sum(a)::BIGINT AS n FROM g WHERE size = 1 GROUP BY lang
+), often AS MATERIALIZED (SELECT * FROM g WHERE a >= 30
+), c AS (SELECT * FROM often WHERE size > 1
+), cut AS (SELECT lang, phrase, a, k, string_split(phrase, ' ') AS words, size FROM c, range(1, 4) AS t(k) WHERE k < size
+), s AS (
+  SELECT x.lang, x.phrase, x.a, k, f.a AS l, b.a AS r, (2000000::HUGEINT * x.a // (f.a + b.a))::BIGINT AS score
+  FROM cut x JOIN often f ON f.lang = x.lang AND f.phrase = array_to_string(words[1:k], ' ')
+             JOIN often b ON b.lang = x.lang AND b.phrase = array_to_string(words[k + 1:], ' ')
+), best AS (SELECT lang, phrase, a, unnest(arg_min({'l': l, 'r': r, 'score': score}, {'score': score, 'k': k})) FROM s GROUP BY lang, phrase, a
+), kept AS (
+  SELECT * FROM best x WHERE NOT EXISTS (
+    SELECT 1 FROM c WHERE c.lang = x.lang AND len(c.phrase) > len(x.phrase) AND contains(' ' || c.phrase || ' ', ' ' || x.phrase || ' ') AND 100 * c.a >= 80 * x.a)
+)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 
 def mixing(powers: dict[str, float], rounds: int, budget: float) -> str:
     """Raking unrolled into one table expression for each round and dimension; the factor by sorted sums."""
