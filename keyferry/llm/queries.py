@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import prepare
-from . import bpe, collocations, embedding_dups, exact_dedup, language, mixing, ngram_join, pii, secrets, sql, token_counts, toxicity
+from ..session import checkpoint_dir, prepare
+from . import bpe, collocations, conversation_repair, embedding_dups, exact_dedup, language, mixing, ngram_join, pii, secrets, sql, token_counts, token_files, toxicity
 from .common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +19,7 @@ ORACLES: dict[str, str] = {}
 # The production mix: shares follow what is there, flattened, so that no source or language rules it.
 MIX_POWERS = {"source": 0.5, "lang": 0.5, "topic": 0.7}
 MIX_ROUNDS, MIX_BUDGET = 12, 0.5
+END_ID = 1  # closes every document of the token files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -113,3 +115,15 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_phrase_collocations", sql.COLLOCATIONS)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op12_token_files")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{checkpoint_dir(spark)}/keyferry/{uuid.uuid4().hex}"
+    token_files.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), END_ID)
+    return token_files.checked(token_files.read(spark, path))
+
+
+@query("op13_conversation_repair", sql.CONVERSATION_REPAIR)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.Repair(conversation_repair.damage(table(spark, sf_dir, "conversations"))).summary()

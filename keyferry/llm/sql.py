@@ -39,6 +39,82 @@ FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC
 """
 
 
+def _after_inserts(states: str) -> str:
+    """States n, s, u, a after rows put in: u from n, s or a, then a from u, then u once more."""
+    u = "list_min([{0}.u, CASE WHEN {0}.n IS NOT NULL THEN {{'c': {0}.n.c + 5, 'a': {0}.n.a || 'I'}} END, CASE WHEN {0}.s IS NOT NULL THEN {{'c': {0}.s.c + 5, 'a': {0}.s.a || 'I'}} END, CASE WHEN {0}.a IS NOT NULL THEN {{'c': {0}.a.c + 5, 'a': {0}.a.a || 'I'}} END])".format(states)
+    a = f"list_min([{states}.a, CASE WHEN {u} IS NOT NULL THEN {{'c': {u}.c + 5, 'a': {u}.a || 'I'}} END])"
+    return f"{{'n': {states}.n, 's': {states}.s, 'u': {u}, 'a': {a}}}"
+
+
+_GONE = "x.f IN ('blank', 'duplicate')"
+_MORE = "CASE WHEN x.f = 'truncated' THEN 5 ELSE 0 END"
+
+
+def _read_row() -> str:
+    """States after a row x, from states s (rows put in before it included)."""
+    stay = f"NOT {_GONE}"
+
+    def way(state: str, when: str, cost: str, edit: str) -> str:
+        return f"CASE WHEN s.{state} IS NOT NULL AND {when} THEN {{'c': s.{state}.c + {cost}, 'a': s.{state}.a || '{edit}'}} END"
+
+    keep = lambda state, initial: way(state, f"{stay} AND x.i = '{initial}'", _MORE, "K")
+    rerole = lambda state: way(state, stay, f"1 + {_MORE}", "R")
+    gone = lambda state: way(state, "true", "2", "D")
+    u = ", ".join([gone("u"), *[f(k) for k in "nsa" for f in (lambda k: keep(k, "u"), rerole)]])
+    a = ", ".join([gone("a"), keep("u", "a"), rerole("u")])
+    return f"{{'n': list_min([{gone('n')}]), 's': list_min([{gone('s')}, {keep('n', 's')}]), 'u': list_min([{u}]), 'a': list_min([{a}])}}"
+
+
+_STATE = "STRUCT(c BIGINT, a VARCHAR)"
+_STATES = f"STRUCT(n {_STATE}, s {_STATE}, u {_STATE}, a {_STATE})"
+_BYTES = "list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT)"
+
+CONVERSATION_REPAIR = rf"""
+WITH h AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(flatten(list_transform({_BYTES}, lambda b: [b, -1, -1, -1, -1, -1, -1, -1, -1])),
+                         lambda v, e: CASE WHEN e >= 0 THEN xor(v, e) WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, 4294967295), 4294967295) % 20 AS h
+  FROM conversations
+), d AS (
+  SELECT conv_id, turn, CASE h WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE h WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE h WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM h WHERE h <> 0
+), o AS (
+  SELECT *, row_number() OVER w AS pos, left(role, 1) AS i, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t,
+         lag(left(role, 1)) OVER w AS before, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen
+  FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)
+), f AS (
+  SELECT *, CASE WHEN t = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN right(t, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS f FROM o
+), c AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (f = 'blank') AS blank, count(*) FILTER (f = 'duplicate') AS duplicate,
+         count(*) FILTER (f = 'truncated') AS truncated, count(*) FILTER (before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal,
+         list({{'i': i, 'f': f}} ORDER BY pos) AS items
+  FROM f GROUP BY conv_id
+), RECURSIVE_STEPS AS (
+  SELECT conv_id, 0 AS k, {{'n': {{'c': 0, 'a': ''}}, 's': NULL, 'u': NULL, 'a': NULL}}::{_STATES} AS s, items FROM c
+  UNION ALL
+  SELECT conv_id, k + 1, {_read_row()}, items FROM (SELECT conv_id, k, {_after_inserts('s')} AS s, items, items[k + 1] AS x FROM RECURSIVE_STEPS WHERE k < len(items))
+), e AS (
+  SELECT conv_id, list_min([s.n, s.a]) AS best FROM (SELECT conv_id, {_after_inserts('s')} AS s FROM RECURSIVE_STEPS WHERE k = len(items))
+), l AS (
+  SELECT conv_id, unnest(string_split(best.a, '')) AS edit, generate_subscripts(string_split(best.a, ''), 1) AS p FROM e WHERE best.a <> ''
+), n AS (
+  SELECT *, count(*) FILTER (edit <> 'I') OVER w AS pos, count(*) FILTER (edit <> 'D') OVER w AS line FROM l WINDOW w AS (PARTITION BY conv_id ORDER BY p)
+), r AS (
+  SELECT n.conv_id, line, edit, CASE WHEN edit = 'I' THEN '' ELSE text END AS text, role,
+         max(line = 1 AND edit = 'K' AND i = 's') OVER (PARTITION BY n.conv_id) AS opened
+  FROM n LEFT JOIN o ON o.conv_id IS NOT DISTINCT FROM n.conv_id AND o.pos = n.pos AND edit <> 'I' WHERE edit <> 'D'
+), z AS (
+  SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (line + opened::INT) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY line) AS lines
+  FROM r GROUP BY conv_id
+)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM a.conv_id
+     LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM a.conv_id
+""".replace("WITH h AS", "WITH RECURSIVE h AS").replace("RECURSIVE_STEPS", "steps")
+
+
 def mixing(powers: dict[str, float], rounds: int, budget: float) -> str:
     """Raking unrolled into one table expression for each round and dimension; the factor by sorted sums."""
     of = lambda chars: "(" + " + ".join(f"length(t) - length(replace(t, '{c}', ''))" for c in chars) + ")"
