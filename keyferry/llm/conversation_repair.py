@@ -8,7 +8,7 @@ algorithm from both ends: heaps of the start and of the end meet, all crossings
 finished, and of the cheapest ways the one with the least audit (the initials of its edits) is taken.
 
 A conversation of any length is spread over tasks. Rows are ranged by conversation and turn, written, and
-cut into blocks where a row's place is a multiple of ``BLOCK``. A block finds the cheapest way from each
+cut into blocks of up to 1,024 rows by their place. A block finds the cheapest way from each
 state to each state; the blocks of a conversation then are a short lattice of their own, searched the same
 way, where ties are broken by the order of the blocks' audits. No audit of a block begins another one of it
 with the same first state, because a block's way ends with an edit of its last row, so that order holds for
@@ -30,12 +30,13 @@ import heapq
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import cut_lineage
 from .common import SPACES, bounded_batches, give_back
 
-BLOCK_BITS = 10
-BLOCK = 1 << BLOCK_BITS
+BLOCK_BITS = 10  # a block has up to 2 to this power of rows
 STATES = "-sua"  # nothing out yet, after system, after user, after assistant
 END = 4  # as a block's last state: the conversation is complete
 NEXT = {0: 2, 1: 2, 2: 3, 3: 2}  # the state after a row put in or given another role
@@ -282,10 +283,6 @@ def _batches(rows, schema: pa.Schema, at_once: int = 2000):
     give_back()
 
 
-def _window(at: int) -> int:
-    return at >> BLOCK_BITS
-
-
 def _block_row(rows: list[tuple], opens: bool, closes: bool) -> tuple:
     live = [r for r in rows if r[4] != "-"]
     kinds = {"blank": MUST_GO, "duplicate": MUST_GO, "truncated": CUT_SHORT, "": SOUND}
@@ -302,15 +299,15 @@ def _block_row(rows: list[tuple], opens: bool, closes: bool) -> tuple:
     return (rows[0][0], rows[0][1], *seen, *map(list, columns))
 
 
-def _blocks(judged: DataFrame) -> DataFrame:
+def _blocks(judged: DataFrame, bits: int) -> DataFrame:
     """conv_id, first, tallies, ways: one row per block."""
     id_type = judged.schema["conv_id"].dataType.simpleString()
     schema = f"conv_id {id_type}, first bigint, {TALLIES}, {WAYS}"
-    arrow = _arrow(schema, judged.sparkSession)
+    arrow = _arrow(schema)
 
     def run(batches):
         def rows():
-            for window in _runs(batches, lambda r: _window(r[1])):
+            for window in _runs(batches, lambda r: r[1] >> bits):
                 blocks = [[window[0]]]
                 for row in window[1:]:
                     if row[0] == blocks[-1][-1][0]:
@@ -322,14 +319,11 @@ def _blocks(judged: DataFrame) -> DataFrame:
 
         yield from _batches(rows(), arrow)
 
-    spread = judged.withColumn("window", F.shiftright("at", BLOCK_BITS)).repartition("window").sortWithinPartitions("at")
+    spread = judged.withColumn("window", F.shiftright("at", bits)).repartition("window").sortWithinPartitions("at")
     return cut_lineage(spread.select("conv_id", "at", "turn", "initial", "fault").mapInArrow(run, schema))
 
 
-def _arrow(schema: str, spark) -> pa.Schema:
-    from pyspark.sql import types as T
-    from pyspark.sql.pandas.types import to_arrow_schema
-
+def _arrow(schema: str) -> pa.Schema:
     return to_arrow_schema(T.StructType.fromDDL(schema))
 
 
@@ -340,7 +334,7 @@ def _chains(blocks: DataFrame) -> DataFrame:
     """home (a conversation's first place), first, start, to, closing, alone for every block; the summary with the last one."""
     id_type = blocks.schema["conv_id"].dataType.simpleString()
     schema = f"conv_id {id_type}, home bigint, first bigint, start int, to int, closing int, alone boolean, last boolean, {SUMMARY}"
-    arrow = _arrow(schema, blocks.sparkSession)
+    arrow = _arrow(schema)
     columns = ["conv_id", "first", "blank", "duplicate", "truncated", "illegal", "turns", "least", "most", "first_initial", "last_initial", "starts", "ends", "costs", "ranks"]
 
     def run(batches):
@@ -370,10 +364,11 @@ def _chains(blocks: DataFrame) -> DataFrame:
     return cut_lineage(sorted_blocks.mapInArrow(run, schema))
 
 
-def _applied(placed: DataFrame, blocks: DataFrame, chains: DataFrame, run, schema: str) -> DataFrame:
+def _applied(repair: Repair, run, schema: str) -> DataFrame:
     """Rows of a window in one task, each block's way before its rows."""
-    ways = blocks.select("first", F.explode(F.arrays_zip("starts", "ends", "audits")).alias("w")).select("first", F.col("w.starts").alias("start"), F.col("w.ends").alias("to"), F.col("w.audits").alias("audit"))
-    taken = chains.join(ways, ["first", "start", "to"])
+    placed = repair.placed
+    ways = repair.blocks.select("first", F.explode(F.arrays_zip("starts", "ends", "audits")).alias("w")).select("first", F.col("w.starts").alias("start"), F.col("w.ends").alias("to"), F.col("w.audits").alias("audit"))
+    taken = repair.chains.join(ways, ["first", "start", "to"])
     id_type = placed.schema["conv_id"].dataType.simpleString()
     null = lambda t: F.lit(None).cast(t)
     heads = taken.select(
@@ -383,7 +378,7 @@ def _applied(placed: DataFrame, blocks: DataFrame, chains: DataFrame, run, schem
     rows = placed.select(
         "at", F.lit(1).alias("kind"), "conv_id", "role", "text", "present", null("bigint").alias("home"), null("int").alias("start"), null("string").alias("audit"), null("boolean").alias("alone"),
     )
-    both = heads.unionByName(rows).withColumn("window", F.shiftright("at", BLOCK_BITS)).repartition("window").sortWithinPartitions("at", "kind")
+    both = heads.unionByName(rows).withColumn("window", F.shiftright("at", repair.bits)).repartition("window").sortWithinPartitions("at", "kind")
     return both.drop("window").mapInArrow(run, schema)
 
 
@@ -430,22 +425,23 @@ class Repair:
     ``rows()`` gives the mended conversations row by row, ``summary()`` one row per conversation.
     """
 
-    def __init__(self, rows: DataFrame):
+    def __init__(self, rows: DataFrame, bits: int = BLOCK_BITS):
         bounded_batches(rows.sparkSession)
+        self.bits = bits
         self.placed = ordered(rows)
-        self.blocks = _blocks(_judged(self.placed))
+        self.blocks = _blocks(_judged(self.placed), bits)
         self.chains = _chains(self.blocks)
 
     def rows(self) -> DataFrame:
         """conv_id, at, step, edit, role, text: every edit in order; deleted rows have a null role."""
         id_type = self.placed.schema["conv_id"].dataType.simpleString()
         schema = f"conv_id {id_type}, at bigint, step int, edit string, role string, text string"
-        arrow = _arrow(schema, self.placed.sparkSession)
+        arrow = _arrow(schema)
 
         def run(batches):
             yield from _batches(((conv, at, k, edit, role, text) for _, _, _, conv, _, out in _mended(batches) for k, (at, edit, role, text) in enumerate(out)), arrow, 500)
 
-        return _applied(self.placed, self.blocks, self.chains, run, schema)
+        return _applied(self, run, schema)
 
     def summary(self) -> DataFrame:
         """conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256 of the mended ``role:text`` lines.
@@ -454,7 +450,7 @@ class Repair:
         a digest of one text can't be made in parts.
         """
         schema = "home bigint, first bigint, audit string, digest string, lines bigint, piece binary"
-        arrow = _arrow(schema, self.placed.sparkSession)
+        arrow = _arrow(schema)
 
         def run(batches):
             def pieces():
@@ -468,9 +464,9 @@ class Repair:
 
             yield from _batches(pieces(), arrow, 100)
 
-        parts = cut_lineage(_applied(self.placed, self.blocks, self.chains, run, schema))
+        parts = cut_lineage(_applied(self, run, schema))
         joined_schema = "home bigint, audit string, repaired_sha256 string"
-        joined_arrow = _arrow(joined_schema, self.placed.sparkSession)
+        joined_arrow = _arrow(joined_schema)
 
         def join(batches):
             def conversations():

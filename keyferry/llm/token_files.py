@@ -28,11 +28,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import bounded_batches, give_back, whole
+from .common import SPACES, bounded_batches, give_back, whole
 
 HELD = 300_000
 AT_ONCE = 20_000
 STRIPE_BYTES, INDEX_ROWS, BLOOM_ERROR = 16 << 20, 1000, 0.01
+CHECK_ROWS = 256  # a stripe's size is looked at so often, because one row may be a book
 
 
 class Runs(dict):
@@ -48,6 +49,11 @@ class Runs(dict):
         borders = [s for s in self.specials if all(s[:1] not in t[1:] for t in self.specials)]
         self.border = min(borders, default=None)
 
+    def parted_by_white_space(self) -> bool:
+        """Whether ids of two runs are those of each, whatever white space is between."""
+        both = [*self._ids("ab"), *self._ids("12")]
+        return all(self._ids(f"ab{c}12").tolist() == both for c in SPACES)
+
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
@@ -81,7 +87,10 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col:
     """Write the token files of all documents below ``path``, which must not exist."""
     spark = bounded_batches(docs.sparkSession)
     with open(tokenizer_path, "rb") as f:
-        content = spark.sparkContext.broadcast(f.read())  # a vocabulary file, a few MB
+        content = f.read()
+    if not Runs(content).parted_by_white_space():
+        raise ValueError(f"{tokenizer_path} joins tokens across white space; its texts can't be encoded run by run")
+    content = spark.sparkContext.broadcast(content)  # a vocabulary file, a few MB
     id_type = docs.schema[id_col].dataType.simpleString()
     end = np.array([end_id], dtype="<u4").tobytes()
 
@@ -106,6 +115,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col:
     for key, value in {
         "orc.stripe.size": stripe_bytes, "orc.row.index.stride": index_rows, "orc.create.index": "true",
         "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": BLOOM_ERROR,
+        "orc.row.batch.size": CHECK_ROWS, "orc.rows.between.memory.checks": CHECK_ROWS,
     }.items():
         out = out.option(key, str(value))
     out.orc(f"{path}/tokens")
