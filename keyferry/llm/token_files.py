@@ -7,20 +7,23 @@ row indexes and a Bloom filter on doc_id let a search by id skip files, stripes
 metadata. ``start``, the ids of all documents before, is the file's offset plus the row's ``place`` in it.
 
 Documents are ranged and sorted before they are encoded, so ids are never shuffled. A task encodes with the
-tokenizer library, each run between ASCII white space once while it is remembered: the file's rules never
-join or compare text across white space, so ids of a text are those of its runs one after the other.
-Runs not seen before are encoded together, parted by a special token that none of them holds.
+tokenizer library, each piece of a word once while it is remembered: the file's rules never join or compare
+text across white space, so ids of a text are those of its runs one after the other.
 
 Defined cases: a null text is an empty one; an empty document has only the end id; null ids come first,
 documents of one id follow by a hash of the text, then as read; repeated rows are written as often as they
 come; texts of any length are whole; further columns are ignored; an empty table gives empty files.
-Memory in a task: the tokenizer, up to ``HELD`` remembered runs, one Arrow batch, one ORC stripe.
+Memory in a task: the tokenizer, up to twice ``HELD`` remembered pieces, one Arrow batch, one ORC
+stripe.
 """
 
 from __future__ import annotations
 
+import functools
+import hashlib
+import json
 import zlib
-from collections.abc import Sequence
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -28,58 +31,88 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from .bpe import BEYOND, PYTHON_ONLY_SPACE, WHITE, Recent, byte_characters, piece_patterns
 from .common import SPACES, bounded_batches, give_back, whole
 
-HELD = 300_000
-AT_ONCE = 20_000
+HELD = 500_000
+# The rules of the vocabulary file under which runs are split here.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PIECES = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
 STRIPE_BYTES, INDEX_ROWS, BLOOM_ERROR = 16 << 20, 1000, 0.01
 CHECK_ROWS = 256  # a stripe's size is looked at so often, because one row may be a book
 
 
-class Runs(dict):
-    """Packed ids of runs between white space."""
+class Runs:
+    """Packed ids of runs between white space, by the tokenizer library.
+
+    The library's merging is most of the work, so its model is asked for each lower-case piece once while
+    that is remembered. In texts with characters ``BEYOND`` or a special token, runs that hold some go
+    through the whole library, as do all runs of files with other rules than these.
+    """
 
     def __init__(self, content: bytes):
-        super().__init__()
+        spec = json.loads(content)
         self.tokenizer = Tokenizer.from_str(content.decode())
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.specials = {t.content.encode(): i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        # a border that can't begin inside another special token or inside itself
-        borders = [s for s in self.specials if all(s[:1] not in t[1:] for t in self.specials)]
-        self.border = min(borders, default=None)
+        self.model = self.tokenizer.model
+        self.by_piece = spec["normalizer"] == NORMALIZER and spec["pre_tokenizer"] == PIECES
+        self.specials = [t["content"] for t in spec["added_tokens"]]
+        self.split = piece_patterns()[0].findall
+        self.shown = dict(enumerate(byte_characters()))
+        self.pieces = Recent(self._piece, HELD)
+        self.runs = Recent(self._run, HELD // 5)
 
     def parted_by_white_space(self) -> bool:
         """Whether ids of two runs are those of each, whatever white space is between."""
-        both = [*self._ids("ab"), *self._ids("12")]
-        return all(self._ids(f"ab{c}12").tolist() == both for c in SPACES)
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-
-    def learn(self, runs: list[bytes]) -> None:
-        """Encode runs not remembered yet."""
-        plain = []
-        for run in runs:
-            if self.border is None or any(s in run for s in self.specials):
-                self[run] = self._ids(run.decode()).tobytes()
-            else:
-                plain.append(run)
-        for k in range(0, len(plain), AT_ONCE):
-            some = plain[k : k + AT_ONCE]
-            ids = self._ids(self.border.join(some).decode())
-            cuts = np.flatnonzero(ids == self.specials[self.border])
-            for run, a, b in zip(some, [0, *(cuts + 1)], [*cuts, len(ids)]):
-                self[run] = ids[a:b].tobytes()
-
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
-        split = [t.encode().split() for t in texts]
-        new = {r for runs in split for r in runs if r not in self}
-        if len(self) + len(new) > HELD:
-            self.clear()
-            new = {r for runs in split for r in runs}
-        self.learn(list(new))
-        return [b"".join(map(self.__getitem__, runs)) for runs in split]
+        both = self._whole("ab") + self._whole("12")
+        return all(self._whole(f"ab{c}12") == both for c in SPACES)
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(self.shown)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def _by_piece(self, text: str) -> str | None:
+        """The text in lower case, if its pieces can be asked for one by one."""
+        if not self.by_piece or any(s in text for s in self.specials):
+            return None
+        lower = text.lower()
+        try:
+            text.encode("latin-1")  # the usual case, quickly told
+        except UnicodeEncodeError:
+            return None if BEYOND.search(text) or BEYOND.search(lower) else lower
+        return lower
+
+    def encode(self, text: str) -> bytes:
+        if (lower := self._by_piece(text)) is not None:
+            return b"".join(map(self.pieces.__getitem__, self.split(lower)))
+        runs = WHITE.split(text) if PYTHON_ONLY_SPACE.search(text) else text.split()
+        return b"".join(map(self.runs.__getitem__, runs))
+
+    def _run(self, run: str) -> bytes:
+        if (lower := self._by_piece(run)) is None:
+            return self._whole(run)
+        return b"".join(map(self.pieces.__getitem__, self.split(lower)))
+
+
+@functools.lru_cache(maxsize=1)
+def _runs(key: str, content: bytes) -> Runs:
+    return Runs(content)
+
+
+def runs_of(content: bytes) -> Runs:
+    """Built once per Python worker, which keeps what it remembers for its next task."""
+    return _runs(hashlib.sha256(content).hexdigest(), content)
 
 
 def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
@@ -95,10 +128,10 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col:
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
-        runs = Runs(content.value)
+        runs = runs_of(content.value)
         place = 0
         for batch in batches:
-            packed = [p + end for p in runs.encode(batch.column(1).to_pylist())]
+            packed = [runs.encode(t) + end for t in batch.column(1).to_pylist()]
             sizes = np.array([len(p) >> 2 for p in packed], dtype=np.int64)
             offsets = np.concatenate([[0], np.cumsum(sizes)])
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(packed), "<i4")))

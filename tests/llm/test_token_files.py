@@ -36,14 +36,23 @@ def expected(rows, end=1):
 
 def test_runs_encode_like_whole_texts(monkeypatch):
     monkeypatch.setattr(token_files, "HELD", 50)
-    monkeypatch.setattr(token_files, "AT_ONCE", 7)
     rng = random.Random(8)
-    alphabet = [chr(rng.choice([rng.randint(32, 126), rng.randint(128, 0x24F), rng.randint(0x300, 0x36F), rng.randint(0x370, 0xD7FF), 32, 9, 10])) for _ in range(4000)]
-    texts = ODD + ["".join(rng.choices(alphabet, k=70)) for _ in range(300)]
+    ranges = [(32, 126), (128, 0x24F), (0x300, 0x36F), (0x370, 0xD7FF), (32, 32), (9, 10)]
+    alphabet = [chr(rng.randint(*rng.choice(ranges))) for _ in range(4000)]
+    latin = [chr(c) for c in [*range(33, 0x250)]]
+    texts = ODD + ["".join(rng.choices(alphabet, k=70)) for _ in range(300)] + [" ".join("".join(rng.choices(latin, k=9)) for _ in range(9)) for _ in range(200)]
+    texts += ["".join(rng.choices("theinareron's .", k=60)) for _ in range(100)]
     runs, t = token_files.Runs(open(WORDS, "rb").read()), plain()
-    for k in range(0, len(texts), 20):
-        for text, got in zip(texts[k : k + 20], runs.encode(texts[k : k + 20])):
-            assert np.frombuffer(got, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
+    assert runs.by_piece and not token_files.Runs(open(BYTES, "rb").read()).by_piece
+    for text in texts:
+        assert np.frombuffer(runs.encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
+
+
+def test_every_latin_character_is_split_like_the_library():
+    runs, t = token_files.Runs(open(WORDS, "rb").read()), plain()
+    for c in range(33, 0x250):
+        text = f"a{chr(c)}B{chr(c)}{chr(c)}1"
+        assert np.frombuffer(runs.encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, hex(c)
 
 
 def test_files_of_edge_rows(spark, edge, none, tmp_path):
