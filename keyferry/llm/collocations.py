@@ -1,11 +1,11 @@
 """Phrases of a language whose words stand together, mined with stripes.
 
 A stripe is what a prefix of words is followed by: an associative counter from the next word to its
-occurrences, with an entry of its own for "no counted word follows". The empty prefix has the words
-themselves, so four levels of stripes hold every phrase of up to four words. Tasks gather stripes of
-their texts, the shuffle brings stripes of one prefix together and they are merged word by word.
-From the merged stripes come the extensions (entries), the prefix totals (sums of a stripe, which are the
-occurrences of the prefix) and the largest extension, by which a phrase is found to be part of a longer one.
+occurrences. The empty prefix has the words themselves, so four levels of stripes hold every phrase of up to
+four words. Tasks gather stripes of their texts, the shuffle brings stripes of one prefix together and they
+are merged word by word. From the merged stripes come the extensions (entries), the totals of prefixes
+(entries one level up; of the empty one, the sum) and the largest extension of a prefix, by which a phrase
+is found to be part of a longer one.
 
 A phrase can only reach ``least`` occurrences if the phrases it holds do. So a level counts a prefix only
 if the level before found it often enough, and a next word only if the phrase without the first word was.
@@ -18,8 +18,7 @@ of the next word, the empty prefix always; no key holds more than a small share
 Defined cases: null texts are empty and give nothing, a null language is ``und``; repeated rows count each
 time; ties end with the phrase in byte order; texts of any length are counted whole; ids and further
 columns are ignored; an empty table or one without frequent phrases gives an empty result.
-Memory in a task: stripes of up to ``HELD`` windows, one language vocabulary of ``HELD`` words, one merged
-stripe, the bitmap.
+Memory in a task: up to ``HELD`` different windows and ``NUMBERED`` words, one merged stripe, the bitmap.
 """
 
 from __future__ import annotations
@@ -37,7 +36,9 @@ from .common import bounded_batches, give_back, whole
 
 SIZES = 4
 HOT, HOT_PARTS, FIRST_PARTS = 2000, 64, 4096
-HELD = 400_000
+HELD = 3_000_000  # windows a task gathers before it hands stripes on; 24 bytes each
+NUMBERED = 500_000  # words a task numbers
+FRESH = 1_500_000
 
 UPPER = bytes(range(65, 91))
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -65,16 +66,25 @@ def _merged(windows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
     """Windows in order, each once, with the sum of their counts."""
     if not len(counts):
         return windows, counts
-    order = np.lexsort(windows.T[::-1])
-    windows, counts = windows[order], counts[order]
-    starts = np.flatnonzero(np.concatenate([[True], (windows[1:] != windows[:-1]).any(axis=1)]))
-    return windows[starts], np.add.reduceat(counts, starts)
+    if windows.shape[1] > 2:
+        order = np.lexsort(windows.T[::-1])
+        windows = windows[order]
+        new = (windows[1:] != windows[:-1]).any(axis=1)
+    else:
+        key = windows[:, -1].astype(np.int64)
+        if windows.shape[1] == 2:
+            key |= windows[:, 0].astype(np.int64) << 32
+        order = np.argsort(key)
+        windows, key = windows[order], key[order]
+        new = key[1:] != key[:-1]
+    starts = np.concatenate([[0], np.flatnonzero(new) + 1])
+    return windows[starts], np.add.reduceat(counts[order], starts)
 
 
 class Stripes:
     """Stripes of one language for prefixes of ``size - 1`` words, gathered from texts.
 
-    A window is a row of word numbers, the last one the next word; number 0 stands for none.
+    A window is a row of word numbers, the last one the next word.
     """
 
     def __init__(self, lang: str, size: int, frequent: np.ndarray | None, bits: int):
@@ -86,9 +96,9 @@ class Stripes:
         self.fresh: list[np.ndarray] = []
         self.n_fresh = 0
 
-    def add(self, text: str) -> None:
-        words, ends = [b""], []
-        for piece in text.encode().translate(BYTES).split(b"\n"):
+    def add(self, texts: list[str]) -> None:
+        words = [b""]
+        for piece in "\n".join(texts).encode().translate(BYTES).split(b"\n"):
             if found := piece.split():
                 words += found
                 words.append(b"")
@@ -97,11 +107,11 @@ class Stripes:
         numbers = np.fromiter(map(self.number.__getitem__, words), np.int32, len(words))
         self.fresh.append(self._windows(numbers))
         self.n_fresh += len(self.fresh[-1])
-        if self.n_fresh > HELD:
+        if self.n_fresh > FRESH:
             self.settle()
 
     def _windows(self, numbers: np.ndarray) -> np.ndarray:
-        """Windows of a run of pieces, which number 0 parts, with a prefix that may be frequent."""
+        """Windows of a run of pieces, which number 0 parts, that may be frequent."""
         size = self.size
         if size == 1:
             return numbers[numbers > 0][:, None]
@@ -109,18 +119,14 @@ class Stripes:
         if n < 1:
             return np.empty((0, size), np.int32)
         runs = [numbers[k : k + n + 1] for k in range(size - 1)]
-        if len(runs[-1]) < n + 1:
-            runs = [np.append(r, 0).astype(np.int32) if len(r) < n + 1 else r for r in runs]
         whole_run = np.logical_and.reduce([r > 0 for r in runs])
         hashes = np.frombuffer(self.hashes, np.uint64)
         at = np.flatnonzero(whole_run)
         places = _places(self.lang, [hashes[r[at]] for r in runs], self.bits)
         alive = np.zeros(n + 1, bool)
         alive[at] = (self.frequent[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
-        at = np.flatnonzero(alive)
-        follows = np.append(alive[1:], False)
-        last = np.append(runs[-1][1:], 0)
-        return np.stack([*[r[at] for r in runs], np.where(follows, last, 0)[at]], axis=1).astype(np.int32)
+        at = np.flatnonzero(alive[:-1] & alive[1:])
+        return np.stack([*[r[at] for r in runs], runs[-1][at + 1]], axis=1)
 
     def settle(self) -> None:
         windows = np.concatenate([self.windows, *self.fresh])
@@ -128,8 +134,8 @@ class Stripes:
         self.windows, self.counts = _merged(windows, counts)
         self.fresh, self.n_fresh = [], 0
 
-    def held(self) -> int:
-        return max(len(self.counts) + self.n_fresh, len(self.words))
+    def full(self) -> tuple[int, int]:
+        return len(self.counts), len(self.words)
 
     def rows(self, hot: set[tuple[str, str]]):
         """(lang, prefix, part, words, counts): stripes with words joined by blanks and packed counts."""
@@ -137,21 +143,21 @@ class Stripes:
         n, size = len(self.counts), self.size
         if not n:
             return
-        prefixes = self.windows[:, :-1]
+        prefixes, spelled = self.windows[:, :-1], np.array(self.words, dtype=object)
         new = (prefixes[1:] != prefixes[:-1]).any(axis=1) if size > 1 else np.zeros(n - 1, bool)
         starts = np.concatenate([[0], np.flatnonzero(new) + 1])
         for a, b in zip(starts, [*starts[1:], n]):
-            prefix = b" ".join(self.words[k] for k in prefixes[a]).decode()
+            prefix = b" ".join(spelled[prefixes[a]].tolist()).decode()
             numbers, counts = self.windows[a:b, -1], self.counts[a:b]
             parts = FIRST_PARTS if size == 1 else HOT_PARTS if (self.lang, prefix) in hot else 1
             if parts == 1:
-                yield self.lang, prefix, 0, b" ".join(self.words[k] for k in numbers).decode(), counts.tobytes()
+                yield self.lang, prefix, 0, b" ".join(spelled[numbers].tolist()).decode(), counts.tobytes()
                 continue
             part = np.frombuffer(self.hashes, np.uint64)[numbers] % np.uint64(parts)
             order = np.argsort(part, kind="stable")
             cuts = np.flatnonzero(np.diff(part[order])) + 1
             for some in np.split(order, cuts):
-                yield self.lang, prefix, int(part[some[0]]), b" ".join(self.words[k] for k in numbers[some]).decode(), counts[some].tobytes()
+                yield self.lang, prefix, int(part[some[0]]), b" ".join(spelled[numbers[some]].tolist()).decode(), counts[some].tobytes()
 
 
 class _Numbers(dict):
@@ -195,15 +201,16 @@ def _gather(size: int, frequent, hot, bits: int):
             held.clear()
 
         for batch in batches:
+            texts: dict[str, list[str]] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                texts.setdefault(lang, []).append(text)
+            for lang, some in texts.items():
                 if lang not in held:
                     held[lang] = Stripes(lang, size, bitmap, bits)
-                held[lang].add(text)
-            if sum(s.held() for s in held.values()) > HELD:
-                for s in held.values():
-                    s.settle()
-                if sum(s.held() for s in held.values()) > HELD:
-                    yield from out()
+                held[lang].add(some)
+            windows, words = map(sum, zip(*[s.full() for s in held.values()]))
+            if windows > HELD or words > NUMBERED:
+                yield from out()
         yield from out()
         give_back()
 
@@ -217,7 +224,7 @@ def _merge(least: int):
         key, stripe, out = None, {}, []
 
         def close():
-            often = [(w, c) for w, c in stripe.items() if c >= least and w]
+            often = [(w, c) for w, c in stripe.items() if c >= least]
             out.append((*key[:2], sum(stripe.values()), [w for w, _ in often], [c for _, c in often]))
 
         def flush():
@@ -275,6 +282,7 @@ def stripes(docs: DataFrame, least: int, bits: int = 26, text_col: str = "text",
     """Merged stripes for prefixes of 0 to 3 words: lang, prefix, total, words, counts.
 
     Entries of fewer than ``least`` occurrences are in the total only; a cut stripe has one row a part.
+    The total sums what was counted: all words for the empty prefix, for others windows that may be frequent.
     """
     spark = bounded_batches(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), whole(text_col).alias("text"))
@@ -310,9 +318,8 @@ def collocations(docs: DataFrame, least: int = 30, scale: int = 2_000_000, subsu
     ``floor(scale * a / (l + r))``; a phrase goes where a longer one has ``subsumed`` hundredths of it.
     """
     levels = stripes(docs, least, bits, text_col, lang_col)
-    totals = [s.groupBy("lang", "prefix").agg(F.sum("total").alias("f")) for s in levels]
-    words = totals[0].select("lang", F.col("f").alias("n"))
-    parts = totals[1].unionByName(totals[2]).unionByName(totals[3]).withColumnRenamed("prefix", "phrase")
+    words = levels[0].groupBy("lang").agg(F.sum("total").alias("n"))
+    parts = _extensions(levels[0].unionByName(levels[1]).unionByName(levels[2])).select("lang", "phrase", F.col("a").alias("f"))
     found = _extensions(levels[1].unionByName(levels[2]).unionByName(levels[3]))
 
     # the largest extension to the right is in the phrase's own stripe, to the left in that of a longer one

@@ -68,7 +68,7 @@ def test_small_flushes_and_cut_stripes_change_nothing(spark, corpus, monkeypatch
     docs = frame(spark, corpus)
     want = columns(co.collocations(docs, least=5, bits=20))
     rows = docs.select("lang", "text").collect()
-    monkeypatch.setattr(co, "HELD", 40)
+    monkeypatch.setattr(co, "FRESH", 40)
     monkeypatch.setattr(co, "FIRST_PARTS", 3)
     for size, hot in ((1, set()), (2, {("en", "new"), ("en", "the")}), (3, {("en", "new york")})):
         stripes = {}
@@ -76,7 +76,7 @@ def test_small_flushes_and_cut_stripes_change_nothing(spark, corpus, monkeypatch
         held = co.Stripes("en", size, bitmap, 20)
         for r in rows:
             if r["lang"] == "en":
-                held.add(r["text"] or "")
+                held.add([r["text"] or ""])
         parts = {}
         for lang, prefix, part, words, counts in held.rows(hot):
             for w, c in zip(words.split(" "), np.frombuffer(counts, np.int64).tolist()):
@@ -86,9 +86,8 @@ def test_small_flushes_and_cut_stripes_change_nothing(spark, corpus, monkeypatch
         for r in rows:
             if r["lang"] == "en":
                 for piece in words_of(r["text"]):
-                    for i in range(len(piece) - size + 2 if size > 1 else len(piece)):
-                        prefix = piece[i : i + size - 1]
-                        plain[" ".join(prefix), piece[i + size - 1] if i + size - 1 < len(piece) else ""] += 1
+                    for i in range(len(piece) - size + 1):
+                        plain[" ".join(piece[i : i + size - 1]), piece[i + size - 1]] += 1
         assert stripes == {k: c for k, c in plain.items()}
         if size == 1:
             assert parts[""] == {0, 1, 2}
