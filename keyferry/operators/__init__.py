@@ -1,5 +1,6 @@
 from .dedupe import collapse, dedupe_first, dedupe_last, dedupe_latest, distinct_keys
 from .filters import Hop, filter_active, filter_by_parent, in_scope, not_existing, require_all
+from .in_order import merge_in_order, writes_in_order
 from .lookup import (
     key_map, link_parent, lookup_chain, lookup_key, lookup_required, map_codes, match_any_key,
     remap_cascade, unmapped,

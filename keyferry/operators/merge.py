@@ -20,7 +20,8 @@ from .lookup import lookup_key
 ACTION = "_action"
 
 
-def _key_expr(key: Sequence[str]) -> str:
+def key_expr(key: Sequence[str]) -> str:
+    """SQL for what identifies a row: the key, or the first key that is not null with its place."""
     if len(key) == 1:
         return f"`{key[0]}`"
     return "coalesce(" + ", ".join(f"'{i}:' || `{c}`" for i, c in enumerate(key)) + ")"
@@ -28,7 +29,7 @@ def _key_expr(key: Sequence[str]) -> str:
 
 def _held_keys(target: DataFrame, key: Sequence[str]) -> DataFrame:
     """Merge keys the target holds; reads no other column."""
-    return target.selectExpr(f"{_key_expr(key)} AS _k", "1 AS _n").filter("_k IS NOT NULL")
+    return target.selectExpr(f"{key_expr(key)} AS _k", "1 AS _n").filter("_k IS NOT NULL")
 
 
 def _with_merge_key(df: DataFrame, key: Sequence[str], null_mark: int) -> DataFrame:
@@ -37,7 +38,7 @@ def _with_merge_key(df: DataFrame, key: Sequence[str], null_mark: int) -> DataFr
     Rows without a key get their own hash as ``_k``, so they spread out, and sides use different
     null marks, so they never match.
     """
-    k = _key_expr(key)
+    k = key_expr(key)
     kind = df.schema[key[0]].dataType if len(key) == 1 else T.StringType()
     filler = f"xxhash64({quoted(hashable(df))})"
     if isinstance(kind, T.IntegerType):
@@ -166,6 +167,19 @@ def guarded_merge(
     Each step is an equi join on unique keys or an aggregate that combines before its shuffle.
     The matched records are used several times; ``stage`` may write them once in between.
     """
+    ready, final, actions = guarded_writes(target, source, keys, spec, id, stage)
+    return merge(target, ready, final), actions
+
+
+def guarded_writes(
+    target: DataFrame,
+    source: DataFrame,
+    keys: tuple[str, str],
+    spec: MergeSpec,
+    id: str = "id",
+    stage: Callable[[DataFrame], DataFrame] | None = None,
+) -> tuple[DataFrame, MergeSpec, DataFrame]:
+    """One row for each target row that a guarded merge writes, how to merge it by id, and the actions."""
     k1, k2 = keys
     rules = {id: "target", k1: "coalesce_target", k2: "coalesce_source"} | dict(spec.rules)
 
@@ -205,5 +219,4 @@ def guarded_merge(
     keep = [c for c in cols if c in target.columns and c != id]
     folded = collapse(writes, ["_to"], ["_step", *spec.order], rules, keep)
     ready = folded.withColumnRenamed("_to", id)
-    final = MergeSpec((id,), rules=rules, unique=True, delta=spec.delta)
-    return merge(target, ready, final), actions
+    return ready, MergeSpec((id,), rules=rules, unique=True, delta=spec.delta), actions

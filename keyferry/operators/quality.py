@@ -10,7 +10,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..session import cut_lineage
 from ..specs import TableSpec
 from .dedupe import hashable, quoted
 
@@ -38,10 +40,16 @@ def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return kept, df.filter(F.col(REJECT).isNotNull())
 
 
+def unlimited(kind: T.DataType) -> bool:
+    return isinstance(kind, T.DecimalType) and kind.precision == 38
+
+
 def cast_to_spec(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Cast to the declared types; a value that does not fit rejects its row as ``cast:<column>``.
 
-    Columns that have their type already are passed through.
+    Columns that have their type already are passed through. Decimals with a declared number of places
+    round to it; one of 38 digits stands for a number without limits, so a value that would lose digits
+    does not fit.
     """
     have = {f.name: f.dataType for f in df.schema.fields}
     want = {f.name: f.dataType for f in spec.schema.fields}
@@ -54,7 +62,11 @@ def cast_to_spec(df: DataFrame, spec: TableSpec) -> DataFrame:
         else:
             cast = f"try_cast(`{name}` AS {want[name].simpleString()})"
             out.append(f"{cast} AS `{name}`")
-            marks.append(f"CASE WHEN `{name}` IS NOT NULL AND {cast} IS NULL THEN 'cast:{name}' END")
+            bad = f"{cast} IS NULL"
+            if unlimited(want[name]):
+                # compared as doubles for digits far behind the point, as wide decimals for many digits
+                bad += f" OR CAST(`{name}` AS DOUBLE) <> CAST({cast} AS DOUBLE) OR try_cast(CAST(`{name}` AS STRING) AS DECIMAL(38,18)) <> try_cast({cast} AS DECIMAL(38,18))"
+            marks.append(f"CASE WHEN `{name}` IS NOT NULL AND ({bad}) THEN 'cast:{name}' END")
     mark = f"coalesce({', '.join([*marks, 'CAST(NULL AS STRING)'])})"
     return df.selectExpr(*out, f"{mark} AS {REJECT}")
 
@@ -98,38 +110,94 @@ def fk_violations(df: DataFrame, ref: DataFrame, column: str, ref_column: str =
     return reject_if(hit, F.col(column).isNotNull() & F.col("_found").isNull(), f"fk:{column}").drop("_found")
 
 
-def unique_violations(df: DataFrame, keys: Sequence[Sequence[str]], order: Sequence[str] = ()) -> DataFrame:
+def unique_violations(
+    df: DataFrame, keys: Sequence[Sequence[str]], order: Sequence[str] = (), repeated: DataFrame | None = None
+) -> DataFrame:
     """Mark all but the first row of each value of each key.
 
-    Null keys never clash. Rows rejected before do not count; the keys are judged side by side.
-    Exact copies are counted first, so that one row stands for them; all but one come back as rejects.
+    Null keys never clash. Rows rejected before do not count; the keys are judged side by side. Of rows
+    that are equal in every column one stands for all; the others come back as rejects.
+
+    First the values that occur more than once are found, from the key columns alone, and written: usually
+    none or few. Only rows with such a value are compared; all others pass by a join with that small
+    table. ``df`` is read twice, so it should be a written frame. ``repeated`` gives those values where they
+    are known.
+    """
+    clashes = cut_lineage(repeated_values(df, keys)) if repeated is None else repeated
+    if REJECT not in df.columns:
+        df = df.withColumn(REJECT, F.lit(None).cast("string"))
+    if clashes.isEmpty():
+        return df
+    # written, so that a row's number tells copies apart and stays the same
+    flagged = cut_lineage(with_listed(df, keys, clashes, "_clash").withColumn("_no", F.monotonically_increasing_id()))
+    live = F.col("_clash") & F.col(REJECT).isNull()
+    passed = flagged.filter(~live).drop("_clash", "_no")
+    judged = _first_of_each(flagged.filter(live).drop("_clash"), keys, order)
+    return passed.unionByName(judged.select(*passed.columns))
+
+
+def repeated_values(df: DataFrame, keys: Sequence[Sequence[str]]) -> DataFrame:
+    """Values that more than one row has, for all keys in one pass; ``_key`` tells whose they are."""
+    live = df.filter(F.col(REJECT).isNull()) if REJECT in df.columns else df
+    names = list(dict.fromkeys(c for key in keys for c in key))
+    counted = live.select(*[F.col(c).alias(f"_v{names.index(c)}") for c in names])
+    places = [f"_v{k}" for k in range(len(names))]
+    if len(keys) == 1:
+        found = counted.dropna(subset=places).groupBy(*places).agg(F.count(F.lit(1)).alias("_n"))
+        return found.filter("_n > 1").select(F.lit(0).alias("_key"), *places)
+    sets = [[f"_v{names.index(c)}" for c in key] for key in keys]
+    found = counted.groupingSets(sets, *places).agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_set"))
+    number, whole = F.lit(None).cast("int"), F.lit(False)
+    for n, key in enumerate(sets):
+        mine = F.col("_set") == sum(1 << (len(places) - 1 - k) for k, p in enumerate(places) if p not in key)
+        number = F.when(mine, F.lit(n)).otherwise(number)
+        whole = whole | (mine & F.expr(" AND ".join(f"{p} IS NOT NULL" for p in key)))
+    return found.filter((F.col("_n") > 1) & whole).select(number.alias("_key"), *places)
+
+
+def with_listed(df: DataFrame, keys: Sequence[Sequence[str]], listed: DataFrame, out: str) -> DataFrame:
+    """Add ``out``: whether one of the row's key values is listed, each once, as ``repeated_values`` gives them."""
+    from .lookup import spread
+
+    given = df
+    names = list(dict.fromkeys(c for key in keys for c in key))
+    hit = F.lit(False)
+    for n, key in enumerate(keys):
+        values = [f"_l{n}_{i}" for i in range(len(key))]
+        mine = listed.filter(F.col("_key") == n).select(*[F.col(f"_v{names.index(c)}").alias(v) for c, v in zip(key, values)])
+        on = F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in key))
+        for c, v in zip(key, values):
+            on = on & (spread(given, c) == F.col(v))
+        df = df.join(mine, on, "left")
+        hit = hit | F.col(values[0]).isNotNull()
+    return df.select(*given.columns, hit.alias(out))
+
+
+def _first_of_each(df: DataFrame, keys: Sequence[Sequence[str]], order: Sequence[str]) -> DataFrame:
+    """Mark all but the first row of each key value; ``_no`` decides between equal rows.
+
     The first row is found with an aggregate that combines before its shuffle, then joined back,
     so a value shared by many rows is never gathered in one task.
     """
     from .lookup import spread
 
-    given = df
-    df = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    parts = [f"`{c}`" for c in order] + [f"xxhash64({quoted([c for c in hashable(given) if c != REJECT])})"]
+    given = df.drop("_no")
+    parts = [f"`{c}`" for c in order] + [f"xxhash64({quoted([c for c in hashable(given) if c != REJECT])})", "_no"]
     out = df.select("*", F.expr(f"struct({', '.join(parts)}) AS _seq"))
-    live = out.filter(F.col(REJECT).isNull()) if REJECT in df.columns else out
     checks = []
     for n, key in enumerate(keys):
         names = [f"_u{n}_{i}" for i in range(len(key))]
         firsts = (
-            live.filter(" AND ".join(f"`{c}` IS NOT NULL" for c in key))
+            out.filter(" AND ".join(f"`{c}` IS NOT NULL" for c in key))
             .groupBy(*[F.col(c).alias(u) for c, u in zip(key, names)])
-            .agg(F.min("_seq").alias(f"_first{n}"), F.count(F.lit(1)).alias(f"_n{n}"))
-            .filter(f"_n{n} > 1")
+            .agg(F.min("_seq").alias(f"_first{n}"))
         )
         on = F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in key))
         for c, u in zip(key, names):
             on = on & (spread(df, c) == F.col(u))
         out = out.join(firsts, on, "left")
-        again = F.expr("_copy > 1 AND " + " AND ".join(f"`{c}` IS NOT NULL" for c in key))
-        checks.append((F.expr(f"_first{n} IS NOT NULL AND _seq <> _first{n}") | again, "unique:" + "+".join(key)))
-    marked = reject_first(out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies"))), checks)
-    return marked.select(*[c for c in given.columns if c != REJECT], REJECT)
+        checks.append((F.expr(f"_first{n} IS NOT NULL AND _seq <> _first{n}"), "unique:" + "+".join(key)))
+    return reject_first(out, checks).select(*given.columns)
 
 
 def load_summary(df: DataFrame) -> DataFrame:

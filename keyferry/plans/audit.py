@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from datetime import datetime, timezone
 
@@ -20,6 +21,7 @@ TASK_EVENTS = columns(
     "task_id string, run_id string, object_name string, seq int, at timestamp, status string, "
     "rows_in bigint, rows_out bigint, error string"
 )
+STEP_EVENTS = columns("step string, run_id string, at timestamp, state string, inputs string, rows_in bigint, rows_loaded bigint, rows_skipped bigint")
 
 
 class Audit:
@@ -32,7 +34,7 @@ class Audit:
         self.store.append(table, one_row(self.store.spark, schema, row))
 
     def ensure_tables(self) -> None:
-        for table, schema in (("etl_runs", RUN_EVENTS), ("etl_tasks", TASK_EVENTS)):
+        for table, schema in (("etl_runs", RUN_EVENTS), ("etl_tasks", TASK_EVENTS), ("etl_steps", STEP_EVENTS)):
             self.store.append(table, empty_frame(self.store.spark, schema))
 
     def start_run(self, operator_email: str) -> str:
@@ -53,6 +55,17 @@ class Audit:
     ) -> None:
         self._add("etl_tasks", TASK_EVENTS, (task_id, None, None, 1, _now(), status, rows_in, rows_out, error))
 
+    def record_step(self, run_id: str, name: str, made: dict) -> None:
+        """Remember what a published step was made from."""
+        counts = (made["rows_in"], made["rows_loaded"], made["rows_skipped"])
+        self._add("etl_steps", STEP_EVENTS, (name, run_id, _now(), made["state"], json.dumps(made["inputs"]), *counts))
+
+    def steps(self) -> dict[str, dict]:
+        """The last published state of every step."""
+        events = self.store.read_appended("etl_steps", STEP_EVENTS)
+        last = events.groupBy("step").agg(F.max_by(F.struct("state", "inputs", "rows_in", "rows_loaded", "rows_skipped"), "at").alias("e"))
+        return {r["step"]: r["e"].asDict() | {"inputs": json.loads(r["e"]["inputs"])} for r in last.collect()}  # a row per load
+
     def runs(self) -> DataFrame:
         """Current state per run; notes of all events are joined in order."""
         events = self.store.read_appended("etl_runs", RUN_EVENTS)

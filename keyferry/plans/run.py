@@ -7,22 +7,23 @@ written copy. ``FrameRun`` works on frames and leaves the merged tables lazy (te
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import stable_id
-from ..operators.lookup import lookup_key
-from ..operators.merge import guarded_merge, match_source, merge
+from ..operators.in_order import writes_in_order
+from ..operators.merge import guarded_writes, match_source, merge
 from ..operators.quality import (
-    REJECT, cast_to_spec, reject_first, reject_report, split_rejects, unique_violations, validate,
+    REJECT, cast_to_spec, reject_first, reject_report, repeated_values, split_rejects, unique_violations, validate,
 )
-from ..session import cut_lineage, empty_frame, prepare
-from ..sources.extracts import csv_bundle, scan_marked, widen
+from ..session import cut_lineage, empty_frame, one_row, prepare
+from ..sources.extracts import csv_bundle, scan_marked
 from ..sources.store import TableStore
-from ..specs import MergeSpec, SourceSpec, TableSpec
+from ..specs import MergeSpec, SourceSpec, TableSpec, columns
 from .extracts import SOURCES
 from .tables import TABLES
 
@@ -34,10 +35,11 @@ class LoadConfig:
     ``project_ids``    limits households and farmers to groups of these projects; None means all.
     ``number_fields``  further participant fields that may hold the record number.
     ``reject_zero``    observations with a 0 coordinate are rejected, like missing ones.
-    ``delta``          extracts hold changed records only: tables are rewritten without a shuffle.
+    ``delta``          extracts hold changed records only: of tables in buckets just those that hold one of
+                       their keys are rewritten, tables in one piece without a shuffle.
+    ``in_order``       tables matched by two keys take records one after the other, as the source does;
+                       otherwise in the fixed order of classes that ``guarded_merge`` names, in fewer passes.
     ``now``            time of the run, for update times that are not the source's.
-    ``csv_line_breaks``  CSV fields may hold line breaks. Each file is then read by one task; without it
-                       large files are split among tasks.
     """
 
     system_user: str
@@ -46,8 +48,8 @@ class LoadConfig:
     number_fields: tuple[str, ...] = ()
     reject_zero: bool = True
     delta: bool = False
+    in_order: bool = True
     now: str = "1970-01-01 00:00:00"
-    csv_line_breaks: bool = True
 
 
 def target_rows(
@@ -98,17 +100,34 @@ def _identity(key: tuple[str, ...]) -> Column:
     return F.expr("coalesce(" + ", ".join(f"'{i}:' || `{c}`" for i, c in enumerate(key)) + ")")
 
 
-def clashing(df: DataFrame, target: DataFrame, columns: list[str], spec: MergeSpec) -> DataFrame:
-    """Mark rows whose further unique values an earlier row of the batch or another stored row has."""
-    marked = unique_violations(df, [[c] for c in columns], [c for c in spec.order if c in df.columns])
-    checks = []
-    for name in columns:
-        holders = target.filter(F.col(name).isNotNull()).select(name, F.struct(_identity(spec.key).alias("k")))
-        marked = lookup_key(marked, holders, name, f"_held_{name}")
-        other = F.col(f"_held_{name}").isNotNull() & ~F.col(f"_held_{name}.k").eqNullSafe(F.col("_own"))
-        checks.append((other, f"unique:{name}"))
-    marked = reject_first(marked.withColumn("_own", _identity(spec.key)), checks)
-    return marked.select(*df.columns, REJECT)
+def clashing(df: DataFrame, target: DataFrame, columns: list[str], spec: MergeSpec) -> DataFrame | None:
+    """Mark rows whose further unique values an earlier row of the batch or another stored row has.
+
+    Whether any value is in question is found from the key columns alone, and what is found is small;
+    None if there is nothing.
+    """
+    keys = [[c] for c in columns]
+    # a row without a merge key goes by its unique values
+    own = F.coalesce(_identity(spec.key), F.to_json(F.struct(*columns)))
+    mine = df.select(*columns, _identity(spec.key).alias("_key"), own.alias("_own"))
+    held = []
+    for n, name in enumerate(columns):
+        holders = target.filter(F.col(name).isNotNull()).select(F.col(name).alias("_name"), _identity(spec.key).alias("_holder"))
+        hit = mine.join(holders, F.col(name) == F.col("_name")).filter("NOT (_key <=> _holder)")
+        held.append(hit.select("_own", F.lit(n).alias("_at")))
+    others = cut_lineage(reduce(DataFrame.unionByName, held).groupBy("_own").agg(F.min("_at").alias("_at")))
+    repeated = cut_lineage(repeated_values(mine, keys))
+    none, single = others.isEmpty(), repeated.isEmpty()
+    if none and single:
+        return None
+    marked = df.withColumn(REJECT, F.lit(None).cast("string"))
+    if not single:
+        marked = unique_violations(marked, keys, [c for c in spec.order if c in df.columns], repeated)
+    if not none:
+        names = F.array(*[F.lit(f"unique:{c}") for c in columns])
+        marked = marked.join(others, own == F.col("_own"), "left")
+        marked = reject_first(marked, [(F.col("_at").isNotNull(), F.get(names, "_at"))]).drop("_own", "_at")
+    return marked.select(*[c for c in df.columns if c != REJECT], REJECT)
 
 
 @dataclass
@@ -121,6 +140,7 @@ class FrameRun:
     targets: dict[str, DataFrame] = field(default_factory=dict)
     marked: dict[str, list[DataFrame]] = field(default_factory=dict)
     reports: dict[str, DataFrame] = field(default_factory=dict)
+    _counted: dict[int, tuple[DataFrame, Observation]] = field(default_factory=dict)
 
     def __post_init__(self):
         prepare(self.spark)
@@ -142,7 +162,22 @@ class FrameRun:
         return rows.filter(F.col(key).isNotNull()).select(key, "id")
 
     def stage(self, name: str, df: DataFrame) -> DataFrame:
-        """Compute an intermediate result once; what follows reads the written copy."""
+        """Compute an intermediate result once; what follows reads the written copy.
+
+        Rows with a reject mark are counted by the write itself.
+        """
+        if REJECT not in df.columns:
+            return self._write(name, df)
+        seen = Observation()
+        staged = self._write(name, df.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(REJECT).isNotNull()).alias("bad")))
+        self._counted[id(staged)] = (staged, seen)
+        return staged
+
+    def settle(self, name: str, df: DataFrame) -> DataFrame:
+        """What only reports and counts need."""
+        return df
+
+    def _write(self, name: str, df: DataFrame) -> DataFrame:
         return cut_lineage(df)
 
     def publish(self, table: TableSpec, df: DataFrame) -> DataFrame:
@@ -188,40 +223,52 @@ class FrameRun:
         kept, _ = split_rejects(staged)
         target = self.target(table.name)
         if guard:
-            staged = lambda df: self.stage(f"{table.name}_matched", df)
-            merged, actions = guarded_merge(target, kept, guard, spec, stage=staged)
-            clash = actions.filter(F.col("action") == "duplicate_conflict")
-            self.mark(table.name + ":late", clash.withColumn(REJECT, F.col("action")))
-            self.report(table.name + "_actions", actions)
-            return self.publish(table, merged)
+            keep = lambda df: self.stage(f"{table.name}_round", df)
+            writes = writes_in_order if self.cfg.in_order else guarded_writes
+            ready, final, actions = writes(target, kept, guard, spec, stage=keep)
+            clash = F.when(F.col("action") == "duplicate_conflict", F.col("action"))
+            actions = self.settle(f"{table.name}_actions", actions.withColumn(REJECT, clash))
+            self.mark(table.name + ":late", actions)
+            self.report(table.name + "_actions", actions.drop(REJECT))
+            return self.apply(table, ready, final)
         # a key of several columns keeps none of them unique by itself
         merged_by = spec.key if len(spec.key) == 1 else ()
         others = [k[0] for k in table.unique if k[0] not in merged_by and k[0] in kept.columns] if check_unique else []
         others += ["id"] if check_id else []
         if others:
-            single = match_source(kept, spec, [c for c in kept.columns if c in table.columns])
-            single = self.stage(f"{table.name}_single", clashing(single, target, others, spec))
-            kept, late = split_rejects(single)
-            self.mark(table.name + ":late", late)
+            kept = self.stage(f"{table.name}_single", match_source(kept, spec, [c for c in kept.columns if c in table.columns]))
             spec = replace(spec, unique=True)
-        return self.publish(table, merge(target, kept, spec))
-
-    def summary(self) -> DataFrame:
-        """One row per loaded table: rows_in, rows_loaded, rows_skipped."""
-        out = None
+            if (marked := clashing(kept, target, others, spec)) is not None:
+                marked = self.stage(f"{table.name}_judged", marked)
+                self.mark(table.name + ":late", marked)
+                kept, _ = split_rejects(marked)
+        return self.apply(table, kept, spec)
+
+    def apply(self, table: TableSpec, rows: DataFrame, spec: MergeSpec) -> DataFrame:
+        """Merge rows into the table."""
+        return self.publish(table, merge(self.target(table.name), rows, spec))
+
+    def counts(self) -> dict[str, tuple[int, int]]:
+        """Rows in and rows rejected by table; staged frames know theirs, others are counted now."""
+        out: dict[str, tuple[int, int]] = {}
         for name, frames in self.marked.items():
             table, late = name.split(":")[0], name.endswith(":late")
             for df in frames:
-                bad = F.count_if(F.col(REJECT).isNotNull())
-                one = df.agg(
-                    (F.lit(0) if late else F.count(F.lit(1))).cast("bigint").alias("rows_in"),
-                    bad.alias("rows_skipped"),
-                ).select(F.lit(table).alias("table_name"), "rows_in", "rows_skipped")
-                out = one if out is None else out.unionByName(one)
-        total = out.groupBy("table_name").agg(
-            F.sum("rows_in").alias("rows_in"), F.sum("rows_skipped").alias("rows_skipped")
-        )
-        return total.select("table_name", "rows_in", (F.col("rows_in") - F.col("rows_skipped")).alias("rows_loaded"), "rows_skipped")
+                if id(df) in self._counted:
+                    seen = self._counted[id(df)][1].get
+                else:
+                    seen = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(REJECT).isNotNull()).alias("bad")).first()
+                rows, bad = out.get(table, (0, 0))
+                out[table] = (rows + (0 if late else seen["rows"]), bad + seen["bad"])
+        return out
+
+    def summary(self) -> DataFrame:
+        """One row per loaded table: rows_in, rows_loaded, rows_skipped."""
+        schema = columns("table_name string, rows_in bigint, rows_loaded bigint, rows_skipped bigint")
+        out = empty_frame(self.spark, schema)
+        for table, (rows, bad) in self.counts().items():
+            out = out.unionByName(one_row(self.spark, schema, (table, rows, rows - bad, bad)))
+        return out
 
     def rejects(self) -> DataFrame:
         """All rejected rows of the run in report form."""
@@ -243,27 +290,60 @@ class StoreRun(FrameRun):
     store: TableStore | None = None
     landing: str = ""
     fmt: str = "json"
+    inputs: list[str] = field(default_factory=list)
+
+    def beside(self) -> StoreRun:
+        """A run of its own over the same files and tables."""
+        store = TableStore(self.spark, self.store.root, self.store.buckets)
+        return StoreRun(self.spark, self.cfg, {}, store=store, landing=self.landing, fmt=self.fmt)
+
+    def fingerprint(self, paths: Sequence[str]) -> str:
+        """Names, sizes and times of all files below the paths, as one number; their content is not read."""
+        if not paths:
+            return ""
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+        seen = files.select("path", "length", "modificationTime")
+        return str(seen.agg(F.count(F.lit(1)), F.sum("length"), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first())
 
     def extract(self, name: str, spec: SourceSpec | None = None) -> DataFrame:
         """What can't be read as a record is counted and reported with the rejects of the step."""
         spec = spec or SOURCES[name]
-        df, bad = scan_marked(self.spark, f"{self.landing}/{spec.name}", spec, self.fmt)
-        bad = bad.select(F.lit(None).cast("string").alias("id"), "raw", F.col("reason").alias(REJECT))
-        self.mark(f"{name}:landed", self.stage(f"{name}_damaged", bad))
-        return widen(df, spec.fields[0])
+        self.inputs.append(f"{self.landing}/{spec.name}")
+        df, bad = scan_marked(self.spark, self.inputs[-1], spec, self.fmt, lambda d: self.stage(f"{name}_landed", d))
+        self._damaged(name, bad)
+        return df
 
     def files(self, names: Mapping[str, str]) -> dict[str, DataFrame]:
-        return csv_bundle(self.spark, {n: f"{self.landing}/{f}" for n, f in names.items()}, self.cfg.csv_line_breaks)
+        paths = {n: f"{self.landing}/{f}" for n, f in names.items()}
+        self.inputs += paths.values()
+        out = {}
+        for n, (df, bad) in csv_bundle(self.spark, paths, lambda d: self.stage("files_landed", d)).items():
+            self._damaged(n, bad)
+            out[n] = df
+        return out
+
+    def _damaged(self, name: str, bad: DataFrame) -> None:
+        bad = bad.select(F.lit(None).cast("string").alias("id"), "raw", F.col("reason").alias(REJECT))
+        self.mark(f"{name}:landed", self.stage(f"{name}_damaged", bad))
 
     def target(self, name: str) -> DataFrame:
         return self.store.read(TABLES[name])
 
-    def stage(self, name: str, df: DataFrame) -> DataFrame:
+    def settle(self, name: str, df: DataFrame) -> DataFrame:
+        return self.stage(name, df)
+
+    def _write(self, name: str, df: DataFrame) -> DataFrame:
         return self.store.stage(name, df)
 
     def publish(self, table: TableSpec, df: DataFrame) -> DataFrame:
         return self.store.commit(table, df)
 
+    def apply(self, table: TableSpec, rows: DataFrame, spec: MergeSpec) -> DataFrame:
+        """Merge rows into the table; with ``delta`` only its touched buckets are rewritten."""
+        if self.cfg.delta:
+            return self.store.merge_into(table, self.stage(f"{table.name}_delta", rows), spec)
+        return self.store.commit(table, merge(self.target(table.name), rows, spec), spec.key)
+
     def begin(self) -> None:
         self.store.begin()
 

@@ -13,7 +13,8 @@ from ..plans import STEPS, TABLES, FrameRun, LoadConfig
 from ..plans.extracts import SOURCES
 from .base import query, source
 
-CFG = LoadConfig("sys", now="2030-01-01 00:00:00")
+# these queries state the merge on two keys in the order of classes; landed.py has it in input order
+CFG = LoadConfig("sys", in_order=False, now="2030-01-01 00:00:00")
 OLD = "2020-01-01 00:00:00"
 
 
@@ -367,7 +368,7 @@ source(
     """,
 )
 source("x_group_projects", "SELECT 'G' || CAST(c_custkey AS STRING) AS Id, 'J' || CAST(c_nationkey AS STRING) AS Project__c FROM {customer}")
-SCOPED = LoadConfig("sys", project_ids=("J1", "J2", "J3", "J4", "J5", "J6", "J7", "J8"))
+SCOPED = LoadConfig("sys", in_order=False, project_ids=("J1", "J2", "J3", "J4", "J5", "J6", "J7", "J8"))
 
 
 @query(

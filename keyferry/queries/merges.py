@@ -231,23 +231,32 @@ source(
 source("keyless_stored", "SELECT CAST(o_orderkey AS INT) AS code, o_totalprice AS price, o_orderstatus AS note FROM {orders} WHERE o_orderkey % 2 = 0")
 
 
+def _counted(df):
+    """Equal rows once, with their number: thousands of them would make a comparison row by row long."""
+    return df.groupBy("code", "price", "note").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _counted_sql(text):
+    return f"SELECT code, price, note, count(*) AS n FROM ({text}) GROUP BY ALL"
+
+
 @query(
     "merge_null_int_keys",
-    """WITH s AS (SELECT * FROM {keyless_batch} WHERE code IS NOT NULL QUALIFY row_number() OVER (PARTITION BY code ORDER BY price DESC, note DESC) = 1)
+    _counted_sql("""WITH s AS (SELECT * FROM {keyless_batch} WHERE code IS NOT NULL QUALIFY row_number() OVER (PARTITION BY code ORDER BY price DESC, note DESC) = 1)
        SELECT coalesce(s.code, t.code) AS code, CASE WHEN s.code IS NULL THEN t.price ELSE s.price END AS price,
          CASE WHEN s.code IS NULL THEN t.note ELSE s.note END AS note FROM {keyless_stored} t FULL JOIN s ON t.code = s.code
-       UNION ALL SELECT code, price, note FROM {keyless_batch} WHERE code IS NULL""",
+       UNION ALL SELECT code, price, note FROM {keyless_batch} WHERE code IS NULL""")
 )
 def _(d):
-    return O.merge(d("keyless_stored"), d("keyless_batch"), MergeSpec(("code",), ("price", "note")))
+    return _counted(O.merge(d("keyless_stored"), d("keyless_batch"), MergeSpec(("code",), ("price", "note"))))
 
 
 @query(
     "insert_only_null_keys",
-    """SELECT code, price, note FROM {keyless_stored} UNION ALL
+    _counted_sql("""SELECT code, price, note FROM {keyless_stored} UNION ALL
        (SELECT code, price, note FROM {keyless_batch} WHERE code NOT IN (SELECT code FROM {keyless_stored})
         QUALIFY row_number() OVER (PARTITION BY code ORDER BY price, note) = 1)
-       UNION ALL SELECT code, price, note FROM {keyless_batch} WHERE code IS NULL""",
+       UNION ALL SELECT code, price, note FROM {keyless_batch} WHERE code IS NULL""")
 )
 def _(d):
-    return O.insert_only(d("keyless_stored"), d("keyless_batch"), ("code",), ("price", "note"))
+    return _counted(O.insert_only(d("keyless_stored"), d("keyless_batch"), ("code",), ("price", "note")))

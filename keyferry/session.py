@@ -26,7 +26,7 @@ INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings; on a cluster also let shuffles start with several partitions per core.
+    """Apply the settings and let shuffles start with several partitions per core.
 
     Adaptive execution merges what turns out small, so many initial partitions cost little, while
     a fixed low number would make the merge of a large table spill. A number set by the user stays.
@@ -34,7 +34,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     sc = spark.sparkContext
-    if not sc.master.startswith("local") and spark.conf.get(INITIAL, None) is None:
+    if spark.conf.get(INITIAL, None) is None:
         least = int(spark.conf.get("spark.sql.shuffle.partitions"))
         spark.conf.set(INITIAL, str(max(least, 5 * sc.defaultParallelism)))
     return spark
@@ -59,6 +59,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder name below the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/keyferry/{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the frame as a table to the shared checkpoint folder and go on from there.
 
@@ -66,11 +71,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     a lost executor costs no recomputation of what is written, and unlike a checkpointed RDD the
     table has a known size, so later joins broadcast it exactly when it is small enough.
     """
-    path = f"{checkpoint_dir(df.sparkSession)}/keyferry/{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate tables, on whatever file system it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return one_row(spark, schema, [None] * len(schema)).limit(0)
 

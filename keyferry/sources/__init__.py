@@ -1,7 +1,8 @@
-from .extracts import count_rows, csv_bundle, read_csv_strings, require_inputs, resolve_column, scan_object, widen
-from .store import TableStore
+from .delimited import records, scan_csv
+from .extracts import count_rows, csv_bundle, read_csv_strings, require_inputs, resolve_column, scan_object
+from .store import Conflict, TableStore
 
 __all__ = [
-    "TableStore", "count_rows", "csv_bundle", "read_csv_strings", "require_inputs", "resolve_column",
-    "scan_object", "widen",
+    "Conflict", "TableStore", "count_rows", "csv_bundle", "read_csv_strings", "require_inputs", "resolve_column",
+    "records", "scan_csv", "scan_object",
 ]

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
 from ..specs import SourceSpec
+from .delimited import DAMAGED, scan_csv
 
-
-DAMAGED = "_damaged"
+VERDICT = "_verdict"
 
 
 def require_inputs(spark: SparkSession, paths: Iterable[str]) -> None:
@@ -41,35 +42,31 @@ def scan_object(
     return kept if where is None else kept.filter(where)
 
 
-def scan_marked(spark: SparkSession, path: str, spec: SourceSpec, fmt: str = "json") -> tuple[DataFrame, DataFrame]:
+def scan_marked(
+    spark: SparkSession, path: str, spec: SourceSpec, fmt: str = "json", stage: Callable[[DataFrame], DataFrame] = cut_lineage
+) -> tuple[DataFrame, DataFrame]:
     """Records of an object that are not deleted, and what can't be read as one: (raw, reason).
 
     A line is ``malformed`` if it is no record or a field doesn't have its declared type; a record
     without the deletion flag is ``missing:<flag>``, for nobody can tell whether it still counts.
+
+    A text line is parsed once, with all declared fields, and written with its verdict; both results are
+    cut from the written copy. So a line is either kept or rejected, whichever columns are read later.
     """
     schema = spec.schema()
-    if fmt == "json":
-        reader = spark.read.schema(T.StructType([*schema.fields, T.StructField(DAMAGED, T.StringType())]))
-        df = reader.option("columnNameOfCorruptRecord", DAMAGED).format(fmt).load(path)
-    else:
-        df = spark.read.schema(schema).format(fmt).load(path).withColumn(DAMAGED, F.lit(None).cast("string"))
-    whole = F.col(DAMAGED).isNull()
     flag = F.col(spec.active_flag) if spec.active_flag else F.lit(False)
-    raw = F.coalesce(F.col(DAMAGED), F.to_json(F.struct(*schema.names)))
-    bad = df.filter(~whole | flag.isNull()).select(
-        raw.alias("raw"), F.when(~whole, F.lit("malformed")).otherwise(F.lit(f"missing:{spec.active_flag}")).alias("reason")
-    )
-    return df.filter(whole & ~flag).select(*schema.names), bad
-
-
-def widen(df: DataFrame, key: str) -> DataFrame:
-    """Spread a plain scan that has fewer partitions than the cluster has cores.
-
-    A few small files would otherwise keep the cleaning and exploding of a whole extract on a few
-    cores. Large inputs have more partitions than cores and stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    row = F.to_json(F.struct(*schema.names))
+    lost = F.lit(f"missing:{spec.active_flag}")
+    if fmt != "json":  # typed files hold no damaged lines, and their filters reach the scan
+        df = spark.read.schema(schema).format(fmt).load(path)
+        return df.filter(~flag), df.filter(flag.isNull()).select(row.alias("raw"), lost.alias("reason"))
+    reader = spark.read.schema(T.StructType([*schema.fields, T.StructField(DAMAGED, T.StringType())]))
+    df = reader.option("columnNameOfCorruptRecord", DAMAGED).format(fmt).load(path)
+    reason = F.when(F.col(DAMAGED).isNotNull(), F.lit("malformed")).when(flag.isNull(), lost)
+    raw = F.when(reason.isNotNull(), F.coalesce(F.col(DAMAGED), row))
+    staged = stage(df.select(*schema.names, raw.alias(DAMAGED), reason.alias(VERDICT)))
+    kept = staged.filter(F.col(VERDICT).isNull() & ~flag).select(*schema.names)
+    return kept, staged.filter(F.col(VERDICT).isNotNull()).select(F.col(DAMAGED).alias("raw"), F.col(VERDICT).alias("reason"))
 
 
 def count_rows(df: DataFrame, name: str = "n_rows") -> DataFrame:
@@ -77,29 +74,22 @@ def count_rows(df: DataFrame, name: str = "n_rows") -> DataFrame:
 
 
 def read_csv_strings(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None, line_breaks: bool = True
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, stage: Callable[[DataFrame], DataFrame] = cut_lineage
 ) -> DataFrame:
     """CSV with a header, every column read as text and nothing turned into null by a token.
 
-    Empty fields arrive as null, which the cleaning functions treat like an empty text. With
-    ``line_breaks`` quoted line breaks are read right, but a file is one task: turn it off for
-    large files known to hold none, or land them as several files.
+    Empty fields arrive as null, which the cleaning functions treat like an empty text. Large files are
+    split among tasks, whatever line breaks their fields hold. See ``scan_csv`` for what is left out.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("multiLine", line_breaks)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("inferSchema", False)
-    )
-    if columns:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    return reader.csv(path)
-
-
-def csv_bundle(spark: SparkSession, files: Mapping[str, str], line_breaks: bool = True) -> dict[str, DataFrame]:
+    return scan_csv(spark, path, columns, stage)[0]
+
+
+def csv_bundle(
+    spark: SparkSession, files: Mapping[str, str], stage: Callable[[DataFrame], DataFrame] = cut_lineage
+) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """Rows and damaged records of each file, all of which must be there."""
     require_inputs(spark, files.values())
-    return {name: read_csv_strings(spark, path, line_breaks=line_breaks) for name, path in files.items()}
+    return {name: scan_csv(spark, path, stage=stage) for name, path in files.items()}
 
 
 def resolve_column(df: DataFrame, candidates: Sequence[str], label: str) -> str:

@@ -1,15 +1,20 @@
 """Every load over synthetic landed files, then the same files again."""
 
+import json
 from dataclasses import replace
+from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import sample_extracts
-from keyferry.plans import FULL_RUN, TABLES, Audit, LoadConfig, StoreRun, load_order, run_steps
+from keyferry.plans import FULL_RUN, STEPS, TABLES, Audit, LoadConfig, StoreRun, load_order, run_steps
 from keyferry.plans.extracts import SOURCES
+from keyferry.plans.steps import needs, waves
 from keyferry.sources.extracts import scan_marked
-from keyferry.sources import TableStore, csv_bundle, require_inputs, resolve_column
+from keyferry.sources import TableStore, require_inputs, resolve_column
+from keyferry.specs import SourceSpec
 
 
 @pytest.fixture(scope="module")
@@ -147,7 +152,7 @@ def test_damaged_lines_are_rejects(quick, tmp_path):
     run = StoreRun(quick, LoadConfig("sys"), {}, store=store, landing=str(tmp_path / "land"))
     counts = run_steps(Audit(store), run, ["programs"], "op@x.test")["programs"]
     assert (counts["rows_in"], counts["rows_loaded"], counts["rows_skipped"]) == (len(LINES), 1, 4)  # this load keeps deleted ones
-    report = quick.read.json(f"{store.root}/_reports/programs_rejects").collect()
+    report = quick.read.json(f"{store.root}/_reports/{store._run}/programs_rejects").collect()
     assert sorted(r["error_type"] for r in report) == ["malformed", "malformed", "required", "required"]
 
     flagged = replace(SOURCES["programs"], active_flag="IsDeleted")
@@ -158,19 +163,19 @@ def test_damaged_lines_are_rejects(quick, tmp_path):
 
 def test_a_failing_step_publishes_none_of_its_tables(loaded, monkeypatch):
     store, run, audit, _ = loaded
-    log = lambda: store.spark.read.json(f"{store.root}/_versions").count()
-    before, published, marked = log(), dict(store._versions), dict(run.marked)
+    log = lambda: store.spark.read.json(f"{store.root}/_log").count()
+    before, published, marked = log(), dict(store._tables), dict(run.marked)
     commit = store.commit
 
-    def failing(spec, df):
+    def failing(spec, df, key=()):
         if spec.name == "fv_best_practice_answers":
             raise RuntimeError("disk full")
-        return commit(spec, df)
+        return commit(spec, df, key)
 
     monkeypatch.setattr(store, "commit", failing)
     with pytest.raises(RuntimeError):
         run_steps(audit, run, ["fv_best_practices"], "op@x.test")
-    assert log() == before and store._versions == published and run.marked == marked
+    assert log() == before and store._tables == published and run.marked == marked
     monkeypatch.undo()
     run_steps(audit, run, ["fv_best_practices"], "op@x.test")
     assert log() == before + 3
@@ -186,11 +191,64 @@ def test_unique_columns_hold_after_every_load(loaded):
                 assert rows.count() == rows.select(*key).distinct().count(), (t.name, key)
 
 
-def test_large_csv_files_are_split(quick, tmp_path):
-    (tmp_path / "big.csv").write_text("a,b\n" + "\n".join(f"{i},x" for i in range(200_000)))
-    quick.conf.set("spark.sql.files.maxPartitionBytes", "200k")
-    try:
-        df = csv_bundle(quick, {"f": str(tmp_path / "big.csv")}, line_breaks=False)["f"]
-        assert df.select(F.spark_partition_id()).distinct().count() > 3 and df.count() == 200_000
-    finally:
-        quick.conf.unset("spark.sql.files.maxPartitionBytes")
+DAMAGED_RECORD = {"Id": "P6", "Name": "typed", "IsDeleted": False, "CreatedDate": "2024-01-01T00:00:00Z"}
+
+
+def test_kept_and_rejected_lines_do_not_depend_on_the_columns_read(quick, tmp_path):
+    lines = [json.dumps(DAMAGED_RECORD), json.dumps(DAMAGED_RECORD | {"Id": "P7", "Count": "many"}), json.dumps(DAMAGED_RECORD | {"Id": "P8", "Count": 3}), "{", "[1]"]
+    (tmp_path / "a.json").write_text("\n".join(lines))
+    spec = SourceSpec("things", ("Id", "Name", "IsDeleted", "CreatedDate", "Count"), {"IsDeleted": T.BooleanType(), "Count": T.LongType()})
+    kept, bad = scan_marked(quick, str(tmp_path), spec)
+    for n in (1, 2):
+        for names in combinations(spec.fields, n):
+            got = kept.select(*names).collect()
+            assert len(got) == 2 and len(got) + bad.select("reason").count() == len(lines), names
+    assert sorted(r["Id"] for r in kept.select("Id").collect()) == ["P6", "P8"]
+    assert json.dumps(DAMAGED_RECORD | {"Id": "P7", "Count": "many"}) in {r["raw"] for r in bad.collect()}
+
+
+def some(store, names=("programs", "locations", "projects", "training_modules")):
+    return {n: sorted(map(repr, store.read(TABLES[n]).collect())) for n in names}
+
+
+SOME = ["programs", "locations", "projects", "training_modules"]
+
+
+def new_run(quick, root, land, buckets=1):
+    store = TableStore(quick, str(root), buckets)
+    return Audit(store), StoreRun(quick, LoadConfig("sys", now="2025-01-01 00:00:00"), {}, store=store, landing=land)
+
+
+def test_a_failed_run_goes_on_where_it_failed(quick, tmp_path, monkeypatch):
+    land = sample_extracts.land(str(tmp_path / "land"))
+    audit, run = new_run(quick, tmp_path / "store", land)
+    clean_audit, clean = new_run(quick, tmp_path / "clean", land)
+    run_steps(clean_audit, clean, SOME, "op@x.test")
+    load = STEPS["projects"].load
+    monkeypatch.setitem(STEPS, "projects", replace(STEPS["projects"], load=lambda r: 1 / 0))
+    with pytest.raises(ZeroDivisionError):
+        run_steps(audit, run, SOME, "op@x.test")
+    monkeypatch.setitem(STEPS, "projects", replace(STEPS["projects"], load=load))
+    first = run_steps(audit, run, SOME, "op@x.test", resume=True)
+    done = {(r["object_name"], r["status"]) for r in audit.tasks().collect()}
+    assert {("programs", "SKIPPED"), ("locations", "SKIPPED"), ("projects", "FAILED"), ("projects", "SUCCESS"), ("training_modules", "SUCCESS")} <= done
+    assert some(run.store) == some(clean.store)
+    # nothing has changed: all are skipped; a changed file redoes its step and what hangs on it
+    assert run_steps(audit, run, SOME, "op@x.test", resume=True) == first
+    with open(f"{land}/{SOURCES['locations'].name}/more.json", "w") as f:
+        f.write(json.dumps({"Id": "L9", "IsDeleted": False, "Name": "nine", "CreatedDate": sample_extracts.OLD, "LastModifiedDate": sample_extracts.OLD}))
+    before = audit.tasks().count()
+    run_steps(audit, run, SOME, "op@x.test", resume=True)
+    last = {r["object_name"]: r["status"] for r in audit.tasks().orderBy("started_at").collect()[before:]}
+    assert last == {"programs": "SKIPPED", "locations": "SUCCESS", "projects": "SUCCESS", "training_modules": "SUCCESS"}
+    assert run.store.read(TABLES["locations"]).count() == 4
+
+
+def test_steps_side_by_side_give_the_same_tables(quick, tmp_path):
+    land = sample_extracts.land(str(tmp_path / "land"))
+    audit, run = new_run(quick, tmp_path / "store", land, buckets=4)
+    clean_audit, clean = new_run(quick, tmp_path / "clean", land)
+    assert waves(SOME) == [["programs", "locations"], ["projects"], ["training_modules"]]
+    assert run_steps(audit, run, SOME, "op@x.test", side_by_side=3) == run_steps(clean_audit, clean, SOME, "op@x.test")
+    assert some(run.store) == some(clean.store)
+    assert needs(FULL_RUN)["fv_best_practices"] == ["training_session_images", "farm_visits"]
