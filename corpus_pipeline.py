@@ -44,9 +44,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (packed), and the digest of what the ids decode to."""
-    path = public_tokenizers.path("word_bpe_49k.json")
-    out = bpe.decode(bpe.encode(docs, path).withColumn("own", F.col("ids")), path, keep=("n_tokens", "own"))
-    return out.select("doc_id", "n_tokens", F.col("own").alias("ids"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    out = bpe.round_trip(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", "n_tokens", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 STAGES = [

@@ -358,3 +358,26 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
     out = rows.mapInArrow(run, f"{schema}, decoded string")
     return out.select(F.col("__id").alias(id_col), *[F.col(f"__{n}").alias(c) for n, c in enumerate(keep)], "decoded")
+
+
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", cached: int = 50_000) -> DataFrame:
+    """id, ids (packed), n_tokens and the decoded text, encoded and decoded by one Python worker per task.
+
+    ``cached`` bounds the words a worker remembers, for jobs whose earlier stages have filled the executor.
+    """
+    spark = bounded_batches(docs.sparkSession)
+    content = _content(spark, path)
+
+    def run(batches):
+        v, d = encoder(content.value), decoder(content.value)
+        v.words.limit = v.pieces.limit = cached
+        for batch in batches:
+            packed = [v.encode(t) for t in batch.column(1).to_pylist()]
+            texts = [d.text(np.frombuffer(b, dtype="<u4")) for b in packed]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary()), pa.array(texts, pa.string())], names=["id", "ids", "decoded"])
+        v.forget()
+        give_back()
+
+    rows = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text"))
+    out = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids binary, decoded string")
+    return out.select(F.col("id").alias(id_col), "ids", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), "decoded")

@@ -57,6 +57,14 @@ def test_round_trip_of_edge_cases(edge, none):
     assert bpe.encode(none, WORDS).count() == 0
 
 
+def test_one_pass_equals_two(edge, none):
+    two = bpe.decode(bpe.encode(edge, WORDS), WORDS, keep=("ids", "n_tokens"))
+    one = bpe.round_trip(edge, WORDS, cached=3)
+    columns = ("doc_id", "ids", "n_tokens", "decoded")
+    assert sorted(map(repr, one.select(*columns).collect())) == sorted(map(repr, two.select(*columns).collect()))
+    assert bpe.round_trip(none, WORDS).count() == 0
+
+
 def test_null_ids_decode_to_empty_text(spark):
     df = spark.createDataFrame([(1, None)], "doc_id long, ids binary")
     assert bpe.decode(df, WORDS).collect()[0]["decoded"] == ""
