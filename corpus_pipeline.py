@@ -19,9 +19,9 @@ ORACLE_SQL = None  # trained weights and byte-pair merges are beyond SQL; tests
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a determined language go."""
+    """Documents without a letter go, and those the network takes for text in no language."""
     prepare(spark)
-    return language.keep_identified(docs, language.fit(docs.where(~held_out("doc_id"))))
+    return language.keep_identified(docs, language.fit(docs.where(~held_out("doc_id")), noise=True))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,6 +14,9 @@ gives an empty result.
 
 from __future__ import annotations
 
+import base64
+import random
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -182,14 +185,42 @@ def _sample(labelled: DataFrame, text: Column, label: Column, per_language: int,
     return out, labels
 
 
-def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", per_language: int = 1500, pieces: int = 4) -> tuple[Network, list[str]] | None:
-    """A trained network and its labels, from rows whose text has a letter and whose label is not null."""
+def _noise(windows: list[bytes]) -> list[bytes]:
+    """What the windows would be in no language: their characters in any order, their letters drawn anew, or packed bytes."""
+    rng = random.Random(13)
+    out = []
+    for k, w in enumerate(windows):
+        text = list(w.decode(errors="ignore"))
+        if k % 3 == 0:
+            rng.shuffle(text)
+        elif k % 3 == 1:
+            letters = sorted({c for c in text if c.isalpha()}) or ["a"]
+            text = [rng.choice(letters) if c.isalpha() else c for c in text]
+        else:
+            text = base64.b64encode(rng.randbytes(len(w))).decode()
+        out.append("".join(text).encode()[: len(w)])
+    return out
+
+
+def fit(
+    labelled: DataFrame, text_col: str = "text", label_col: str = "lang", per_language: int = 1500, pieces: int = 4, noise: bool = False
+) -> tuple[Network, list[str]] | None:
+    """A trained network and its labels, from rows whose text has a letter and whose label is not null.
+
+    With ``noise`` the network has one more output, for text in no language, learned from as many windows
+    as a language has: windows of the sample whose characters were shuffled, redrawn or packed.
+    """
     usable = labelled.where(F.col(label_col).isNotNull() & F.coalesce(_has_letter(F.col(text_col)), F.lit(False)))
     windows, names = _sample(usable, F.col(text_col), F.col(label_col), per_language, pieces)
     if not windows:
         return None
     labels = sorted(set(names))
-    net = train(windows, np.array([labels.index(x) for x in names]), len(labels))
+    targets = [labels.index(x) for x in names]
+    if noise:
+        spoiled = _noise(windows[: per_language])  # in hash order, so of all languages
+        net = train(windows + spoiled, np.array(targets + [len(labels)] * len(spoiled)), len(labels) + 1, steps=240)
+    else:
+        net = train(windows, np.array(targets), len(labels))
     give_back()
     return net, labels
 
@@ -250,10 +281,11 @@ def identify(docs: DataFrame, model: tuple[Network, list[str]] | None, id_col: s
     return out.withColumnRenamed("id", id_col)
 
 
-def keep_identified(docs: DataFrame, model: tuple[Network, list[str]] | None, text_col: str = "text", min_score: float = 0.0) -> DataFrame:
-    """The documents, all their columns, whose language is determined with at least ``min_score``.
+def keep_identified(docs: DataFrame, model: tuple[Network, list[str]] | None, text_col: str = "text", most_noise: float = 0.8) -> DataFrame:
+    """The documents, all their columns, that are in a language.
 
-    Without a model nothing can be judged but whether there is a letter at all.
+    Those go that have no letter, or of which a model fitted with ``noise`` takes more than ``most_noise``
+    of the bytes' probability for text in no language. Without a model nothing can be judged but letters.
     """
     spark = bounded_batches(docs.sparkSession)
     rows = docs.where(F.coalesce(_has_letter(F.col(text_col)), F.lit(False)))
@@ -264,8 +296,11 @@ def keep_identified(docs: DataFrame, model: tuple[Network, list[str]] | None, te
 
     def run(batches):
         for batch in batches:
-            found, score = _labelled(*given.value, [t.encode() for t in batch.column(at).to_pylist()])
-            yield batch.filter(pa.array((found != UNDETERMINED) & (score >= min_score)))
+            net, labels = given.value
+            texts = [t.encode() for t in batch.column(at).to_pylist()]
+            offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+            p = pooled(net, np.frombuffer(b"".join(texts), np.uint8), offsets)
+            yield batch.filter(pa.array(p[:, len(labels) :].sum(axis=1) <= most_noise))
         give_back()
 
     return rows.mapInArrow(run, docs.schema)
