@@ -126,41 +126,107 @@ def test_toxic_texts_are_told_on_held_out_rows(spark):
 
 
 def test_kneser_ney_ratios_equal_their_definition(spark):
-    """Words and pairs of a small fit, computed again with plain loops."""
+    """Every position of a small fit, computed again with plain loops."""
     random.seed(7)
-    rows = [(i, " ".join(random.choices("a b c d e f".split() + (["g"] * 3 if i % 2 else []), k=40))) for i in range(120)]
+    rows = [(i, " ".join(random.choices("a b c d e f".split() + (["g"] * 3 if i % 2 else []), k=random.randint(1, 9)))) for i in range(120)]
     docs = frame(spark, rows, extra=False)
     known = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
     model = toxicity.fit(docs, known)
-    sample, _ = toxicity._sample(docs, known, "doc_id", "text", "toxic", 4000)
+    sample, _ = toxicity._sample(docs, known, "doc_id", "text", "toxic", (8000, 2000))
     train = [(r["toxic"], r["text"].split()) for r in sample.where("NOT tuning").collect()]
-    triples = [{(u, v, w) for y, t in train if y == c for u, v, w in zip([None, *t], t, t[1:])} for c in (0, 1)]
-    pairs = [{} for _ in (0, 1)]
-    for c in (0, 1):
-        for _, v, w in triples[c]:
-            pairs[c][v, w] = pairs[c].get((v, w), 0) + 1
-    held = {w: sum(w in t.split() for _, t in rows) for w in "abcdefg"}
-    take = lambda n: min(n, toxicity.DISCOUNT * n**0.5)
-
-    def word(c, w):
-        before = {x: len({v for v, y in pairs[c] if y == x}) for x in {y for _, y in pairs[c]}}
-        total = sum(before.values())
-        shared = (held[w] + 0.5) / (sum(held.values()) + 0.5 * 8)
-        n = before.get(w, 0)
-        return (n - take(n)) / total + sum(map(take, before.values())) / total * shared
-
-    def pair(c, v, w):
-        after = {y: n for (x, y), n in pairs[c].items() if x == v}
-        total, n = sum(after.values()), pairs[c].get((v, w), 0)
-        return (n - take(n)) / total + sum(map(take, after.values())) / total * word(c, w)
-
-    for w in "abcdefg":
-        at, known_ = toxicity._find(model.words, toxicity.words_of(w))
-        assert known_[0] and model.word[at[0]] == pytest.approx(np.log(word(1, w) / word(0, w)), abs=1e-9)
-    for v, w in [("a", "b"), ("c", "g"), ("f", "f")]:
-        at, seen = toxicity._find(model.pairs, toxicity.pairs_of(toxicity.words_of(f"{v} {w}"))[1:])
-        if seen[0] and all(x == v for x in v):
-            assert model.pair[at[0]] == pytest.approx(np.log(pair(1, v, w) / pair(0, v, w)), abs=1e-9)
+    pairs = [Counter(), Counter()]
+    for y, t in train:
+        pairs[y].update(zip([None, *t], t))
+    both = pairs[0] + pairs[1]
+    held = Counter(w for _, t in rows for w in set(t.split()))
+    vocabulary = {x for p in both for x in p}
+
+    def discount(counts):
+        n = Counter(counts)
+        return n[1] / (n[1] + 2 * n[2]) if n[1] else 0.5
+
+    def top(counts, v, w, rest):
+        after = {y: n for (x, y), n in counts.items() if x == v}
+        d, total = discount(counts.values()), sum(after.values())
+        return max(after.get(w, 0) - d, 0) / total + d * len(after) / total * rest if after else rest
+
+    def shared(v, w):
+        before = Counter(y for _, y in both)
+        d = discount(before.values())
+        floor = (held[w] + 0.5) / (sum(held.values()) + 0.5 * (len(vocabulary) + 1))
+        return top(both, v, w, max(before[w] - d, 0) / len(both) + d * len(before) / len(both) * floor)
+
+    def probability(c, v, w):
+        words = Counter()
+        for (_, y), n in pairs[c].items():
+            words[y] += n
+        d, total = discount(words.values()), sum(words.values())
+        return top(pairs[c], v, w, max(words[w] - d, 0) / total + d * len(words) / total * shared(v, w))
+
+    for text in ["a b c", "g g a f", "e", "c d g b a a"]:
+        t = text.split()
+        want = [np.log(probability(1, v, w) / probability(0, v, w)) for v, w in zip([None, *t], t)]
+        assert model.ratios(toxicity.words_of(text)) == pytest.approx(want, abs=1e-5)
+
+
+def _area(out, labels):
+    scored = sorted((out[i]["score"], t) for i, t in labels if out[i]["held"])
+    toxic, ordinary = [s for s, t in scored if t], [s for s, t in scored if not t]
+    return np.mean([(a > b) + 0.5 * (a == b) for a in toxic for b in ordinary])
+
+
+def test_rare_insults_are_learned(spark):
+    """Each of many insults stands in a few toxic texts and in no ordinary one."""
+    rng = random.Random(4)
+    ordinary = [f"w{rng.randint(0, 600)}" for _ in range(4000)] + ["the", "and"] * 400
+    rows, labels = [], []
+    for i in range(3000):
+        toxic = i % 3 == 0
+        words = rng.choices(ordinary, k=rng.randint(20, 60))
+        for _ in range(2 if toxic else 0):
+            words.insert(rng.randrange(len(words)), f"insult{rng.randrange(150)}")
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    docs, known = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(docs, known)
+    out = {r["doc_id"]: r for r in toxicity.score(docs, model).withColumn("held", held_out("doc_id")).collect()}
+    assert _area(out, labels) >= 0.9
+
+
+def test_a_fixed_phrase_is_learned_from_its_pairs(spark):
+    """The words of the phrase are common in both classes; only their order is not."""
+    rng = random.Random(5)
+    rows, labels = [], []
+    for i in range(1500):
+        toxic = i % 4 == 0
+        words = rng.choices([f"w{k}" for k in range(40)], k=60)
+        at = rng.randrange(50)
+        words[at:at] = ["w1", "w2", "w3", "w4"] if toxic else rng.sample(["w1", "w2", "w3", "w4"], 4)[::-1]
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    docs, known = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    out = {r["doc_id"]: r for r in toxicity.score(docs, toxicity.fit(docs, known)).withColumn("held", held_out("doc_id")).collect()}
+    assert _area(out, labels) >= 0.7
+
+
+@pytest.mark.parametrize("words", [60, 1])
+def test_texts_without_a_repeated_word(spark, words):
+    rng = random.Random(6)
+    rows = [(i, " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=12)) for _ in range(words))) for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    docs = frame(spark, rows)
+    out = toxicity.score(docs, toxicity.fit(docs, labels)).collect()
+    assert len(out) == 200 and all(0 <= r["score"] <= 1 for r in out)
+
+
+def test_copies_and_both_labels(spark):
+    rows = [(i, "same copy of one text") for i in range(300)] + [(1000 + i, f"idiot x{i} y{i % 7}") for i in range(60)] + [(2000 + i, f"fine x{i} y{i % 7}") for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)] + [(1000 + i, 1) for i in range(60)] + [(2000 + i, 0) for i in range(60)], "doc_id long, toxic int")
+    docs = frame(spark, rows)
+    sample, _ = toxicity._sample(docs, labels, "doc_id", "text", "toxic", (40, 40))
+    drawn = Counter((r["toxic"], r["text"]) for r in sample.collect())
+    assert max(drawn.values()) == 1 and drawn.get((0, "same copy of one text"), 0) == 0
+    assert sum(y for y, _ in drawn) == 40 == sum(1 - y for y, _ in drawn)
 
 
 def test_toxicity_of_edge_cases(spark, edge, none):
