@@ -17,7 +17,7 @@ HEADLINE = [
     "guarded_merge", "fk_lookup", "fk_required_rejects", "role_playing_lookup", "resolve_entity", "or_key_match",
     "three_hop_filter", "remap_cascade", "dedupe_latest", "dedupe_first", "dedupe_hot_key", "group_headers", "unpivot_answers",
     "multi_emit", "route_rules", "typed_answer", "lenient_int", "constraint_report", "unique_violations", "assign_unique",
-    "in_run_visibility", "load_farmers", "load_attendances", "load_observation_results", "load_best_practice_answers",
+    "in_run_visibility", "merge_touched_buckets", "guarded_in_order", "csv_quoted_breaks", "run_programs_twice", "load_farmers", "load_attendances", "load_observation_results", "load_best_practice_answers",
 ]
 
 

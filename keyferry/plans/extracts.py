@@ -108,6 +108,7 @@ FARM_VISIT = _object(
     "Location_GPS__Longitude__s Altitude__c Secondary_Farmer__c",
 )
 
+# Fixed values of the source contract.
 # Best-practice sheets: group -> (answer fields, image fields), and field -> question key.
 BEST_PRACTICES = {
     "Health of New Planting": (("health_of_new_planting_choice__c",), ()),
@@ -148,7 +149,7 @@ BEST_PRACTICES = {
     "Pesticide Use": (("used_pesticide__c", "pesticide_number_of_times__c", "pesticide_spray_type__c"), ()),
     "Kitchen Garden": (("is_there_a_kitchen_garden__c",), ("photograph_of_kitchen_garden__c",)),
 }
-# Only the question keys that differ from the field name without its suffix.
+# Only the question keys that differ from the field name without its suffix.
 QUESTION_KEYS = {
     "Color_of_coffee_tree_leaves__c": "are_the_leave_green_or_yellow_pale_green",
     "Do_you_have_compost_manure__c": "do_you_have_compost_manure",
@@ -185,7 +186,7 @@ SURVEY_FILES = {
     "legacy_users": "tbl_users.csv",
 }
 
-# Legacy role names and the roles they became; roles that are not tied to a project.
+# Legacy role names and the roles they became; roles that are not tied to a project.
 LEGACY_ROLES = {
     "ci_leadership": "CI Leadership",
     "project_manager": "Project Manager",
