@@ -9,6 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from . import legacy, people, programme, surveys, visits
+from ..session import cuts_released
 from ..sources.store import Conflict
 from .audit import Audit
 from .run import FrameRun, LoadConfig, StoreRun
@@ -63,7 +64,17 @@ def ordered(names: Sequence[str]) -> list[str]:
 
 
 def run_step(audit: Audit, run_id: str, name: str, run: FrameRun) -> dict:
-    """One audited step; a failure is recorded with 0 rows and raised again."""
+    """One audited step; a failure is recorded with 0 rows and raised again.
+
+    What a stored run writes in between is removed when the step ends.
+    """
+    if not isinstance(run, StoreRun):
+        return _run_step(audit, run_id, name, run)
+    with cuts_released(run.spark):
+        return _run_step(audit, run_id, name, run)
+
+
+def _run_step(audit: Audit, run_id: str, name: str, run: FrameRun) -> dict:
     task = audit.start_task(run_id, name)
     before = run.marked
     run.marked = {}

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,15 +69,34 @@ def scratch(spark: SparkSession) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the frame as a table to the shared checkpoint folder and go on from there.
 
-    Used for staged extracts and between the rounds of the iterative operators: plans stay small,
+    The table stays until its job releases it (``cuts_released``) or the folder is cleared. Used for staged
+    extracts and between the rounds of the iterative operators: plans stay small,
     a lost executor costs no recomputation of what is written, and unlike a checkpointed RDD the
     table has a known size, so later joins broadcast it exactly when it is small enough.
     """
     path = scratch(df.sparkSession)
+    if getattr(_made, "paths", None) is not None:
+        _made.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_made = threading.local()  # what the job under way in this thread has cut
+
+
+@contextmanager
+def cuts_released(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that ``cut_lineage`` writes inside, for a job whose results are written when it ends."""
+    outer = getattr(_made, "paths", None)
+    _made.paths = []
+    try:
+        yield
+    finally:
+        for path in _made.paths:
+            remove_folder(spark, path)
+        _made.paths = outer
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder of intermediate tables, on whatever file system it lies."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

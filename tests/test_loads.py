@@ -1,6 +1,7 @@
 """Every load over synthetic landed files, then the same files again."""
 
 import json
+import os
 from dataclasses import replace
 from itertools import combinations
 
@@ -14,6 +15,7 @@ from keyferry.plans.extracts import SOURCES
 from keyferry.plans.steps import needs, waves
 from keyferry.sources.extracts import scan_marked
 from keyferry.sources import TableStore, require_inputs, resolve_column
+from keyferry.session import checkpoint_dir
 from keyferry.specs import SourceSpec
 
 
@@ -244,6 +246,16 @@ def test_a_failed_run_goes_on_where_it_failed(quick, tmp_path, monkeypatch):
     assert run.store.read(TABLES["locations"]).count() == 4
 
 
+def test_steps_leave_nothing_behind(quick, tmp_path):
+    land = sample_extracts.land(str(tmp_path / "land"))
+    audit, run = new_run(quick, tmp_path / "store", land)
+    folder = f"{checkpoint_dir(quick)}/keyferry"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    run_steps(audit, run, ["programs", "users"], "op@x.test")
+    assert (set(os.listdir(folder)) if os.path.isdir(folder) else set()) == before
+    assert os.listdir(f"{run.store.root}/_stage") == [] and run.store.read(TABLES["users"]).count() > 0
+
+
 def test_steps_side_by_side_give_the_same_tables(quick, tmp_path):
     land = sample_extracts.land(str(tmp_path / "land"))
     audit, run = new_run(quick, tmp_path / "store", land, buckets=4)
