@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyferry.llm import bpe, exact_dedup, language, mixing, ngram_join
-from keyferry.llm.common import held_out
+from keyferry.llm.common import held_out, tidy
 from keyferry.llm.queries import MIX_BUDGET, MIX_POWERS, MIX_ROUNDS
 from keyferry.session import cut_lineage, prepare
 
@@ -20,25 +20,25 @@ ORACLE_SQL = None  # trained weights and byte-pair merges are beyond SQL; tests
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter go, and those the network takes for text in no language."""
-    prepare(spark)
+    tidy(prepare(spark))
     return language.keep_identified(docs, language.fit(docs.where(~held_out("doc_id")), noise=True))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that are equal but for white space, the longest stays."""
-    prepare(spark)
+    tidy(prepare(spark))
     return exact_dedup.drop_copies(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that share four fifths of their five-word shingles, one stays."""
-    prepare(spark)
+    tidy(prepare(spark))
     return ngram_join.one_of_each(docs, words=5, num=80, den=100)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn so that sources, languages and forms come near their target shares."""
-    prepare(spark)
+    tidy(prepare(spark))
     return mixing.sample(docs, MIX_POWERS, rounds=MIX_ROUNDS, budget=MIX_BUDGET)
 
 

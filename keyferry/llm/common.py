@@ -48,3 +48,13 @@ def give_back() -> None:
     pa.default_memory_pool().release_unused()
     if sys.platform == "linux":
         ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(spark: SparkSession) -> None:
+    """Have the driver let go of what finished jobs have left, for jobs of many small steps.
+
+    Spark frees broadcast tables and plans only when the driver's collector finds them unused, which in a
+    roomy heap is late.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()

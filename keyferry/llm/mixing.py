@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import whole
+from .common import tidy, whole
 
 NONE = "(none)"
 HEX_DIGITS = 13  # 52 bits: exact in a double
@@ -70,7 +70,9 @@ def rake(cells: DataFrame, targets: Mapping[str, Mapping[str, float] | float], r
         return cells.withColumn("weight", F.lit(0.0))
     shares = {dim: cut_lineage(_targets(cells, dim, target)) for dim, target in targets.items()}
     out = cells.withColumn("weight", F.col("tokens").cast("double"))
-    for _ in range(rounds):
+    for step in range(rounds):
+        if step % 3 == 0:
+            tidy(cells.sparkSession)
         for dim, share in shares.items():
             now = out.groupBy(dim).agg(F.sum("weight").alias("now"))
             scale = now.join(share, dim, "left").select(dim, F.when(F.col("now") > 0, F.coalesce("share", F.lit(0.0)) * float(total) / F.col("now")).otherwise(0.0).alias("scale"))

@@ -70,7 +70,7 @@ def test_language_stage_rejects_what_is_in_no_language(spark):
     """Letters alone do not make a language: noise goes, prose of every language stays."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rng = random.Random(3)
-    planted = [(10**9 + k, noise(rng, kind), "en", "src0", 0) for k, kind in enumerate(["letters", "capitals", "packed"] * 20)]
+    planted = [(10**9 + k, noise(rng, kind), None, "src0", 0) for k, kind in enumerate(["letters", "capitals", "packed"] * 20)]
     both = docs.unionByName(spark.createDataFrame(planted, docs.schema))
     kept = {r["doc_id"] for r in stage("language_id")(spark, both, DIR).select("doc_id").collect()}
     assert not {r[0] for r in planted} & kept
