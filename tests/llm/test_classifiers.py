@@ -132,7 +132,7 @@ def test_kneser_ney_ratios_equal_their_definition(spark):
     docs = frame(spark, rows, extra=False)
     known = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
     model = toxicity.fit(docs, known)
-    sample, _ = toxicity._sample(docs, known, "doc_id", "text", "toxic", (8000, 2000))
+    sample, _ = toxicity._sample(docs, known, "doc_id", "text", "toxic", (4000, 1000))
     train = [(r["toxic"], r["text"].split()) for r in sample.where("NOT tuning").collect()]
     pairs = [Counter(), Counter()]
     for y, t in train:
