@@ -143,21 +143,22 @@ class Stripes:
         n, size = len(self.counts), self.size
         if not n:
             return
-        prefixes, spelled = self.windows[:, :-1], np.array(self.words, dtype=object)
+        prefixes, spelled = self.windows[:, :-1], [w.decode() for w in self.words]
         new = (prefixes[1:] != prefixes[:-1]).any(axis=1) if size > 1 else np.zeros(n - 1, bool)
-        starts = np.concatenate([[0], np.flatnonzero(new) + 1])
-        for a, b in zip(starts, [*starts[1:], n]):
-            prefix = b" ".join(spelled[prefixes[a]].tolist()).decode()
-            numbers, counts = self.windows[a:b, -1], self.counts[a:b]
-            parts = FIRST_PARTS if size == 1 else HOT_PARTS if (self.lang, prefix) in hot else 1
+        starts = [0, *(np.flatnonzero(new) + 1).tolist()]
+        lead, last, raw = prefixes[starts].tolist(), self.windows[:, -1].tolist(), self.counts.tobytes()
+        follow = [spelled[k] for k in last]
+        for numbers, a, b in zip(lead, starts, [*starts[1:], n]):
+            prefix = " ".join([spelled[k] for k in numbers])
+            parts = FIRST_PARTS if size == 1 else HOT_PARTS if hot and (self.lang, prefix) in hot else 1
             if parts == 1:
-                yield self.lang, prefix, 0, b" ".join(spelled[numbers].tolist()).decode(), counts.tobytes()
+                yield self.lang, prefix, 0, " ".join(follow[a:b]), raw[8 * a : 8 * b]
                 continue
-            part = np.frombuffer(self.hashes, np.uint64)[numbers] % np.uint64(parts)
+            part = np.frombuffer(self.hashes, np.uint64)[last[a:b]] % np.uint64(parts)
             order = np.argsort(part, kind="stable")
             cuts = np.flatnonzero(np.diff(part[order])) + 1
             for some in np.split(order, cuts):
-                yield self.lang, prefix, int(part[some[0]]), b" ".join(spelled[numbers[some]].tolist()).decode(), counts[some].tobytes()
+                yield self.lang, prefix, int(part[some[0]]), " ".join([follow[a + k] for k in some.tolist()]), self.counts[a + some].tobytes()
 
 
 class _Numbers(dict):
@@ -241,7 +242,7 @@ def _merge(least: int):
                         if len(out) >= 5000:
                             yield flush()
                     key, stripe = (lang, prefix, part), {}
-                for w, c in zip(words.split(" "), np.frombuffer(counts, np.int64).tolist()):
+                for w, c in zip(words.split(" "), memoryview(counts).cast("q")):
                     stripe[w] = stripe.get(w, 0) + c
         if key is not None:
             close()
