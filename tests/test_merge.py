@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from keyferry import operators as O
+from keyferry.queries import QUERIES
 from keyferry.specs import MergeSpec
 
 T_SCHEMA = "id string, sf_id string, case_id string, name string, note string, created long"
@@ -128,3 +129,17 @@ def test_repeated_guarded_merge_changes_nothing(quick):
     cols = ("id", "sf_id", "case_id", "name")
     assert rows(once, *cols) == [("r1", "S1", "C1", "second"), ("r3", "S3", None, "alone")] == rows(twice, *cols)
     assert {r["action"] for r in actions.collect()} == {"updated"}
+
+
+def _keyless_tables(spark, path):
+    """One order with two lines that have no key and are equal in every column but their number."""
+    spark.sql("SELECT 3L AS o_orderkey, 1.0D AS o_totalprice, 'O' AS o_orderstatus").write.parquet(f"{path}/orders.parquet")
+    lines = "SELECT 3L AS l_orderkey, 5.0D AS l_quantity, 'N' AS l_returnflag, {} AS l_linenumber"
+    spark.sql(" UNION ALL ".join(lines.format(n) for n in (2, 3))).write.parquet(f"{path}/lineitem.parquet")
+    return str(path)
+
+
+def test_merge_null_int_keys_returns_every_row(quick, tmp_path):
+    found = QUERIES["merge_null_int_keys"](quick, _keyless_tables(quick, tmp_path))
+    assert found.columns == ["code", "price", "note"]
+    assert [tuple(r) for r in found.collect()] == [(None, 5.0, "N")] * 2
