@@ -143,3 +143,9 @@ def test_merge_null_int_keys_returns_every_row(quick, tmp_path):
     found = QUERIES["merge_null_int_keys"](quick, _keyless_tables(quick, tmp_path))
     assert found.columns == ["code", "price", "note"]
     assert [tuple(r) for r in found.collect()] == [(None, 5.0, "N")] * 2
+
+
+def test_insert_only_null_keys_returns_every_row(quick, tmp_path):
+    found = QUERIES["insert_only_null_keys"](quick, _keyless_tables(quick, tmp_path))
+    assert found.columns == ["code", "price", "note"]
+    assert [tuple(r) for r in found.collect()] == [(None, 5.0, "N")] * 2
