@@ -283,7 +283,7 @@ class TableStore:
     def stage(self, name: str, df: DataFrame) -> DataFrame:
         """Write an intermediate result once and go on from the written copy; it goes when the step ends."""
         path = f"{self.root}/_stage/{self._run}/{uuid.uuid4().hex}-{name}"
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def _clear_stage(self) -> None:
