@@ -12,17 +12,18 @@ the WHOLE corpus that hold the word. So a rare expression of one class is weighe
 met at all, and where nothing is known of a word the classes do not differ. All discounts are below 1, from
 the counts of counts (n1 / (n1 + 2 n2)) of their level.
 
-Labels are learned from a bounded sample of different texts in hash order: ``toxic_texts`` and
-``ordinary_texts``, more of the latter, because ordinary words are the more various. A quarter of it is kept
-from the counts for the calibration: which part of every log-ratio is taken for chance (languages and
-topics are not evenly spread over the classes, so common words differ a little, many times over), and a
-logistic fit that allows for wrong labels. Nothing is chosen on held-out rows. Words and pairs are 64-bit
-hashes; what goes to the tasks is the table of the sample's words and pairs, hence bounded; document counts
-are summed by Spark.
+Labels are learned from EVERY different labelled text. A quarter of them, by hash, is kept from the counts
+for the calibration: which part of every log-ratio is taken for chance (languages and topics are not evenly
+spread over the classes, so common words differ a little, many times over), and a logistic fit that allows
+for wrong labels, both from counts in narrow bins of the ratio. Nothing is chosen on held-out rows.
+
+Words and pairs are 64-bit hashes. The model grows with the corpus, so it stays in tables: texts are coded in
+chunks of bounded size, each chunk is joined with the model's rows for its own words and pairs, and scored
+with these. No text is sent whole.
 
 Defined cases: a null text counts as empty; an empty text has the score of no evidence; without labelled
 rows, or with one class only (or one without words), every score is the share of toxic labels (0 if there
-are none); a sample in which no word or pair repeats gives scores like any other; a text that bears both
+are none); labelled texts in which no word or pair repeats give scores like any other; a text that bears both
 labels counts as toxic; texts of any length are read whole; equal texts get equal scores; repeated rows and
 null ids come out as they came in; null labels are not learned; further columns are ignored; an empty table
 gives an empty result.
@@ -30,20 +31,28 @@ gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.dedupe import split_repeated
 from ..session import cut_lineage
-from .common import bounded_batches, give_back, held_out, tidy, whole
+from .common import bounded_batches, held_out, tidy, whole
 
 # Parts of a log-ratio that may be taken for chance; the calibration picks one.
 MARGINS = (0.0, 0.5, 1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.0)
 SHORT = 10.0  # added to the length, so that a few words alone are weak evidence
+CHUNK, CHUNK_TEXTS = 2_000_000, 50_000  # words and texts after which a chunk ends
+BINS = 20_000  # of the ratios, for the calibration
+PARTS = ("shared", "word0", "word1", "shared_context", "context0", "context1", "after", "after0", "after1")
 # ASCII apart from letters and digits parts words; other characters belong to them.
 APART = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -54,64 +63,86 @@ def words_of(text: str) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def pairs_of(words: np.ndarray) -> np.ndarray:
-    """A hash for each word with the one before it; the first one has none (0)."""
-    return _pair_hash(before_each(words), words)
-
-
-def before_each(words: np.ndarray) -> np.ndarray:
-    """The word before each word; 0 before the first."""
-    return np.concatenate([np.zeros(1, np.uint64), words[:-1]]) if len(words) else words
+def _pair_hash(before: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return ((before << np.uint64(17)) | (before >> np.uint64(47))) ^ words
 
 
-def _pair_hash(before: np.ndarray, words: np.ndarray) -> np.ndarray:
-    return (before * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x632BE59BD9B4E019)) ^ (words * np.uint64(0xC2B2AE3D27D4EB4F))
+PAIR = "(shiftleft(before, 17) | shiftrightunsigned(before, 47)) ^ word"  # the same in Spark
 
 
 @dataclass
 class Model:
-    """Per word of the sample: class part, shared backoff, what it leaves as a context; per pair its log-ratio.
+    """The model's tables and what all texts share.
 
-    ``word`` and ``context`` have a row per class; ``left`` are the classes' shares for the backoff.
+    ``words`` has for each word its shared backoff, its part in each class, what it leaves as a context, and
+    how often it is one (``PARTS``); ``pairs`` the counts of each pair in each class. ``left`` are the classes'
+    shares for the backoff, ``discounts`` those of pairs: of both classes together and of each.
     """
 
-    words: np.ndarray
-    word: np.ndarray
-    shared: np.ndarray
-    context: np.ndarray
-    shared_context: np.ndarray
-    left: np.ndarray
-    pairs: np.ndarray
-    pair: np.ndarray
+    words: DataFrame
+    pairs: DataFrame
+    left: tuple[float, float]
+    discounts: tuple[float, float, float]
     margin: float = 0.0
     slope: float = 1.0
     base: float = 0.0
 
     def ratios(self, w: np.ndarray) -> np.ndarray:
-        """Log-ratio toxic to ordinary of each word after the one before it."""
-        at, known = _find(self.words, w)
-        v, seen_before = _find(self.words, before_each(w))
-        rest = np.where(seen_before, self.shared_context[v], 1.0) * self.shared[at]
-        p = [np.where(seen_before, self.context[c][v], 1.0) * (self.word[c][at] + self.left[c] * rest) for c in (0, 1)]
-        # of a word the sample does not hold only the shared part is left, the same for both
-        unknown = [np.where(seen_before, self.context[c][v], 1.0) * self.left[c] for c in (0, 1)]
-        out = np.where(known, np.log(p[1] / p[0]), np.log(unknown[1] / unknown[0]))
-        at, seen = _find(self.pairs, pairs_of(w))
-        return np.where(seen, self.pair[at], out)
-
-    def ratio(self, text: str, margin: float | None = None) -> float:
-        """Length-normalised log-likelihood ratio, without what may be chance."""
-        w = words_of(text)
-        if not len(w):
-            return 0.0
-        return _pooled(self.ratios(w), self.margin if margin is None else margin)
-
-    def score(self, text: str) -> float:
-        return float(_logistic(np.float64(self.slope * self.ratio(text) + self.base)))
-
-
-def _pooled(ratios: np.ndarray, margin: float) -> float:
-    return float((np.sign(ratios) * np.maximum(np.abs(ratios) - margin, 0)).sum() / (len(ratios) + SHORT))
+        """Log-ratio toxic to ordinary of each word after the one before it, for a short text."""
+        coded = _Coded(w, np.array([len(w)]))
+        known = self.words.where(F.col("word").isin(coded.wanted().view(np.int64).tolist())).toArrow()
+        pairs = self.pairs.where(F.col("pair").isin(coded.pairs.view(np.int64).tolist())).toArrow()
+        parts = np.array([known[p].to_numpy() for p in PARTS], float)
+        counts = [pairs[f"n{c}"].to_numpy() for c in (0, 1)]
+        return coded.ratios(_unsigned(known, "word"), parts, _unsigned(pairs, "pair"), counts, self.left, self.discounts)
+
+
+class _Coded:
+    """Texts as one row of words: their hashes, where texts end, and each different pair once."""
+
+    def __init__(self, words: np.ndarray, lengths: np.ndarray):
+        self.words, self.lengths = words, lengths
+        self.before = np.concatenate([np.zeros(1, np.uint64), words[:-1]]) if len(words) else words.copy()
+        starts = np.cumsum(lengths) - lengths
+        self.before[starts[lengths > 0]] = 0
+        self.pairs, self.first, self.place = np.unique(_pair_hash(self.before, words), return_index=True, return_inverse=True)
+
+    def wanted(self) -> np.ndarray:
+        """Words whose rows of the model are needed; 0 stands before a text."""
+        return np.union1d(self.words, np.zeros(1, np.uint64))
+
+    def ratios(self, words: np.ndarray, parts: np.ndarray, pairs: np.ndarray, counts: Sequence[np.ndarray], left, discounts) -> np.ndarray:
+        """Log-ratio of each word after the one before it, from the model's rows for the words and pairs here."""
+        order = np.argsort(words)
+        words, none = words[order], len(words)  # what is not known has no part, and leaves all to the backoff
+        shared, word0, word1, *context, after, after0, after1 = (np.append(p, x) for p, x in zip(parts[:, order], (0, 0, 0, 1, 1, 1, 1, 1, 1)))
+        w, known = _find(words, self.words[self.first])
+        v, seen = _find(words, self.before[self.first])
+        w, v = np.where(known, w, none), np.where(seen, v, none)
+        order = np.argsort(pairs)
+        at, seen = _find(pairs[order], self.pairs)
+        n = [np.zeros(len(self.pairs)) for _ in (0, 1)]
+        for out, given in zip(n, counts):
+            out[seen] = given[order][at[seen]]
+
+        def top(n, d, after, context, rest):
+            return np.maximum(n - d, 0) / np.maximum(after[v], 1) + context[v] * rest
+
+        rest = np.where(known, top(n[0] + n[1], discounts[0], after, context[0], shared[w]), 1.0)  # of an unknown word only this is left
+        p = [
+            top(n[c], discounts[1 + c], of, context[1 + c], word[w] + left[c] * rest)
+            for c, (of, word) in enumerate(((after0, word0), (after1, word1)))
+        ]
+        return np.log(p[1] / p[0])[self.place]
+
+    def pooled(self, ratios: np.ndarray, margin: float) -> np.ndarray:
+        """Length-normalised log-likelihood ratio of each text, without what may be chance; 0 for an empty one."""
+        out = np.zeros(len(self.lengths))
+        some = self.lengths > 0
+        if some.any():
+            parts = np.sign(ratios) * np.maximum(np.abs(ratios) - margin, 0)
+            out[some] = np.add.reduceat(parts, (np.cumsum(self.lengths) - self.lengths)[some]) / (self.lengths[some] + SHORT)
+        return out
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,186 +152,268 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, keys[at] == wanted
 
 
+def _unsigned(table: pa.Table, name: str) -> np.ndarray:
+    return table[name].to_numpy().view(np.uint64)
+
+
+def _chunks(batches) -> Iterator[tuple[list[pa.Array], list[np.ndarray]]]:
+    """First columns and words of the texts (last column), in chunks of bounded size."""
+    columns, words, n = [], [], 0
+    for batch in batches:
+        for k, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+            columns.append(batch.column(0).slice(k, 1))
+            words.append(words_of(text))
+            n += len(words[-1])
+            if n >= CHUNK or len(words) >= CHUNK_TEXTS:
+                yield columns, words
+                columns, words, n = [], [], 0
+    if words:
+        yield columns, words
+
+
+def _packed(array: np.ndarray) -> bytes:
+    return pa.compress(array.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, kind, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, n * np.dtype(kind).itemsize, codec="zstd", asbytes=True), kind)
+
+
+def _coded(rows: DataFrame) -> DataFrame:
+    """Chunks of (id, text) rows: ids, the different words, each text's words by their number, the lengths."""
+
+    def run(batches):
+        part = TaskContext.get().partitionId()
+        for k, (ids, words) in enumerate(_chunks(batches)):
+            vocabulary, stream = np.unique(np.concatenate(words), return_inverse=True)
+            lengths = np.array([len(w) for w in words], np.int32)
+            ids = pa.concat_arrays(ids)
+            columns = [
+                pa.array([(part << 32) + k], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                pa.array([len(vocabulary)], pa.int32()), pa.array([len(stream)], pa.int32()), pa.array([vocabulary.tobytes()], pa.binary()),
+                pa.array([_packed(stream.astype(np.int32))], pa.binary()), pa.array([_packed(lengths)], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["chunk", "ids", "kinds", "n", "vocabulary", "stream", "lengths"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return cut_lineage(rows.mapInArrow(run, f"chunk bigint, ids array<{kind}>, kinds int, n int, vocabulary binary, stream binary, lengths binary"))
+
+
+def _decoded(row: dict, texts: int) -> _Coded:
+    words = np.frombuffer(row["vocabulary"], np.uint64)[_unpacked(row["stream"], np.int32, row["n"])]
+    return _Coded(words, _unpacked(row["lengths"], np.int32, texts))
+
+
+def _pooled_ratios(rows: DataFrame, model: Model, margins: Sequence[float]) -> DataFrame:
+    """(id, m0, m1, ...): the pooled ratio of each (id, text) row for each margin."""
+    coded = _coded(rows)
+    left, discounts = model.left, model.discounts
+
+    def wanted(batches):
+        """Each different word (is_pair false) and pair of a chunk."""
+        for batch in batches:
+            for row in batch.to_pylist():
+                chunk = _decoded(row, row["texts"])
+                for is_pair, keys in ((False, chunk.wanted()), (True, chunk.pairs)):
+                    for k in range(0, len(keys), 100_000):
+                        part = keys[k : k + 100_000].view(np.int64)
+                        columns = [pa.array(np.full(len(part), row["chunk"])), pa.array(np.full(len(part), is_pair)), pa.array(part)]
+                        yield pa.RecordBatch.from_arrays(columns, names=["chunk", "is_pair", "key"])
+
+    def scored(given: pa.Table, found: pa.Table) -> pa.Table:
+        ids = given["ids"].combine_chunks().flatten()
+        row = given.select(["kinds", "n", "vocabulary", "stream", "lengths"]).to_pylist()[0]
+        chunk = _decoded(row, len(ids))
+        is_word = pc.is_valid(found["parts"])
+        words, pairs = found.filter(is_word), found.filter(pc.invert(is_word))
+        parts = words["parts"].combine_chunks().flatten().to_numpy().reshape(-1, len(PARTS)).T.astype(float)
+        ratios = chunk.ratios(_unsigned(words, "key"), parts, _unsigned(pairs, "key"), [pairs[f"n{c}"].to_numpy() for c in (0, 1)], left, discounts)
+        return pa.table([ids, *[pa.array(chunk.pooled(ratios, m)) for m in margins]], names=["id", *names])
+
+    names = [f"m{k}" for k in range(len(margins))]
+    asked = coded.select("chunk", "kinds", "n", "vocabulary", "stream", "lengths", F.size("ids").alias("texts"))
+    asked = asked.mapInArrow(wanted, "chunk bigint, is_pair boolean, key bigint")
+    none = F.lit(None).cast("array<double>")
+    words = asked.where("NOT is_pair").join(model.words.select(F.col("word").alias("key"), F.array(*PARTS).alias("parts")), "key")
+    pairs = asked.where("is_pair").join(model.pairs.select(F.col("pair").alias("key"), "n0", "n1"), "key")
+    found = words.select("chunk", "key", F.lit(0).cast("bigint").alias("n0"), F.lit(0).cast("bigint").alias("n1"), "parts")
+    found = found.unionByName(pairs.select("chunk", "key", "n0", "n1", none.alias("parts")))
+    kind = rows.schema["id"].dataType.simpleString()
+    schema = ", ".join([f"id {kind}", *[f"{m} double" for m in names]])
+    return coded.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(scored, schema)
+
+
 def _sample(
-    docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, toxic_col: str, bounds: tuple[int, int]
+    docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, toxic_col: str, bounds: tuple[int, int] | None = None
 ) -> tuple[DataFrame, dict[int, int]]:
-    """(toxic, text, tuning) of the drawn texts, and the labelled rows of each class.
+    """(toxic, text, tuning) of the different labelled texts, and the labelled rows of each class.
 
-    Texts are drawn by the order of their hashes, each different one once, so copies use up no place.
+    ``bounds`` is for trials: so many texts of each class, drawn by the order of their hashes.
     """
     known = labels.where(F.col(toxic_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(toxic_col).cast("int")).alias("toxic"))
     sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    text = whole(text_col)
-    hashed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("hash")).join(known, "id")
-    different = hashed.groupBy("hash").agg(F.max("toxic").alias("toxic"), F.min("id").alias("id"))
-    order = F.xxhash64("hash", F.lit(5))
-    drawn = [different.where(F.col("toxic") == c).orderBy(order, "hash").limit(bounds[c]) for c in (0, 1)]
-    ids = drawn[0].unionByName(drawn[1]).select("id", "toxic")  # within the bounds, so broadcast
-    texts = docs.select(F.col(id_col).alias("id"), text.alias("text")).join(F.broadcast(ids), "id")
+    rows = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text")).withColumn("hash", F.xxhash64("text"))
+    different = rows.select("id", "hash").join(known, "id").groupBy("hash").agg(F.max("toxic").alias("toxic"), F.min("id").alias("id"))
+    if bounds:
+        order = F.xxhash64("hash", F.lit(5))
+        different = reduce(DataFrame.unionByName, [different.where(F.col("toxic") == c).orderBy(order, "hash").limit(bounds[c]) for c in (0, 1)])
+    different = cut_lineage(different)
+    # rows of other ids are left out before the texts are shuffled
+    _, rows = split_repeated(rows, ["id"], different.select(F.xxhash64("id").alias("_rh")))
+    texts = rows.join(different, ["hash", "id"]).dropDuplicates(["hash", "id"])
     tuning = F.pmod(F.xxhash64("text", F.lit(9)), F.lit(4)) == 0
-    return texts.select("toxic", "text", tuning.alias("tuning")).distinct(), sizes
+    return texts.select("toxic", "text", tuning.alias("tuning")), sizes
 
 
 def _class_counts(sample: DataFrame) -> DataFrame:
     """(before, word, n0, n1): occurrences of each pair in the texts of each class; before a text's first word stands 0."""
 
     def run(batches):
-        for batch in batches:
-            for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                w = words_of(text)
-                if not len(w):
-                    continue
-                before = before_each(w)
-                _, first, n = np.unique(pairs_of(w), return_index=True, return_counts=True)
-                counts = [n if toxic == c else np.zeros_like(n) for c in (0, 1)]
-                columns = [before[first].view(np.int64), w[first].view(np.int64), *counts]
-                yield pa.RecordBatch.from_arrays([pa.array(a) for a in columns], names=["before", "word", "n0", "n1"])
+        for toxic, words in _chunks(batches):
+            toxic = pa.concat_arrays(toxic).to_numpy()
+            lengths = np.array([len(w) for w in words])
+            chunk = _Coded(np.concatenate(words), lengths)
+            of = np.repeat(toxic, lengths)
+            counts = [np.bincount(chunk.place[of == c], minlength=len(chunk.pairs)) for c in (0, 1)]
+            columns = [chunk.before[chunk.first].view(np.int64), chunk.words[chunk.first].view(np.int64), *counts]
+            yield from _batches(columns, ["before", "word", "n0", "n1"])
 
     found = sample.select("toxic", "text").mapInArrow(run, "before bigint, word bigint, n0 bigint, n1 bigint")
-    return found.groupBy("before", "word").agg(F.sum("n0").cast("int").alias("n0"), F.sum("n1").cast("int").alias("n1"))
+    return found.groupBy("before", "word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+
 
+def _batches(columns: Sequence[np.ndarray], names: list[str], n: int = 100_000) -> Iterator[pa.RecordBatch]:
+    for k in range(0, len(columns[0]), n):
+        yield pa.RecordBatch.from_arrays([pa.array(c[k : k + n]) for c in columns], names=names)
 
-def _documents_with(docs: DataFrame, text_col: str, words: np.ndarray) -> tuple[np.ndarray, int]:
-    """For each word, the number of documents of the corpus that hold it; the sum of that over all words there are."""
-    given = docs.sparkSession.sparkContext.broadcast(words)  # the sample's vocabulary
+
+def _document_counts(docs: DataFrame, text_col: str) -> DataFrame:
+    """(word, held): the number of documents of the corpus that hold the word."""
 
     def run(batches):
-        vocabulary = given.value
-        held = np.zeros(len(vocabulary) + 1, np.int64)  # the last place is for all other words
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                different = np.unique(words_of(text))
-                at, known = _find(vocabulary, different)
-                held[at[known]] += 1
-                held[-1] += len(different) - known.sum()
-        at = np.nonzero(held)[0]
-        for k in range(0, len(at), 100_000):
-            part = at[k : k + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(held[part])], names=["at", "n"])
-
-    parts = docs.select(whole(text_col).alias("text")).mapInArrow(run, "at bigint, n bigint")
-    total = parts.groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-    given.destroy()
-    out = np.zeros(len(words) + 1, np.int64)
-    out[total["at"].to_numpy()] = total["n"].to_numpy()
-    return out[:-1], int(out.sum())
-
-
-def _discount(counts: np.ndarray) -> float:
-    """Absolute discount of a level, from how many of its counts are 1 and 2."""
-    once, twice = (counts == 1).sum(), (counts == 2).sum()
-    return float(once / (once + 2 * twice)) if once else 0.5
+        for _, words in _chunks(batches):
+            different, n = np.unique(np.concatenate([np.unique(w) for w in words]), return_counts=True)
+            yield from _batches([different.view(np.int64), n], ["word", "held"])
 
+    found = docs.select(F.lit(0).alias("id"), whole(text_col).alias("text")).mapInArrow(run, "word bigint, held bigint")
+    return found.groupBy("word").agg(F.sum("held").alias("held"))
 
-def _unsigned(table: pa.Table, name: str) -> np.ndarray:
-    return table[name].to_numpy().view(np.uint64)
+
+def _coc(name: str, count: Column) -> list[Column]:
+    """How many counts of a level are 1, 2 and above 0."""
+    return [F.count_if(count == 1).alias(f"{name}_1"), F.count_if(count == 2).alias(f"{name}_2"), F.count_if(count > 0).alias(name)]
+
+
+def _discount(counts: dict, name: str) -> float:
+    """Absolute discount of a level, from how many of its counts are 1 and 2."""
+    once, twice = counts[f"{name}_1"], counts[f"{name}_2"]
+    return once / (once + 2 * twice) if once else 0.5
 
 
-def _model(table: pa.Table, document_counts) -> Model | None:
-    """The two models from pair counts; ``document_counts`` gives the corpus counts of words. None if a class has no word."""
-    first, second = _unsigned(table, "before"), _unsigned(table, "word")
-    words = np.union1d(first, second)
-    v, w = (np.searchsorted(words, x).astype(np.int32) for x in (first, second))
-    total = lambda places, weights=None: np.bincount(places, weights, minlength=len(words))
-    counts = [table[f"n{c}"].to_numpy().astype(float) for c in (0, 1)]
-    if not all(n.sum() for n in counts):
+def _model(counted: DataFrame, held: DataFrame) -> Model | None:
+    """The two models from pair counts and the corpus counts of words. None if a class has no word."""
+    c, both = F.col, F.col("n0") + F.col("n1")
+    sums = [F.sum(f"n{k}").alias(f"all{k}") for k in (0, 1)]
+    n = counted.agg(*sums, *_coc("both", both), *_coc("n0", c("n0")), *_coc("n1", c("n1"))).first().asDict()
+    if not n["all0"] or not n["all1"]:
         return None
-    # shared: pairs of both classes, continuation counts, documents
-    both = counts[0] + counts[1]
-    d, before = _discount(both), total(w)
-    e = _discount(before[before > 0])
-    held, all_held = document_counts(words)
-    floor = (held + 0.5) / (all_held + 0.5 * (len(words) + 1))
-    shared = np.maximum(before - e, 0) / len(both) + e * (before > 0).sum() / len(both) * floor
-    after = np.maximum(total(v, both), 1)
-    shared_context = np.where(total(v) > 0, d * total(v) / after, 1.0)
-    shared_pair = np.maximum(both - d, 0) / after[v] + shared_context[v] * shared[w]
-
-    word, context, left, seen = [], [], [], []
-    for n in counts:
-        d, of_word, of_context = _discount(n[n > 0]), total(w, n), total(v, n)
-        e, kinds = _discount(of_word[of_word > 0]), total(v, n > 0)
-        word.append(np.maximum(of_word - e, 0) / n.sum())
-        left.append(e * (of_word > 0).sum() / n.sum())
-        context.append(np.where(of_context > 0, d * kinds / np.maximum(of_context, 1), 1.0))
-        seen.append(np.maximum(n - d, 0) / np.maximum(of_context, 1)[v] + context[-1][v] * (word[-1][w] + left[-1] * shared_pair))
-    pairs = _pair_hash(first, second)
-    order = np.argsort(pairs)
-    return Model(
-        words, np.array(word, np.float32), shared.astype(np.float32), np.array(context, np.float32), shared_context.astype(np.float32),
-        np.array(left), pairs[order], np.log(seen[1] / seen[0])[order].astype(np.float32),
+    second = counted.groupBy("word").agg(F.count(F.lit(1)).alias("befores"), F.sum("n0").alias("of0"), F.sum("n1").alias("of1"))
+    first = counted.groupBy(c("before").alias("word")).agg(
+        F.count(F.lit(1)).alias("kinds"), F.sum(both).alias("after"),
+        *[F.sum(f"n{k}").alias(f"after{k}") for k in (0, 1)], *[F.count_if(c(f"n{k}") > 0).alias(f"kinds{k}") for k in (0, 1)],
     )
+    words = second.join(first, "word", "full_outer").na.fill(0)
+    held = cut_lineage(held)
+    all_held = held.agg(F.sum("held")).first()[0] or 0
+    words = cut_lineage(words.join(held, "word", "left").na.fill(0))
+    n |= words.agg(F.count(F.lit(1)).alias("words"), *_coc("befores", c("befores")), *_coc("of0", c("of0")), *_coc("of1", c("of1"))).first().asDict()
 
+    def above(count, discount):
+        return F.greatest(count - F.lit(discount), F.lit(0.0))
 
-def fit(
-    docs: DataFrame,
-    labels: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    toxic_col: str = "toxic",
-    toxic_texts: int = 1000,
-    ordinary_texts: int = 4000,
-) -> Model | float:
+    # shared: pairs of both classes, continuation counts, documents
+    d, e = _discount(n, "both"), _discount(n, "befores")
+    floor = (c("held") + 0.5) / (all_held + 0.5 * (n["words"] + 1))
+    out = {
+        "shared": above(c("befores"), e) / n["both"] + floor * (e * n["befores"] / n["both"]),
+        "shared_context": F.when(c("kinds") > 0, c("kinds") * d / F.greatest("after", F.lit(1))).otherwise(1.0),
+    }
+    left = []
+    for k in (0, 1):
+        d_k, e_k = _discount(n, f"n{k}"), _discount(n, f"of{k}")
+        out[f"word{k}"] = above(c(f"of{k}"), e_k) / n[f"all{k}"]
+        out[f"context{k}"] = F.when(c(f"after{k}") > 0, c(f"kinds{k}") * d_k / c(f"after{k}")).otherwise(1.0)
+        left.append(e_k * n[f"of{k}"] / n[f"all{k}"])
+    words = words.select("word", *[out.get(p, c(p)).cast("double").alias(p) for p in PARTS])
+    pairs = counted.select(F.expr(PAIR).alias("pair"), "n0", "n1")
+    return Model(cut_lineage(words), pairs, tuple(left), tuple(_discount(n, k) for k in ("both", "n0", "n1")))
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic") -> Model | float:
     """The model, or the share of toxic labels where there is nothing to compare."""
     tidy(bounded_batches(docs.sparkSession))
-    sample, sizes = _sample(docs, labels, id_col, text_col, toxic_col, (ordinary_texts, toxic_texts))
+    sample, sizes = _sample(docs, labels, id_col, text_col, toxic_col)
     if not sizes.get(0) or not sizes.get(1):
         return float(sizes.get(1, 0) > 0)
     sample = cut_lineage(sample)
-    table = _class_counts(sample.where("NOT tuning")).toArrow()  # within the sample's bound
-    model = _model(table, lambda words: _documents_with(docs, text_col, words))
-    del table
-    give_back()
+    model = _model(cut_lineage(_class_counts(sample.where("NOT tuning"))), _document_counts(docs, text_col))
     if model is None:
         return sizes[1] / (sizes[0] + sizes[1])
     _calibrate(model, sample.where("tuning"), sizes)
     return model
 
 
-def _calibrate(model: Model, tuning: DataFrame, sizes: dict[int, int]) -> None:
-    """Margin, then slope and base by logistic regression; drawn rows weigh as many as they stand for."""
-    given = tuning.sparkSession.sparkContext.broadcast(model)
+def _binned(model: Model, tuning: DataFrame) -> pa.Table:
+    """(k, toxic, x, n): how many texts of each class have a ratio in each bin of the k-th margin, x on average."""
+    got = cut_lineage(_pooled_ratios(tuning.select(F.col("toxic").alias("id"), "text"), model, MARGINS))
+    each = got.select(F.col("id").alias("toxic"), F.posexplode(F.array(*[f"m{k}" for k in range(len(MARGINS))])).alias("k", "x"))
+    ends = each.groupBy("k").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    place = F.when(F.col("hi") > F.col("lo"), F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS)).otherwise(0)
+    bins = each.join(F.broadcast(ends), "k").groupBy("k", "toxic", place.alias("bin")).agg(F.avg("x").alias("x"), F.count(F.lit(1)).alias("n"))
+    return bins.select("k", "toxic", "x", "n").toArrow()  # bounded by the bins
 
-    def run(batches):
-        for batch in batches:
-            words = [words_of(t) for t in batch.column(1).to_pylist()]
-            each = [given.value.ratios(w) if len(w) else np.zeros(0) for w in words]
-            columns = [pa.array([_pooled(r, m) for r in each], pa.float64()) for m in MARGINS]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["toxic", *[f"m{k}" for k in range(len(MARGINS))]])
-
-    schema = "toxic int, " + ", ".join(f"m{k} double" for k in range(len(MARGINS)))
-    got = tuning.select("toxic", "text").mapInArrow(run, schema).toArrow()  # within the sample's bound
-    given.destroy()
-    y = got["toxic"].to_numpy().astype(float)
+
+def _calibrate(model: Model, tuning: DataFrame, sizes: dict[int, int]) -> None:
+    """Margin, then slope and base by logistic regression; texts weigh as many as the rows they stand for."""
+    got = _binned(model, tuning)
+    k, y, x, n = (got[name].to_numpy().astype(float) for name in ("k", "toxic", "x", "n"))
     share = sizes[1] / (sizes[0] + sizes[1])
     if not 0 < y.sum() < len(y):
         model.slope, model.base = 10.0, float(np.log(share / (1 - share)))
         return
-    each = [got[f"m{k}"].to_numpy() for k in range(len(MARGINS))]
-    best = max(range(len(MARGINS)), key=lambda k: (round(_ordered(each[k], y), 6), -k))
-    model.margin, x = MARGINS[best], each[best]
+    best = max(range(len(MARGINS)), key=lambda m: (round(_ordered(x[k == m], y[k == m], n[k == m]), 6), -m))
+    model.margin, x, y, n = MARGINS[best], x[k == best], y[k == best], n[k == best]
     order = np.lexsort((y, x))
-    y, x = y[order], x[order]
-    weight = np.where(y == 1, sizes[1] / y.sum(), sizes[0] / (len(y) - y.sum()))
-    model.slope, model.base = _noisy_logistic(x, y, weight * (len(y) / weight.sum()))
+    y, x, n = y[order], x[order], n[order]
+    weight = np.where(y == 1, sizes[1] / (n * y).sum(), sizes[0] / (n * (1 - y)).sum())
+    model.slope, model.base = _noisy_logistic(x, y, n * weight * (n.sum() / (n * weight).sum()), n)
+
+
+def _ordered(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> float:
+    """How often a toxic text has the higher ratio than an ordinary one, ties by half; a point stands for ``n`` texts."""
+    values, place = np.unique(x, return_inverse=True)
+    toxic, ordinary = (np.bincount(place, n * (y == c), len(values)) for c in (1, 0))
+    return float((toxic * (np.cumsum(ordinary) - ordinary / 2)).sum() / (toxic.sum() * ordinary.sum()))
 
 
-def _ordered(x: np.ndarray, y: np.ndarray) -> float:
-    """How often a toxic text has the higher ratio than an ordinary one, ties by half."""
-    toxic, ordinary = x[y == 1], np.sort(x[y == 0])
-    below, upto = np.searchsorted(ordinary, toxic, "left"), np.searchsorted(ordinary, toxic, "right")
-    return float((below + upto).sum() / (2 * len(toxic) * len(ordinary)))
+def _quantile(x: np.ndarray, n: np.ndarray | None, q):
+    """Quantiles of points that stand for ``n`` rows each, one by default."""
+    if n is None:
+        return np.quantile(x, q)
+    order = np.argsort(x)
+    upto = np.cumsum(n[order])
+    return x[order][np.minimum(np.searchsorted(upto, np.asarray(q) * upto[-1]), len(x) - 1)]
 
 
-def _noisy_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 60) -> tuple[float, float]:
+def _noisy_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, n: np.ndarray | None = None, rounds: int = 60) -> tuple[float, float]:
     """Slope and base of P(toxic | x) where labels of either class may be wrong at a rate of their own.
 
     Expectation maximisation over what a text truly is; it starts from the best single cut.
     """
-    cuts = np.unique(np.quantile(x, np.linspace(0.02, 0.98, 97)))
+    cuts = np.unique(_quantile(x, n, np.linspace(0.02, 0.98, 97)))
     hits = [(weight * y * (x > c)).sum() / (weight * y).sum() - (weight * (1 - y) * (x > c)).sum() / (weight * (1 - y)).sum() for c in cuts]
-    spread = max(float(np.quantile(x, 0.9) - np.quantile(x, 0.1)), 1e-6)
+    spread = max(float(_quantile(x, n, 0.9) - _quantile(x, n, 0.1)), 1e-6)
     beta = np.array([8.0 / spread, -8.0 / spread * cuts[int(np.argmax(hits))]])
     missed, false = 0.1, 0.02
     design = np.stack([x, np.ones_like(x)], axis=1)
@@ -327,17 +440,12 @@ def _logistic(v: np.ndarray) -> np.ndarray:
 
 def score(docs: DataFrame, model: Model | float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, score and predicted of every whole text."""
-    spark = bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text"))
     if isinstance(model, float):
         out = rows.select("id", F.lit(model).alias("score"))
     else:
-        given = spark.sparkContext.broadcast(model)
-
-        def run(batches):
-            for batch in batches:
-                s = [given.value.score(t) for t in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64())], names=["id", "score"])
-
-        out = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, score double")
+        at = F.col("m0") * model.slope + model.base
+        bounded = F.greatest(F.least(at, F.lit(30.0)), F.lit(-30.0))
+        out = _pooled_ratios(rows, model, [model.margin]).select("id", (1 / (1 + F.exp(-bounded))).alias("score"))
     return out.select(F.col("id").alias(id_col), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -248,3 +248,17 @@ def test_wrong_labels_do_not_move_the_cut():
     y = np.concatenate([rng.random(900) < 0.03, rng.random(100) > 0.1]).astype(float)
     slope, base = toxicity._noisy_logistic(x, y, np.ones(1000))
     assert 0.02 < -base / slope < 0.08 and slope > 50
+
+
+def test_every_labelled_text_is_learned_from(spark):
+    """More texts of both classes than any bound there was, each with a word of its own."""
+    docs = spark.range(16000).select(F.col("id").alias("doc_id"), F.concat(F.lit("both say own"), F.col("id").cast("string")).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("toxic"))
+    sample, sizes = toxicity._sample(docs, labels, "doc_id", "text", "toxic")
+    drawn = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert drawn == sizes and drawn[1] > 3000 and drawn[0] > 9000
+    model = toxicity.fit(docs, labels)
+    learned = sample.where("NOT tuning").count()
+    assert model.words.count() == learned + 3  # both, say, and what stands before a text
+    assert model.pairs.where("n0 + n1 = 1").count() == learned
+    assert toxicity.score(docs, model).count() == 16000
