@@ -365,9 +365,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def _binned(model: Model, tuning: DataFrame) -> pa.Table:
-    """(k, toxic, x, n): how many texts of each class have a ratio in each bin of the k-th margin, x on average."""
+    """(k, toxic, x, n): how many texts of each class have a ratio in each bin of the k-th margin, x on average.
+
+    Up to as many texts as there are bins go by their own ratios.
+    """
     got = cut_lineage(_pooled_ratios(tuning.select(F.col("toxic").alias("id"), "text"), model, MARGINS))
     each = got.select(F.col("id").alias("toxic"), F.posexplode(F.array(*[f"m{k}" for k in range(len(MARGINS))])).alias("k", "x"))
+    if got.count() <= BINS:
+        return each.groupBy("k", "toxic", "x").agg(F.count(F.lit(1)).alias("n")).toArrow()
     ends = each.groupBy("k").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     place = F.when(F.col("hi") > F.col("lo"), F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS)).otherwise(0)
     bins = each.join(F.broadcast(ends), "k").groupBy("k", "toxic", place.alias("bin")).agg(F.avg("x").alias("x"), F.count(F.lit(1)).alias("n"))
@@ -398,12 +403,13 @@ def _ordered(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> float:
 
 
 def _quantile(x: np.ndarray, n: np.ndarray | None, q):
-    """Quantiles of points that stand for ``n`` rows each, one by default."""
-    if n is None:
-        return np.quantile(x, q)
+    """``np.quantile`` of points that stand for ``n`` rows each, one by default."""
     order = np.argsort(x)
-    upto = np.cumsum(n[order])
-    return x[order][np.minimum(np.searchsorted(upto, np.asarray(q) * upto[-1]), len(x) - 1)]
+    x, upto = x[order], np.cumsum(np.ones(len(x)) if n is None else n[order])
+    place = np.asarray(q) * (upto[-1] - 1)
+    low = np.floor(place)
+    below, above = (x[np.minimum(np.searchsorted(upto, at, "right"), len(x) - 1)] for at in (low, np.ceil(place)))
+    return below + (above - below) * (place - low)
 
 
 def _noisy_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, n: np.ndarray | None = None, rounds: int = 60) -> tuple[float, float]:

@@ -262,3 +262,22 @@ def test_every_labelled_text_is_learned_from(spark):
     assert model.words.count() == learned + 3  # both, say, and what stands before a text
     assert model.pairs.where("n0 + n1 = 1").count() == learned
     assert toxicity.score(docs, model).count() == 16000
+
+
+def test_quantiles_of_points_that_stand_for_several_rows():
+    rng = np.random.default_rng(8)
+    x, n = rng.normal(size=40), rng.integers(1, 9, 40)
+    q = np.linspace(0, 1, 33)
+    assert toxicity._quantile(x, n, q) == pytest.approx(np.quantile(np.repeat(x, n), q))
+    assert toxicity._quantile(x, None, q) == pytest.approx(np.quantile(x, q))
+
+
+def test_ratios_are_pooled_text_by_text_whatever_shares_their_chunk():
+    texts = ["a b c a b", "", "c", "", "b b a"]
+    words = [toxicity.words_of(t) for t in texts]
+    chunk = toxicity._Coded(np.concatenate(words), np.array([len(w) for w in words]))
+    each = [toxicity._Coded(w, np.array([len(w)])) for w in words]
+    place = {p: k / 7 - 1 for k, p in enumerate(chunk.pairs.tolist())}
+    want = [c.pooled(np.array([place[p] for p in c.pairs[c.place].tolist()]), 0.1)[0] for c in each]
+    assert chunk.pooled(np.array([place[p] for p in chunk.pairs[chunk.place].tolist()]), 0.1) == pytest.approx(want)
+    assert want[1] == want[3] == 0.0
