@@ -104,7 +104,8 @@ def test_stages_on_edge_cases(spark, edge, none, name):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{DIR}/documents.parquet'")
+    for given in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {given} AS SELECT * FROM '{DIR}/{given}.parquet'")
     cur = con.execute(ORACLES[name])
     names = [c[0] for c in cur.description]
     df = QUERIES[name](spark, DIR)
@@ -114,10 +115,10 @@ def test_queries_equal_their_sql(spark, name):
     assert got == Counter(tuple(r[names.index(c)] for c in cols) for r in cur.fetchall())
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
+def test_thirteen_operators_and_the_pipeline_are_registered():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 14))
     assert names["pipeline"] is corpus_pipeline.run
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "ngram_join", "mixing", "bpe"]
