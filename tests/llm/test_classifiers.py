@@ -1,6 +1,7 @@
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from keyferry.llm import language, toxicity
 from keyferry.llm.common import held_out
+from keyferry.session import checkpoint_dir
 
 SYLLABLES = {"en": "the and ing er tion wh".split(), "de": "der und ung sch ei ü".split(), "es": "el ción os ñ rr que".split()}
 
@@ -281,3 +283,70 @@ def test_ratios_are_pooled_text_by_text_whatever_shares_their_chunk():
     want = [c.pooled(np.array([place[p] for p in c.pairs[c.place].tolist()]), 0.1)[0] for c in each]
     assert chunk.pooled(np.array([place[p] for p in chunk.pairs[chunk.place].tolist()]), 0.1) == pytest.approx(want)
     assert want[1] == want[3] == 0.0
+
+
+def _many_words(spark, texts, words, seed=9):
+    """Texts of random words, few of which come again, and their labels."""
+    rng = random.Random(seed)
+    rows = [(i, " ".join(f"w{rng.randrange(200_000)}" for _ in range(words))) for i in range(texts)]
+    return frame(spark, rows, extra=False), spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+
+
+def _bytes_in(folder):
+    return sum(f.stat().st_size for f in Path(folder).rglob("*") if f.is_file())
+
+
+def test_toxicity_leaves_only_its_model_and_scores_on_disk(spark, tmp_path):
+    """Every table in between stayed, the coded texts among them."""
+    docs, labels = _many_words(spark, 1500, 120)
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    start = _bytes_in(checkpoint_dir(spark))
+    model = toxicity.fit(docs, labels)
+    fitted = _bytes_in(checkpoint_dir(spark))
+    assert toxicity.score(docs, model).count() == 1500
+    assert fitted - start < 3 * _bytes_in(tmp_path / "docs")  # hardly a pair comes twice here
+    assert _bytes_in(checkpoint_dir(spark)) - fitted < 100_000
+
+
+def test_scores_do_not_depend_on_rounds_and_chunks(spark):
+    docs, labels = _many_words(spark, 300, 50)
+    rows = docs.select(F.col("doc_id").alias("id"), "text").unionByName(spark.createDataFrame([(None, "w1 w2"), (None, ""), (7, "")], "id long, text string"))
+    model = toxicity.fit(docs, labels)
+    once = toxicity._pooled_ratios(rows, model, [0.0, 0.5]).collect()
+    thrice = toxicity._pooled_ratios(rows.repartition(7), model, [0.0, 0.5], 3).collect()
+    assert len(once) == 303 and sorted(map(repr, once)) == sorted(map(repr, thrice))
+
+
+def test_blocks_give_back_their_rows_and_answer_in_few_bytes(spark):
+    """An asked key took a row of chunk, kind and key, an answer another one with an array."""
+    rng = np.random.default_rng(4)
+    keys = np.unique(rng.integers(-(2**63), 2**63, 60_000))
+    table = spark.createDataFrame([(int(k), i % 3, int(i == 5) << 40) for i, k in enumerate(keys)], "pair long, n0 long, n1 long")
+    blocks = toxicity._Blocks.of(table, "pair", ("n0", "n1"), np.int64, 5)
+    assert blocks.packed.count() == 5
+    assert blocks.rows().exceptAll(table).count() == 0 == table.exceptAll(blocks.rows()).count()
+    asked = np.sort(np.concatenate([keys[::2], rng.integers(-(2**63), 2**63, 30_000)]).view(np.uint64))
+    assert len(toxicity._packed_keys(asked)) < 7 * len(asked)
+    assert (toxicity._unpacked_keys(toxicity._packed_keys(asked), len(asked)) == asked).all()
+    ranges = toxicity._ranges(asked, 5)
+    assert ranges[0][0] == 0 and ranges[-1][1] == len(asked) and all(a[1] == b[0] for a, b in zip(ranges, ranges[1:]))
+    in_spark = table.where(F.expr(toxicity.SLOT.format(key="pair", slots=5)) == 3).select("pair").toArrow()["pair"].to_numpy().view(np.uint64)
+    every = np.sort(keys.view(np.uint64))
+    b, e = toxicity._ranges(every, 5)[3]
+    assert sorted(in_spark.tolist()) == every[b:e].tolist()
+
+
+def test_what_comes_from_the_model_is_what_a_join_gives(spark):
+    docs, labels = _many_words(spark, 200, 40)
+    model = toxicity.fit(docs, labels)
+    rows = docs.select(F.col("doc_id").alias("id"), "text")
+    coded = toxicity._coded(rows)
+    answers = model.pair_blocks.answers(coded, True).toArrow()
+    known = {r["pair"] & (2**64 - 1): (r["n0"], r["n1"]) for r in model.pairs.collect()}
+    for row in coded.collect():
+        keys = toxicity._different(*toxicity._decoded(row.asDict(), len(row["ids"])), True)
+        own = answers.filter([c == row["chunk"] for c in answers["chunk"].to_pylist()])
+        found, (n0, n1) = toxicity._Columns(2, np.int64).found(own, keys)
+        got = dict(zip(found.tolist(), zip(n0.tolist(), n1.tolist())))
+        assert got == {k: known[k] for k in keys.tolist() if k in known} and got
