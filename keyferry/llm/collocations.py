@@ -18,15 +18,18 @@ of the next word, the empty prefix always; no key holds more than a small share
 Defined cases: null texts are empty and give nothing, a null language is ``und``; repeated rows count each
 time; ties end with the phrase in byte order; texts of any length are counted whole; ids and further
 columns are ignored; an empty table or one without frequent phrases gives an empty result.
-Memory in a task: up to ``HELD`` different windows and ``NUMBERED`` words, one merged stripe, the bitmap.
+Memory in a task: up to ``HELD`` different windows and ``NUMBERED`` words, one merged stripe, the bitmap,
+and texts or stripes of ``TEXT_BLOCK`` characters or ``STRIPE_BLOCK`` bytes, which are worked on at once.
 """
 
 from __future__ import annotations
 
 from array import array
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,12 +42,16 @@ HOT, HOT_PARTS, FIRST_PARTS = 2000, 64, 4096
 HELD = 3_000_000  # windows a task gathers before it hands stripes on; 24 bytes each
 NUMBERED = 500_000  # words a task numbers
 FRESH = 1_500_000
+TEXT_BLOCK, STRIPE_BLOCK = 4_000_000, 8 << 20
+ROWS = 5000  # to an Arrow batch
 
 UPPER = bytes(range(65, 91))
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 BYTES = bytes.maketrans(UPPER + PIECE_ENDS + b"\t", UPPER.lower() + b"\n" * len(PIECE_ENDS) + b" ")
+BLANK, END = b" \n"  # what BYTES leaves between words
 MIX = np.uint64(0x9E3779B97F4A7C15)  # an odd multiplier with well-spread bits
 RAW = "lang string, prefix string, part int, words string, counts binary"
+RAW_NAMES = [f.split()[0] for f in RAW.split(", ")]
 MERGED = "lang string, prefix string, total bigint, words array<string>, counts array<bigint>"
 
 
@@ -62,23 +69,45 @@ def _places(lang: str, words: list[np.ndarray], bits: int) -> np.ndarray:
     return (h >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _merged(windows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Windows in order, each once, with the sum of their counts."""
-    if not len(counts):
-        return windows, counts
-    if windows.shape[1] > 2:
+def _split(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The different words of texts, the place of each word among them, and before which words a piece ends."""
+    data = "\n".join(texts).encode().translate(BYTES)
+    raw = np.frombuffer(data, np.uint8)
+    edges = np.flatnonzero(np.diff((raw != BLANK) & (raw != END), prepend=False, append=False))
+    starts, ends = edges[::2], edges[1::2]
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)])
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data.translate(None, b" \n"))]
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
+    return words.dictionary.to_numpy(zero_copy_only=False).tolist(), words.indices.to_numpy(), np.searchsorted(starts, np.flatnonzero(raw == END))
+
+
+def _merged(windows: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Windows in order, each once, with the sum of their counts, or how often they came."""
+    n, size = windows.shape
+    if not n:
+        return windows, np.empty(0, np.int64)
+    order = None
+    if size > 2:
         order = np.lexsort(windows.T[::-1])
         windows = windows[order]
         new = (windows[1:] != windows[:-1]).any(axis=1)
     else:
         key = windows[:, -1].astype(np.int64)
-        if windows.shape[1] == 2:
+        if size == 2:
             key |= windows[:, 0].astype(np.int64) << 32
-        order = np.argsort(key)
-        windows, key = windows[order], key[order]
+        if counts is None:
+            key.sort()
+        else:
+            order = np.argsort(key)
+            key = key[order]
         new = key[1:] != key[:-1]
     starts = np.concatenate([[0], np.flatnonzero(new) + 1])
-    return windows[starts], np.add.reduceat(counts[order], starts)
+    if size > 2:
+        windows = windows[starts]
+    else:
+        key = key[starts]
+        windows = np.stack([key >> 32, key & 0xFFFFFFFF][2 - size :], axis=1).astype(np.int32)
+    return windows, np.diff(starts, append=n) if counts is None else np.add.reduceat(counts[order], starts)
 
 
 class Stripes:
@@ -89,27 +118,31 @@ class Stripes:
 
     def __init__(self, lang: str, size: int, frequent: np.ndarray | None, bits: int):
         self.lang, self.size, self.frequent, self.bits = lang, size, frequent, bits
-        self.words: list[bytes] = [b""]
         self.hashes = array("Q", [0])
-        self.number = _Numbers(self)
+        self.number: defaultdict[bytes, int] = defaultdict(None, {b"": 0})
+        self.number.default_factory = self.number.__len__
         self.windows, self.counts = np.empty((0, size), np.int32), np.empty(0, np.int64)
         self.fresh: list[np.ndarray] = []
         self.n_fresh = 0
 
     def add(self, texts: list[str]) -> None:
-        words = [b""]
-        for piece in "\n".join(texts).encode().translate(BYTES).split(b"\n"):
-            if found := piece.split():
-                words += found
-                words.append(b"")
-        if len(words) == 1:
+        words, at, borders = _split(texts)
+        if not words:
             return
-        numbers = np.fromiter(map(self.number.__getitem__, words), np.int32, len(words))
+        numbers = np.insert(self._numbers(words)[at], borders, 0)
         self.fresh.append(self._windows(numbers))
         self.n_fresh += len(self.fresh[-1])
         if self.n_fresh > FRESH:
             self.settle()
 
+    def _numbers(self, words: list[bytes]) -> np.ndarray:
+        """Numbers of different words, as they come; 0 is a border of pieces."""
+        known = len(self.number)
+        numbers = np.fromiter(map(self.number.__getitem__, words), np.int32, len(words))
+        new = [words[k] for k in np.flatnonzero(numbers >= known).tolist()]
+        self.hashes.frombytes(np.fromiter(map(_word_hash, new), np.uint64, len(new)).tobytes())
+        return numbers
+
     def _windows(self, numbers: np.ndarray) -> np.ndarray:
         """Windows of a run of pieces, which number 0 parts, that may be frequent."""
         size = self.size
@@ -129,124 +162,151 @@ class Stripes:
         return np.stack([*[r[at] for r in runs], runs[-1][at + 1]], axis=1)
 
     def settle(self) -> None:
-        windows = np.concatenate([self.windows, *self.fresh])
-        counts = np.concatenate([self.counts, np.ones(self.n_fresh, np.int64)])
-        self.windows, self.counts = _merged(windows, counts)
+        if not self.fresh:
+            return
+        windows, counts = _merged(np.concatenate(self.fresh))
+        if len(self.counts):
+            windows, counts = _merged(np.concatenate([self.windows, windows]), np.concatenate([self.counts, counts]))
+        self.windows, self.counts = windows, counts
         self.fresh, self.n_fresh = [], 0
 
     def full(self) -> tuple[int, int]:
-        return len(self.counts), len(self.words)
+        return len(self.counts), len(self.number)
 
-    def rows(self, hot: set[tuple[str, str]]):
+    def batches(self, hot: set[tuple[str, str]]):
         """(lang, prefix, part, words, counts): stripes with words joined by blanks and packed counts."""
         self.settle()
         n, size = len(self.counts), self.size
         if not n:
             return
-        prefixes, spelled = self.windows[:, :-1], [w.decode() for w in self.words]
-        new = (prefixes[1:] != prefixes[:-1]).any(axis=1) if size > 1 else np.zeros(n - 1, bool)
-        starts = [0, *(np.flatnonzero(new) + 1).tolist()]
-        lead, last, raw = prefixes[starts].tolist(), self.windows[:, -1].tolist(), self.counts.tobytes()
-        follow = [spelled[k] for k in last]
-        for numbers, a, b in zip(lead, starts, [*starts[1:], n]):
-            prefix = " ".join([spelled[k] for k in numbers])
-            parts = FIRST_PARTS if size == 1 else HOT_PARTS if hot and (self.lang, prefix) in hot else 1
-            if parts == 1:
-                yield self.lang, prefix, 0, " ".join(follow[a:b]), raw[8 * a : 8 * b]
-                continue
-            part = np.frombuffer(self.hashes, np.uint64)[last[a:b]] % np.uint64(parts)
-            order = np.argsort(part, kind="stable")
-            cuts = np.flatnonzero(np.diff(part[order])) + 1
-            for some in np.split(order, cuts):
-                yield self.lang, prefix, int(part[some[0]]), " ".join([follow[a + k] for k in some.tolist()]), self.counts[a + some].tobytes()
-
-
-class _Numbers(dict):
-    """Numbers words as they come; the empty one, a border of pieces, is 0."""
-
-    def __init__(self, stripes: Stripes):
-        super().__init__({b"": 0})
-        self.stripes = stripes
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self.stripes.words)
-        self.stripes.words.append(word)
-        self.stripes.hashes.append(_word_hash(word))
-        return number
-
+        prefixes, last, spelled = self.windows[:, :-1], self.windows[:, -1], pa.array([*self.number], pa.string())
+        new = np.concatenate([[True], (prefixes[1:] != prefixes[:-1]).any(axis=1)])
+        lead = prefixes[new]
+        if size == 1:
+            prefix, parts = pa.array([""]), np.array([FIRST_PARTS])
+        else:
+            prefix = pc.binary_join_element_wise(*[spelled.take(pa.array(k)) for k in lead.T], " ")
+            often = pc.is_in(prefix, pa.array([p for lang, p in hot if lang == self.lang], pa.string()))
+            parts = np.where(often.to_numpy(zero_copy_only=False), HOT_PARTS, 1)
+        stripe = np.cumsum(new) - 1
+        part = (np.frombuffer(self.hashes, np.uint64)[last] % parts.astype(np.uint64)[stripe]).astype(np.int64)
+        counts = self.counts
+        if (parts > 1).any():
+            order = np.lexsort((part, stripe))
+            stripe, part, last, counts = stripe[order], part[order], last[order], counts[order]
+            new = np.concatenate([[True], (np.diff(stripe) != 0) | (np.diff(part) != 0)])
+        starts = np.append(np.flatnonzero(new), n)
+        for k in range(0, len(starts) - 1, ROWS):
+            some = starts[k : k + ROWS + 1]
+            at, a, b = some[:-1], some[0], some[-1]
+            cuts = (some - a).astype(np.int32)
+            words = pa.ListArray.from_arrays(pa.array(cuts), spelled.take(pa.array(last[a:b])))
+            packed = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(cuts * 8), pa.py_buffer(counts[a:b].tobytes())])
+            columns = [pa.repeat(self.lang, len(at)), prefix.take(pa.array(stripe[at])), pa.array(part[at], pa.int32()), pc.binary_join(words, " "), packed]
+            yield pa.RecordBatch.from_arrays(columns, names=RAW_NAMES)
 
-def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    types = {"part": pa.int32(), "counts": pa.binary()}
-    return pa.RecordBatch.from_arrays([pa.array(c, types.get(n, pa.string())) for n, c in zip(names, zip(*rows))], names=names)
+    def rows(self, hot: set[tuple[str, str]]):
+        """The same, row by row."""
+        for batch in self.batches(hot):
+            yield from zip(*[c.to_pylist() for c in batch.columns])
 
 
 def _gather(size: int, frequent, hot, bits: int):
     """Texts of a task to stripes."""
-    names = [f.split()[0] for f in RAW.split(", ")]
 
     def run(batches):
         bitmap = None if frequent is None else np.frombuffer(frequent.value, np.uint8)
         often = set() if hot is None else hot.value
         held: dict[str, Stripes] = {}
 
+        texts: dict[str, list[str]] = {}
+        n_texts = 0
+
+        def count():
+            for lang, some in texts.items():
+                if lang not in held:
+                    held[lang] = Stripes(lang, size, bitmap, bits)
+                held[lang].add(some)
+            texts.clear()
+
         def out():
-            rows = []
             for s in held.values():
-                for row in s.rows(often):
-                    rows.append(row)
-                    if len(rows) == 5000:
-                        yield _batch(rows, names)
-                        rows = []
-            if rows:
-                yield _batch(rows, names)
+                yield from s.batches(often)
             held.clear()
 
         for batch in batches:
-            texts: dict[str, list[str]] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 texts.setdefault(lang, []).append(text)
-            for lang, some in texts.items():
-                if lang not in held:
-                    held[lang] = Stripes(lang, size, bitmap, bits)
-                held[lang].add(some)
+                n_texts += len(text)
+            if n_texts < TEXT_BLOCK:
+                continue
+            count()
+            n_texts = 0
             windows, words = map(sum, zip(*[s.full() for s in held.values()]))
             if windows > HELD or words > NUMBERED:
                 yield from out()
+        count()
         yield from out()
         give_back()
 
     return run
 
 
-def _merge(least: int):
-    """Stripes in order of their key to one stripe for each key, entries below ``least`` summed up only."""
+def _packed(counts: pa.Array) -> np.ndarray:
+    """The counts of stripes, one after the other."""
+    cuts = np.frombuffer(counts.buffers()[1], np.int32)[counts.offset : counts.offset + len(counts) + 1]
+    return np.frombuffer(counts.buffers()[2], np.int64, (cuts[-1] - cuts[0]) // 8, cuts[0])
+
+
+def _summed(rows: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """Stripes in order of their key, merged: keys and their totals, then the number of the key, word and count of entries."""
+    key = rows.select(["lang", "prefix", "part"]).combine_chunks()
+    changes = [pc.not_equal(c[1:], c[:-1]).to_numpy() for c in key.columns]
+    new = np.concatenate([[True], np.logical_or.reduce(changes)])
+    lists = pc.split_pattern(rows.column("words").combine_chunks(), " ")
+    words, counts = lists.flatten().dictionary_encode(), _packed(rows.column("counts").combine_chunks())
+    keys = np.repeat(np.cumsum(new) - 1, lists.value_lengths().to_numpy())
+    totals = np.add.reduceat(counts, np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1]))
+    code = (keys << 32) | words.indices.to_numpy()
+    order = np.argsort(code)
+    code = code[order]
+    starts = np.concatenate([[0], np.flatnonzero(np.diff(code)) + 1])
+    code, sums = code[starts], np.add.reduceat(counts[order], starts)
+    return key.take(pa.array(np.flatnonzero(new))), totals, code >> 32, words.dictionary.take(pa.array(code & 0xFFFFFFFF)), sums
 
-    def run(batches):
-        key, stripe, out = None, {}, []
 
-        def close():
-            often = [(w, c) for w, c in stripe.items() if c >= least]
-            out.append((*key[:2], sum(stripe.values()), [w for w, _ in often], [c for _, c in often]))
+def _merge(least: int):
+    """Stripes in order of their key to one stripe for each key, entries below ``least`` summed up only."""
 
-        def flush():
-            types = [pa.string(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64())]
-            batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["lang", "prefix", "total", "words", "counts"])
-            out.clear()
-            return batch
+    def merged(rows: pa.Table, last: bool):
+        """The batch of merged stripes, and the stripe of the last key, to which more may come, as a row."""
+        found, totals, keys, words, sums = _summed(rows)
+        n, rest = len(totals), None
+        if not last:
+            n -= 1
+            a = int(np.searchsorted(keys, n))
+            joined = pc.binary_join(pa.ListArray.from_arrays([0, len(words) - a], words[a:]), " ")
+            rest = found.slice(n).append_column("words", joined).append_column("counts", pa.array([sums[a:].tobytes()]))
+            keys, words, sums = keys[:a], words[:a], sums[:a]
+        often = sums >= least
+        cuts = pa.array(np.searchsorted(keys[often], np.arange(n + 1)).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(cuts, c) for c in (words.filter(pa.array(often)), pa.array(sums[often]))]
+        columns = [*[found.column(k).combine_chunks()[:n] for k in ("lang", "prefix")], pa.array(totals[:n]), *lists]
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "prefix", "total", "words", "counts"]), rest
 
+    def run(batches):
+        held, size, block = [], 0, STRIPE_BLOCK
         for batch in batches:
-            for lang, prefix, part, words, counts in zip(*[c.to_pylist() for c in batch.columns]):
-                if (lang, prefix, part) != key:
-                    if key is not None:
-                        close()
-                        if len(out) >= 5000:
-                            yield flush()
-                    key, stripe = (lang, prefix, part), {}
-                for w, c in zip(words.split(" "), memoryview(counts).cast("q")):
-                    stripe[w] = stripe.get(w, 0) + c
-        if key is not None:
-            close()
-            yield flush()
+            if not batch.num_rows:
+                continue
+            held.append(pa.Table.from_batches([batch]))
+            size += batch.nbytes
+            if size >= block:
+                out, rest = merged(pa.concat_tables(held), last=False)
+                yield out
+                held, size, block = [rest], 0, max(STRIPE_BLOCK, 2 * rest.nbytes)
+        if held:
+            yield merged(pa.concat_tables(held), last=True)[0]
         give_back()
 
     return run

@@ -1,8 +1,10 @@
 import random
 import re
+import sys
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from edge_cases import EDGE_TEXTS, frame
 from pyspark.sql import functions as F
@@ -120,3 +122,81 @@ def test_edge_rows(edge, none):
     assert columns(co.collocations(edge, least=2, bits=18)) == expected(rows, 2, 2000)
     assert columns(co.collocations(edge, least=10**6, bits=18)) == []
     assert columns(co.collocations(none, bits=18)) == []
+
+
+RAW_TYPES = [pa.string(), pa.string(), pa.int32(), pa.string(), pa.binary()]
+
+
+def calls(run):
+    """How many functions, of Python or C, are called."""
+    seen = Counter()
+    sys.setprofile(lambda _, event, __: seen.update([event]))
+    try:
+        run()
+    finally:
+        sys.setprofile(None)
+    return seen["call"] + seen["c_call"]
+
+
+def test_work_in_python_grows_with_different_words_only():
+    texts = ["Alpha beta gamma. Delta, beta gamma! " * 2000]
+    co._split(texts)  # what is imported on the first call
+    for size in (1, 2, 4):
+        held = co.Stripes("en", size, None if size == 1 else np.full(1 << 17, 255, np.uint8), 20)
+        assert calls(lambda: held.add(texts)) < 1000
+    assert co.Stripes("en", 1, None, 20).full() == (0, 1)
+
+    raw = [("en", f"w{i:03}", 0, " ".join(f"v{k}" for k in range(40)), np.arange(40).tobytes()) for i in range(300)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*raw), RAW_TYPES)], names=co.RAW_NAMES)]
+    run = co._merge(30)
+    assert calls(lambda: list(run(iter(batches)))) < 3000
+
+
+@pytest.mark.parametrize("block", [1, 120, 8 << 20])
+def test_merging_in_blocks_sums_every_stripe(monkeypatch, block):
+    monkeypatch.setattr(co, "STRIPE_BLOCK", block)
+    rng = random.Random(3)
+    raw, plain = [], {}
+    for lang in ("de", "en"):
+        for prefix in ("", "a", "b c", "zz"):
+            for part in range(3 if prefix == "" else 1):
+                for _ in range(rng.randint(1, 9)):
+                    entries = {f"{w}{part}": rng.randint(1, 9) for w in rng.sample(["x", "y", "ü", "日本", "x\x1cy", "v"], rng.randint(1, 6))}
+                    raw.append((lang, prefix, part, " ".join(entries), np.array([*entries.values()]).tobytes()))
+                    plain.setdefault((lang, prefix, part), Counter()).update(entries)
+    whole_batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*raw), RAW_TYPES)], names=co.RAW_NAMES)
+    batches = [whole_batch[:0], *[whole_batch[k : k + 4] for k in range(0, len(raw), 4)]]
+    got = [r for b in co._merge(12)(iter(batches)) for r in zip(*[c.to_pylist() for c in b.columns])]
+    assert [r[:3] for r in got] == [(*k[:2], sum(c.values())) for k, c in plain.items()]
+    assert [dict(zip(*r[3:])) for r in got] == [{w: n for w, n in c.items() if n >= 12} for c in plain.values()]
+    assert list(co._merge(12)(iter([]))) == []
+
+
+def test_texts_split_at_blanks_and_pieces():
+    for texts, words in (([""], []), ([" .;\n"], []), (["One two\tone", "TWO. three"], [b"one", b"two", b"three"]), ([".a\xa0b\x1cc  É!"], ["a\xa0b\x1cc".encode(), "É".encode()])):
+        different, at, borders = co._split(texts)
+        assert different == words
+        numbers = np.insert(np.asarray(at) + 1, borders, 0).tolist()
+        runs = [[words[k - 1].decode() for k in map(ord, run)] for run in "".join(map(chr, numbers)).split("\0") if run]
+        assert runs == [p for t in texts for p in words_of(t) if p]
+
+
+def test_small_blocks_of_text_change_nothing(spark, corpus, monkeypatch):
+    docs = frame(spark, corpus)
+    rows = [(r["lang"], r["text"]) for r in docs.select("lang", "text").collect()]
+    batch = pa.RecordBatch.from_arrays([pa.array([x[0] or "und" for x in rows]), pa.array([x[1] or "" for x in rows])], names=["lang", "text"])
+
+    def found():
+        out = Counter()
+        for b in co._gather(1, None, None, 20)(iter([batch[k : k + 7] for k in range(0, len(rows), 7)])):
+            for lang, prefix, part, words, counts in zip(*[c.to_pylist() for c in b.columns]):
+                for w, c in zip(words.split(" "), np.frombuffer(counts, np.int64).tolist()):
+                    out[lang, prefix, part, w] += c
+        return out
+
+    want = found()
+    monkeypatch.setattr(co, "TEXT_BLOCK", 10)
+    monkeypatch.setattr(co, "HELD", 30)
+    monkeypatch.setattr(co, "ROWS", 3)
+    assert found() == want
+    assert sum(want.values()) == sum(len(p) for _, t in rows for p in words_of(t))
